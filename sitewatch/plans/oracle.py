@@ -12,7 +12,7 @@ from sitewatch import schemas as S
 REPORTS = """reports AS (
   SELECT event_id AS report_id,
          CAST(user_id % 8 + 1 AS INTEGER) AS site_id,
-         epoch_ms(ts) AS "timestamp", ts,
+         epoch_us(ts) // 1000 AS "timestamp", ts,
          'report' AS type, 1 AS version, 0 AS status,
          value AS tmp,
          CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) / 100 AS hmt,
@@ -22,12 +22,12 @@ REPORTS = """reports AS (
 
 CLICKS = """clicks AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS "user", './' || event_type AS url,
-         ts, epoch_ms(ts) AS "timestamp"
+         ts, epoch_us(ts) // 1000 AS "timestamp"
   FROM events)"""
 
 CONFIG_CHANGES = """config_changes AS (
   SELECT event_id AS config_id, CAST(user_id % 8 + 1 AS INTEGER) AS site_id,
-         ts, epoch_ms(ts) AS "timestamp", k AS version,
+         ts, epoch_us(ts) // 1000 AS "timestamp", k AS version,
          CASE WHEN k % 10 = 0 THEN 0 ELSE 30 END AS "interval",
          CASE WHEN k % 25 = 0 THEN 1 ELSE 0 END AS is_delete,
          value AS tmp_max, CAST(k AS DOUBLE) / 10 AS tmp_min, 1 AS tmp_open,
