@@ -20,24 +20,11 @@ from pyspark.sql import functions as F
 from sitewatch import schemas as S
 from sitewatch.functions.json import parse_rules, readings_map
 from sitewatch.operators.broadcast import checked_broadcast
+from sitewatch.operators.latest import latest_per_key
 
 CFG_COLS = ("config_id", "is_delete", "interval", "rules")
 
 
-def latest_per_key(df: DataFrame, key: str = "site_id",
-                   order=("timestamp", "config_id")) -> DataFrame:
-    """JN-2 / AGG-8: the last row per key by ``order`` (arrival order).
-
-    ``max_by`` is an ordinary aggregate, so a hot key is pre-reduced map-side
-    before the shuffle; no group is ever materialised.
-    """
-    cols = [c for c in df.columns if c != key]
-    ordering = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(key)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_v"))
-              .select(key, "_v.*"))
-
-
 def prepare_config(configs: DataFrame, key: str = "site_id",
                    order=("timestamp", "config_id")) -> DataFrame:
     """Config rows -> one active row per site: site_id, config_id, is_delete,
