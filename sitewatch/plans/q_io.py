@@ -1 +1,100 @@
-"""placeholder"""
+"""Queries over parsing, projections and sink records
+(PRJ-1..PRJ-10, SRC-7/8, SNK-5/8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sitewatch import fixtures as FX
+from sitewatch.operators.parse import (accepted_reports, annotate_reports,
+                                       explode_rules, parse_csv_events,
+                                       rejected_reports)
+from sitewatch.plans import oracle as O
+from sitewatch.plans.catalog import register
+from sitewatch.sinks.records import archive_records, search_documents
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# Lines of FX.BAD_REPORT_LINES the parser accepts (first and last), as rows.
+_ACCEPTED_EDGE = """(VALUES
+  (1, CAST(1704067200000 AS BIGINT), 'report', 1, 0, CAST(20.5 AS DOUBLE),
+   CAST(0.5 AS DOUBLE), CAST(100.0 AS DOUBLE)),
+  (5, CAST(1704067260000 AS BIGINT), 'report', 1, 0, CAST(NULL AS DOUBLE),
+   CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)))
+  AS e(site_id, "timestamp", type, version, status, tmp, hmt, lx)"""
+
+
+@register("parse_reports", f"""WITH {O.REPORTS}
+SELECT site_id, "timestamp", type, version, status, tmp, hmt, lx FROM reports
+UNION ALL
+SELECT * FROM {_ACCEPTED_EDGE}""")
+def q_parse_reports(spark, sf_dir):
+    """PRJ-1/2/3: JSON report text -> typed, flattened reports (bad ones out)."""
+    good = accepted_reports(annotate_reports(FX.reports_json(spark, sf_dir)))
+    return good.select("site_id", "timestamp", "type", "version", "status",
+                       "tmp", "hmt", "lx")
+
+
+_REJECTED = [(v, r) for v, r in zip(FX.BAD_REPORT_LINES, (
+    None, "malformed", "malformed", "malformed", "malformed", "missing_site_or_time",
+    "malformed", "malformed", "malformed", "missing_site_or_time",
+    "missing_site_or_time", None)) if r is not None]
+
+
+@register("quarantine", "SELECT * FROM (VALUES " + ", ".join(
+    f"({_sql_str(v)}, {_sql_str(r)})" for v, r in _REJECTED)
+    + ") AS q(value, reject_reason)")
+def q_quarantine(spark, sf_dir):
+    """PRJ-2 / D1-D2: the report lines set aside, with the reason."""
+    return rejected_reports(annotate_reports(FX.reports_json(spark, sf_dir)))
+
+
+def _rules_sql(sensor):
+    return (f"SELECT config_id, site_id, '{sensor}' AS sensor, '{sensor}' AS rule_type, "
+            f"{sensor}_open AS open, {sensor}_max AS max, {sensor}_min AS min "
+            f"FROM config_changes")
+
+
+@register("config_rules", f"""WITH {O.CONFIG_CHANGES}
+{_rules_sql('tmp')} UNION ALL {_rules_sql('hmt')} UNION ALL {_rules_sql('lx')}""")
+def q_config_rules(spark, sf_dir):
+    """PRJ-10: config rows with JSON rule text -> one row per (config, rule)."""
+    return explode_rules(FX.config_changes(spark, sf_dir))
+
+
+@register("csv_events", f"""WITH {O.CLICKS}
+SELECT "user", url, "timestamp" FROM clicks""")
+def q_csv_events(spark, sf_dir):
+    """SRC-8: comma-separated click lines -> (user, url, timestamp)."""
+    return parse_csv_events(FX.csv_lines(spark, sf_dir))
+
+
+@register("select_le3", f"""WITH {O.REPORTS}
+SELECT site_id, "timestamp", type, version FROM reports WHERE site_id <= 3""")
+def q_select_le3(spark, sf_dir):
+    """PRJ-5/6: column selection and the range predicate site <= 3 (SQL form)."""
+    FX.reports(spark, sf_dir).createOrReplaceTempView("sitewatch_reports")
+    return spark.sql("SELECT site_id, timestamp, type, version "
+                     "FROM sitewatch_reports WHERE site_id <= 3")
+
+
+@register("search_documents", f"""WITH {O.CLICKS}
+SELECT event_id, json_object("user", "timestamp")::VARCHAR AS doc FROM clicks""")
+def q_search_documents(spark, sf_dir):
+    """SNK-8: one search document {user: timestamp} per click."""
+    return search_documents(FX.clicks(spark, sf_dir), keep=("event_id",))
+
+
+@register("archive_lines", f"""WITH {O.REPORTS}
+SELECT report_id, strftime(ts, '%Y-%m-%d') AS day,
+       to_json({{'siteId': site_id, 'timestamp': "timestamp", 'type': type,
+                'version': version, 'status': status,
+                'data': MAP {{'tmp': tmp, 'hmt': hmt, 'lx': lx}}}})::VARCHAR AS value
+FROM reports""")
+def q_archive_lines(spark, sf_dir):
+    """SNK-5: archive line per report with its day folder (event-time day)."""
+    return archive_records(FX.reports_with_data(spark, sf_dir), bucket_time="event",
+                           keep=("report_id",))
