@@ -35,7 +35,10 @@ def annotate_reports(lines: DataFrame, value: str = "value", strict: bool = Fals
     parsed = F.from_json(F.col(value), _with_corrupt(schema),
                          {"columnNameOfCorruptRecord": CORRUPT,
                           "allowNonNumericNumbers": "false"})
-    df = lines.withColumn("report", parsed)
+    # The parse goes through a one-row generator: later filters on the parsed
+    # fields cannot be pushed below it, so each line is parsed exactly once
+    # (a plain projection would be inlined into every field reference).
+    df = lines.select("*", F.inline(F.array(F.struct(parsed.alias("report")))))
     r = F.col("report")
     reason = (F.when(r.isNull() | r[CORRUPT].isNotNull(), F.lit(REJECT_MALFORMED))
                .when(r["siteId"].isNull() | r["timestamp"].isNull(),
