@@ -94,11 +94,12 @@ def parse_csv_events(lines: DataFrame, value: str = "value") -> DataFrame:
     return out.where(F.col("url").isNotNull() & F.col("timestamp").isNotNull())
 
 
-def parse_config_messages(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_config_messages(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """SRC-4 / PRJ-10: one JSON config per message -> config rows with the
-    rule map parsed (``monitor_items``)."""
+    rule map parsed (``monitor_items``); ``keep`` columns pass through."""
     c = F.from_json(F.col(value), S.CONFIG_WIRE)
-    return lines.select(c.alias("c")).where(F.col("c.siteId").isNotNull()).select(
+    parsed = lines.select(*keep, F.inline(F.array(F.struct(c.alias("c")))))
+    return parsed.where(F.col("c.siteId").isNotNull()).select(*keep,
         F.col("c.siteId").alias("site_id"), F.col("c.timestamp").alias("timestamp"),
         F.col("c.isDelete").alias("is_delete"), F.col("c.version").alias("version"),
         F.col("c.interval").alias("interval"), F.col("c.monitorItems").alias("monitor_items"))
