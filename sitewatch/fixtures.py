@@ -53,6 +53,15 @@ BAD_REPORT_LINES = (
 # ---------------------------------------------------------------------------
 
 
+def literal_rows(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small inline table built from literals inside the JVM (no Python
+    worker, no RDD of pickled rows): ``inline`` over one array of structs."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, row)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -90,7 +99,7 @@ def reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire form: one JSON text per report (``value``), plus the edge lines."""
     good = reports_with_data(spark, sf_dir).select(
         to_json_text(report_struct()).alias("value"))
-    bad = spark.createDataFrame([(v,) for v in BAD_REPORT_LINES], "value string")
+    bad = literal_rows(spark, [(v,) for v in BAD_REPORT_LINES], "value string")
     return good.unionByName(bad)
 
 
@@ -122,7 +131,7 @@ def site_configs(spark: SparkSession) -> DataFrame:
                      json.dumps(items, separators=(",", ":"))))
     schema = ("config_id long, site_id int, timestamp long, is_delete int, "
               "version int, interval int, monitor_items string")
-    return spark.createDataFrame(rows, schema)
+    return literal_rows(spark, rows, schema)
 
 
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

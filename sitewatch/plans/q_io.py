@@ -11,7 +11,11 @@ from sitewatch.operators.parse import (accepted_reports, annotate_reports,
                                        rejected_reports)
 from sitewatch.plans import oracle as O
 from sitewatch.plans.catalog import register
-from sitewatch.sinks.records import archive_records, search_documents
+from sitewatch.functions.json import parse_alarm
+from sitewatch.operators.match import alarms, match_reports
+from sitewatch.plans.q_match import ALARMS_SQL
+from sitewatch.sinks.records import (alarm_records, archive_records, event_text,
+                                     report_rows, search_documents)
 
 
 def _sql_str(s: str) -> str:
@@ -98,3 +102,42 @@ def q_archive_lines(spark, sf_dir):
     """SNK-5: archive line per report with its day folder (event-time day)."""
     return archive_records(FX.reports_with_data(spark, sf_dir), bucket_time="event",
                            keep=("report_id",))
+
+
+@register("report_rows", f"""WITH {O.REPORTS}
+SELECT report_id, site_id, "timestamp", type, version, status,
+       to_json(MAP {{'tmp': tmp, 'hmt': hmt, 'lx': lx}})::VARCHAR AS data
+FROM reports""")
+def q_report_rows(spark, sf_dir):
+    """SNK-3: report table rows with the readings map stored as JSON text."""
+    return report_rows(FX.reports_with_data(spark, sf_dir), keep=("report_id",))
+
+
+@register("click_text", f"""WITH {O.CLICKS}
+SELECT event_id,
+       printf('Event{{user=''%s'', url=''%s'', timestamp=%s}}', "user", url,
+              strftime(make_timestamp("timestamp" * 1000), '%Y-%m-%d %H:%M:%S.%g')) AS value
+FROM clicks""")
+def q_click_text(spark, sf_dir):
+    """PRJ-12: readable one-line rendering of every click."""
+    return event_text(FX.clicks(spark, sf_dir), keep=("event_id",))
+
+
+@register("alarm_roundtrip", ALARMS_SQL + """
+SELECT report_id, site_id, "timestamp", 1 AS status, tmp, hmt, lx,
+       sensor AS rule_type, open AS rule_open, max AS rule_max, min AS rule_min
+FROM hits""")
+def q_alarm_roundtrip(spark, sf_dir):
+    """PRJ-9: alarm JSON text parsed back into the nested record."""
+    a = alarms(match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark)))
+    text = alarm_records(a, keep=("report_id",))
+    back = text.select("report_id", parse_alarm("value").alias("a"))
+    d = F.col("a.dataReport")
+    return back.select("report_id", d["siteId"].alias("site_id"),
+                       d["timestamp"].alias("timestamp"), d["status"].alias("status"),
+                       d["data"]["tmp"].alias("tmp"), d["data"]["hmt"].alias("hmt"),
+                       d["data"]["lx"].alias("lx"),
+                       F.col("a.monitorItem.type").alias("rule_type"),
+                       F.col("a.monitorItem.open").alias("rule_open"),
+                       F.col("a.monitorItem.max").alias("rule_max"),
+                       F.col("a.monitorItem.min").alias("rule_min"))

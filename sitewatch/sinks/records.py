@@ -14,17 +14,17 @@ from sitewatch import schemas as S
 from sitewatch.functions.json import report_struct, rule_struct, to_json_text
 
 
-def alarm_records(alarms: DataFrame) -> DataFrame:
+def alarm_records(alarms: DataFrame, keep=()) -> DataFrame:
     """SNK-1: ``value`` = ``{"dataReport": {...}, "monitorItem": {...}}``."""
     payload = F.struct(report_struct().alias("dataReport"),
                        rule_struct("rule.type", "rule.open", "rule.max",
                                    "rule.min").alias("monitorItem"))
-    return alarms.select(to_json_text(payload).alias("value"))
+    return alarms.select(*keep, to_json_text(payload).alias("value"))
 
 
-def report_rows(reports: DataFrame) -> DataFrame:
+def report_rows(reports: DataFrame, keep=()) -> DataFrame:
     """SNK-3: table row of a report, the readings map stored as JSON text."""
-    return reports.select("site_id", "timestamp", "type", "version", "status",
+    return reports.select(*keep, "site_id", "timestamp", "type", "version", "status",
                           to_json_text("data").alias("data"))
 
 
@@ -47,9 +47,9 @@ def search_documents(clicks: DataFrame, key: str = "user",
                          F.to_json(F.create_map(F.col(key), F.col(value))).alias("doc"))
 
 
-def event_text(clicks: DataFrame) -> DataFrame:
+def event_text(clicks: DataFrame, keep=()) -> DataFrame:
     """PRJ-12: readable one-line rendering of a click."""
-    return clicks.select(F.format_string(
+    return clicks.select(*keep, F.format_string(
         "Event{user='%s', url='%s', timestamp=%s}", F.col("user"), F.col("url"),
         F.date_format(F.timestamp_millis("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS"))
         .alias("value"))

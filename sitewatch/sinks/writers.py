@@ -31,22 +31,26 @@ def write_batch_files(df: DataFrame, path: str, batch_id: int, fmt: str = "parqu
     w.save(f"{path}/batch_id={batch_id}")
 
 
-def write_archive(records: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """SNK-5/SNK-6: JSON lines in one folder per ``day`` (``day=yyyy-MM-dd``).
+def write_archive(records: DataFrame, path: str, batch_id: int | None = None,
+                  by_day: bool = True, max_records_per_file: int = 1_000_000) -> None:
+    """SNK-5: JSON lines in one folder per ``day`` (``day=yyyy-MM-dd``);
+    SNK-6 (``by_day=False``): the same lines without day folders.
 
-    With a batch id the lines go to ``day=<d>/batch_id=<id>`` with dynamic
+    With a batch id the lines go to ``.../batch_id=<id>`` with dynamic
     partition overwrite, so replays replace instead of duplicating. File size
     is bounded by ``maxRecordsPerFile`` instead of a rolling policy.
     """
-    out = records.select("day", "value")
-    cols = ["day"]
+    cols = ["day"] if by_day else []
+    out = records.select(*cols, "value")
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id))
         cols.append("batch_id")
-    (out.write.mode("overwrite" if batch_id is not None else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1_000_000)
-        .partitionBy(*cols).text(path))
+    w = (out.write.mode("overwrite" if batch_id is not None else "append")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", max_records_per_file))
+    if cols:
+        w = w.partitionBy(*cols)
+    w.text(path)
 
 
 def write_documents(docs: DataFrame, path: str, batch_id: int = 0) -> None:

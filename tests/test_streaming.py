@@ -124,3 +124,17 @@ def test_config_changelog_complete_mode(spark, tmp_dir):
               .agg(F.max_by("config_id", F.struct("timestamp", "config_id")).alias("c")))
     assert got == {r.site_id: r.c for r in latest.collect()}
     assert len(got) == FX.N_SITES
+
+
+def test_archive_without_day_folders(spark, tmp_dir):
+    from sitewatch.sinks.records import archive_records
+    from sitewatch.sinks.writers import write_archive
+    rec = archive_records(FX.reports_with_data(spark, SF_SMALL), bucket_time="event")
+    write_archive(rec, f"{tmp_dir}/flat", batch_id=3, by_day=False)
+    write_archive(rec, f"{tmp_dir}/flat", batch_id=3, by_day=False)
+    assert os.listdir(f"{tmp_dir}/flat") == ["batch_id=3"] or "batch_id=3" in os.listdir(
+        f"{tmp_dir}/flat")
+    assert spark.read.text(f"{tmp_dir}/flat").count() == 1000
+    write_archive(rec, f"{tmp_dir}/days")
+    days = [d for d in os.listdir(f"{tmp_dir}/days") if d.startswith("day=")]
+    assert len(days) == 30
