@@ -16,13 +16,19 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
+                      known_rows: int | None = None,
+                      bound_by: DataFrame | None = None) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
     ``known_rows`` skips the count when the caller has a proven bound
-    (e.g. a ``limit(1)``).
+    (e.g. a ``limit(1)``); ``bound_by`` counts a cheaper frame whose row
+    count bounds ``df``'s (e.g. the raw rows before a per-key reduction,
+    which avoids running the reduction's shuffle just to count).
     """
     if df.isStreaming:
         return df
-    n = known_rows if known_rows is not None else df.count()
+    if known_rows is not None:
+        n = known_rows
+    else:
+        n = (bound_by if bound_by is not None else df).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -91,7 +91,8 @@ def match_reports(reports: DataFrame, configs: DataFrame, key: str = "site_id",
     """
     cfg = prepare_config(configs, key, order)
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    cfg = checked_broadcast(cfg, **kw)
+    # raw config rows >= sites: counting them bounds the reduced table
+    cfg = checked_broadcast(cfg, bound_by=configs, **kw)
     cfg = cfg.select([F.col("site_id").alias(key)]
                      + [F.col(c).alias(f"_cfg_{c}") for c in CFG_COLS])
     joined = reports.join(cfg, on=key, how="left")
@@ -106,7 +107,11 @@ def alarms(matched: DataFrame) -> DataFrame:
 
     Adds ``sensor, reading, rule`` and drops ``violations``.
     """
-    return (matched.select("*", F.explode("violations").alias("_v"))
+    # explode_outer + filter on the generated column: a plain explode makes
+    # Catalyst infer size(violations) > 0 below the projection, which would
+    # evaluate the rule test twice per report.
+    return (matched.select("*", F.explode_outer("violations").alias("_v"))
+                   .where(F.col("_v").isNotNull())
                    .drop("violations")
                    .select("*", F.col("_v.sensor").alias("sensor"),
                            F.col("_v.reading").alias("reading"),
