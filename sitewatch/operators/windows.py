@@ -44,7 +44,7 @@ def window_averages(reports: DataFrame, tier=1, ts: str = "ts",
 
 def rollup(averages: DataFrame, from_tier, key: str = "site_id",
            sensors=S.SENSORS, site_id=None, start=None, end=None,
-           end_stamped: bool = False) -> DataFrame:
+           end_stamped: bool = False, label_offset_hours: int = 0) -> DataFrame:
     """AGG-2/AGG-3: re-average tier ``from_tier`` rows into the next tier.
 
     Unweighted mean of the stored averages per (site, coarser window), the
@@ -53,6 +53,7 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
     back, into the window it covers. Optional SRC-3 filters: one site and an
     inclusive ``end_time`` range. Means are summed in ``end_time`` order, so
     they are reproducible; each group holds at most the tier ratio of rows.
+    ``label_offset_hours`` shifts only the written label (reference: +8 h).
     """
     src, dst = S.tier(from_tier), S.next_tier(from_tier)
     df = averages.where(F.col("type") == src.code)
@@ -71,7 +72,10 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
     items = ordered_avg_struct("end_time", {s: F.col(f"avg_{s}") for s in sensors})
     out = (df.groupBy(F.col(key), F.window(event_time, dst.duration).alias("w"))
              .agg(items.alias("_items")))
-    return out.select(F.col(key), F.col("w.end").alias("end_time"),
+    end_label = F.col("w.end")
+    if label_offset_hours:
+        end_label = end_label + F.make_dt_interval(F.lit(0), F.lit(label_offset_hours))
+    return out.select(F.col(key), end_label.alias("end_time"),
                       F.lit(dst.code).alias("type"),
                       *[ordered_avg_fields(F.col("_items"), s).alias(f"avg_{s}")
                         for s in sensors])

@@ -66,6 +66,34 @@ def write_jdbc_append(df: DataFrame, url: str, table: str, properties: dict | No
        .jdbc(url, table, properties=properties or {}))
 
 
+def write_jdbc_upsert(df: DataFrame, url: str, table: str, keys,
+                      properties: dict | None = None, staging_table: str | None = None,
+                      batchsize: int = 1000) -> None:
+    """SNK-2 on a MySQL-compatible database: rows go to a staging table with
+    Spark's JDBC writer (parallel, batched), then one
+    ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE`` runs in the database.
+    The statement is idempotent, so a replayed batch leaves the same rows."""
+    props = dict(properties or {})
+    staging = staging_table or f"{table}_staging"
+    (df.write.mode("overwrite").option("batchsize", batchsize)
+       .option("truncate", "true").jdbc(url, staging, properties=props))
+    cols = df.columns
+    updates = ", ".join(f"{c} = VALUES({c})" for c in cols if c not in set(keys))
+    sql = (f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} "
+           f"FROM {staging} ON DUPLICATE KEY UPDATE {updates}")
+    jvm = df.sparkSession.sparkContext._jvm
+    info = jvm.java.util.Properties()
+    for k, v in props.items():
+        info.setProperty(k, str(v))
+    conn = jvm.java.sql.DriverManager.getConnection(url, info)
+    try:
+        stmt = conn.createStatement()
+        stmt.executeUpdate(sql)
+        stmt.close()
+    finally:
+        conn.close()
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
