@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewatch import schemas as S
 from sitewatch.functions.json import readings_map, report_struct, to_json_text
 
 N_SITES = 8
