@@ -28,11 +28,16 @@ def exact_avg(c, scale: int = 4, precision: int = 18) -> Column:
     """Average of ``c`` summed exactly as ``decimal(precision, scale)``.
 
     Readings with at most ``scale`` decimals (the devices report two) are
-    averaged without rounding error and independently of partitioning.
+    averaged without rounding error and independently of partitioning; a
+    group holding any other value is averaged with ``avg`` (no value is ever
+    rounded).
     """
     x = _col(c)
     dec = x.try_cast(T.DecimalType(precision, scale))
-    unfit = F.sum(F.when(x.isNotNull() & dec.isNull(), 1).otherwise(0))
+    # a value fits when it survives the round trip unchanged: more decimals
+    # than ``scale``, NaN, infinities or huge magnitudes send the group to avg
+    fits = dec.isNotNull() & (dec.cast("double") == x)
+    unfit = F.sum(F.when(x.isNotNull() & ~fits, 1).otherwise(0))
     exact = F.try_divide(F.sum(dec).cast("double"), F.count(dec))
     return F.when(unfit > 0, F.avg(x)).otherwise(exact)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
 from sitewatch.operators.windows import as_ntz, rollup, window_averages

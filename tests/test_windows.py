@@ -34,13 +34,14 @@ def test_hourly_count_golden(spark):
 
 def test_exact_avg_nulls_nan_and_empty(spark):
     rows = [(1, 1.25), (1, None), (1, 2.5), (2, None), (3, float("nan")), (3, 1.0),
-            (4, 1e300), (4, 1.0)]
+            (4, 1e300), (4, 1.0), (5, 0.123456), (5, 0.5)]
     df = spark.createDataFrame(rows, "g int, x double")
     got = {r.g: r.a for r in df.groupBy("g").agg(exact_avg("x").alias("a")).collect()}
     assert got[1] == (1.25 + 2.5) / 2
     assert got[2] is None
     assert math.isnan(got[3])
     assert got[4] == pytest.approx(5e299)
+    assert got[5] == (0.123456 + 0.5) / 2     # more decimals than the scale: not rounded
 
 
 def test_exact_avg_is_partition_independent(spark):
