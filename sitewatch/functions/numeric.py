@@ -4,10 +4,11 @@ A plain floating-point ``avg`` depends on the order in which partial sums are
 merged, so the same query can return different last bits on a different
 cluster layout. Two aggregate expressions here make averages reproducible:
 
-* ``exact_avg``: readings are summed as fixed-point decimals (exact, any
-  order), then divided once. Groups holding a value that does not fit the
-  fixed-point type (NaN, infinity, huge magnitudes) fall back to ``avg``, so the
-  result is never silently wrong. Map-side partial aggregation is kept.
+* ``exact_avg``: readings are summed as integer units of ``10**-scale``
+  (exact, any order), then divided once. Groups holding a value that is not a
+  whole number of units (more decimals, NaN, infinity) fall back to ``avg``,
+  so the result is never silently rounded. Map-side partial aggregation is
+  kept and the buffers are fixed-width longs.
 * ``ordered_avg``: for averages of already-averaged rows (tier rollups) the
   values are summed sequentially in a given order. The group size is bounded
   by the tier ratio (e.g. 24 hours in a day), so the per-group list is small.
@@ -17,29 +18,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c, scale: int = 4, precision: int = 18) -> Column:
-    """Average of ``c`` summed exactly as ``decimal(precision, scale)``.
+def exact_avg(c, scale: int = 4) -> Column:
+    """Average of ``c`` with an exact, order-independent sum.
 
-    Readings with at most ``scale`` decimals (the devices report two) are
-    averaged without rounding error and independently of partitioning; a
-    group holding any other value is averaged with ``avg`` (no value is ever
-    rounded).
+    Each reading is taken as an integer count of ``10**-scale`` units and the
+    units are summed as a long (a fixed-width aggregation buffer, as cheap as
+    ``avg``). Readings with at most ``scale`` decimals (the devices report two)
+    are therefore averaged without rounding error and identically for any
+    partitioning. A group holding a value with more decimals, NaN, an
+    infinity, or a sum that would overflow is averaged with plain ``avg``: no
+    reading is ever rounded.
     """
     x = _col(c)
-    dec = x.try_cast(T.DecimalType(precision, scale))
-    # a value fits when it survives the round trip unchanged: more decimals
-    # than ``scale``, NaN, infinities or huge magnitudes send the group to avg
-    fits = dec.isNotNull() & (dec.cast("double") == x)
+    unit = float(10 ** scale)
+    units = F.rint(x * unit)
+    fits = ~F.isnan(x) & (F.abs(units) < 2.0 ** 53) & (units / unit == x)
     unfit = F.sum(F.when(x.isNotNull() & ~fits, 1).otherwise(0))
-    exact = F.try_divide(F.sum(dec).cast("double"), F.count(dec))
-    return F.when(unfit > 0, F.avg(x)).otherwise(exact)
+    total = F.try_sum(F.when(fits, units.cast("long")))
+    n = F.count(F.when(fits, x))
+    exact = F.try_divide(total.cast("double") / unit, n.cast("double"))
+    return F.when((unfit > 0) | (total.isNull() & (n > 0)), F.avg(x)).otherwise(exact)
 
 
 def ordered_avg_struct(order, values: dict[str, Column]) -> Column:
