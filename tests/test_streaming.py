@@ -137,3 +137,23 @@ def test_archive_without_day_folders(spark, tmp_dir):
     write_archive(rec, f"{tmp_dir}/days")
     days = [d for d in os.listdir(f"{tmp_dir}/days") if d.startswith("day=")]
     assert len(days) == 30
+
+
+def test_config_is_reread_every_batch(spark, tmp_dir):
+    """SRC-2: the config table is polled per micro-batch; a change applies to
+    the next batch (site 2's threshold is lowered between the two batches)."""
+    import json as _json
+    out = f"{tmp_dir}/out"
+    lines = FX.reports_json(spark, SF_SMALL)
+    rules = lambda mx: _json.dumps({"tmp": {"type": "tmp", "open": 1, "max": mx,
+                                            "min": 0.0}})
+    schema = ("config_id long, site_id int, timestamp long, is_delete int, version int, "
+              "interval int, monitor_items string")
+    versions = iter([FX.literal_rows(spark, [(1, 2, 0, 0, 1, 30, rules(1000.0))], schema),
+                     FX.literal_rows(spark, [(2, 2, 0, 0, 2, 30, rules(1.0))], schema)])
+    loader = lambda: next(versions)
+    monitor_batch(lines, 0, loader, out, archive=False)
+    monitor_batch(lines, 1, loader, out, archive=False)
+    first = spark.read.text(f"{out}/alarms/batch_id=0").count()
+    second = spark.read.text(f"{out}/alarms/batch_id=1").count()
+    assert first == 0 and second > 0
