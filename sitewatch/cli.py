@@ -21,7 +21,7 @@ from sitewatch import schemas as S
 from sitewatch.operators.parse import accepted_reports, annotate_reports
 from sitewatch.operators.windows import rollup
 from sitewatch.session import get_spark
-from sitewatch.sinks.writers import purge_table, read_table, upsert_table
+from sitewatch.sinks.writers import purge_table, read_table, upsert_table, write_kafka
 from sitewatch.sources.readers import (read_config_snapshot, read_kafka, read_text,
                                        read_tier)
 from sitewatch.streaming.jobs import average_stream, monitor_stream
@@ -88,6 +88,8 @@ def main(argv=None) -> int:
     m.add_argument("--checkpoint")
     m.add_argument("--no-archive", action="store_true")
     m.add_argument("--strict", action="store_true")
+    m.add_argument("--alarm-kafka", help="bootstrap servers for the alarm topic")
+    m.add_argument("--alarm-topic", default="alarm")
 
     g = sub.add_parser("purge")
     g.add_argument("--table", required=True)
@@ -105,11 +107,16 @@ def main(argv=None) -> int:
                            trigger={"processingTime": args.trigger})
         q.awaitTermination()
     elif args.cmd == "monitor":
+        alarm_writer = None
+        if args.alarm_kafka:
+            def alarm_writer(rows, batch_id):
+                write_kafka(rows, args.alarm_kafka, args.alarm_topic)
         q = monitor_stream(spark, _lines(spark, args),
                            lambda: read_config_snapshot(spark, path=args.config), args.out,
                            checkpoint=args.checkpoint,
                            trigger={"processingTime": args.trigger},
-                           archive=not args.no_archive, strict=args.strict)
+                           archive=not args.no_archive, strict=args.strict,
+                           alarm_writer=alarm_writer)
         q.awaitTermination()
     elif args.cmd == "purge":
         purge_table(spark, args.table, "type", args.types)
