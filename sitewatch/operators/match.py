@@ -80,22 +80,47 @@ def apply_rules(df: DataFrame, data: str = "data", rules: str = "rules",
                           .otherwise(F.col(status))))
 
 
+def _salted_left_join(left: DataFrame, right: DataFrame, key: str,
+                      buckets: int) -> DataFrame:
+    """Left join on ``key`` that splits every key over ``buckets`` tasks.
+
+    Left rows get a deterministic salt (a hash of their atomic columns, so a
+    retried task recomputes the same salt); right rows are replicated once
+    per salt. A hot key's left rows thus land in up to ``buckets`` shuffle
+    partitions instead of one.
+    """
+    atomic = [F.col(c) for c, t in left.dtypes
+              if not t.startswith(("map", "array", "struct"))]
+    salt = F.pmod(F.xxhash64(*atomic), F.lit(buckets)).cast("int")
+    salted = left.withColumn("_salt", salt)
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted.join(copies, on=[key, "_salt"], how="left").drop("_salt")
+
+
 def match_reports(reports: DataFrame, configs: DataFrame, key: str = "site_id",
                   order=("timestamp", "config_id"),
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+                  max_broadcast_rows: int | None = None,
+                  salt_buckets: int = 16) -> DataFrame:
     """JN-1 + JN-3 + JN-4: annotate each report with its violations.
 
     ``configs`` are config rows (any history); the latest per site is used.
     Reports of sites without a config pass through unmatched.
     Output: report columns (status updated) + config_id + violations.
+
+    The one-row-per-site config is broadcast when its size is proven within
+    ``max_broadcast_rows``; beyond that the join is salted over
+    ``salt_buckets`` so a hot site does not end up in one task.
     """
     cfg = prepare_config(configs, key, order)
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     # raw config rows >= sites: counting them bounds the reduced table
-    cfg = checked_broadcast(cfg, bound_by=configs, **kw)
-    cfg = cfg.select([F.col("site_id").alias(key)]
-                     + [F.col(c).alias(f"_cfg_{c}") for c in CFG_COLS])
-    joined = reports.join(cfg, on=key, how="left")
+    shipped = checked_broadcast(cfg, bound_by=configs, **kw)
+    cfg_cols = ([F.col("site_id").alias(key)]
+                + [F.col(c).alias(f"_cfg_{c}") for c in CFG_COLS])
+    if shipped is cfg and not cfg.isStreaming:
+        joined = _salted_left_join(reports, cfg.select(cfg_cols), key, salt_buckets)
+    else:
+        joined = reports.join(shipped.select(cfg_cols), on=key, how="left")
     out = apply_rules(joined, rules="_cfg_rules", is_delete="_cfg_is_delete",
                       interval="_cfg_interval")
     return out.withColumnRenamed("_cfg_config_id", "config_id").drop(

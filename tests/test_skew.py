@@ -58,3 +58,24 @@ def test_hot_key_is_pre_aggregated(spark):
     plan = current_value(clicks, "user", "url", order=("timestamp", "event_id")) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_unbroadcast_match_salts_hot_site(spark):
+    """Beyond the broadcast bound the matcher's join is salted: the hot site's
+    reports spread over many tasks and the result equals the broadcast one."""
+    from sitewatch.operators.match import match_reports
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rep = _hot_reports(spark)
+        salted = match_reports(rep, FX.site_configs(spark), max_broadcast_rows=0)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert _spread(salted) >= 6
+        cols = ["report_id", "site_id", "status", "config_id"]
+        a = {tuple(r) for r in salted.select(*cols).collect()}
+        b = {tuple(r) for r in match_reports(rep, FX.site_configs(spark)).select(*cols).collect()}
+        assert a == b and len(a) == rep.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
