@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewatch import schemas as S
 from sitewatch.functions.json import readings_map, report_struct, to_json_text
 
 N_SITES = 8
@@ -94,12 +95,16 @@ def reports_with_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(spark, sf_dir).withColumn("data", readings_map())
 
 
-def reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wire form: one JSON text per report (``value``), plus the edge lines."""
-    good = reports_with_data(spark, sf_dir).select(
+def reports_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire form of every report: one JSON text per report (``value``)."""
+    return reports_with_data(spark, sf_dir).select(
         to_json_text(report_struct()).alias("value"))
+
+
+def reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire form of every report plus the malformed and edge lines."""
     bad = literal_rows(spark, [(v,) for v in BAD_REPORT_LINES], "value string")
-    return good.unionByName(bad)
+    return reports_wire(spark, sf_dir).unionByName(bad)
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +164,16 @@ def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_json_text(items).alias("monitor_items"))
 
 
+def config_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The config change log as wire JSON messages (``value``), one per
+    change, with its arrival order (``config_id``) as a topic offset would."""
+    c = config_changes(spark, sf_dir)
+    msg = F.struct(F.col("site_id").alias("siteId"), F.col("timestamp"),
+                   F.col("version"), F.col("interval"), F.col("is_delete").alias("isDelete"),
+                   F.from_json("monitor_items", S.RULES).alias("monitorItems"))
+    return c.select("config_id", to_json_text(msg).alias("value"))
+
+
 def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, d`` (DATE) for the calendar jobs."""
     return table(spark, sf_dir, "orders").select(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sitewatch import fixtures as FX
 from sitewatch.operators.parse import (accepted_reports, annotate_reports,
-                                       explode_rules, parse_csv_events,
+                                       explode_rules, parse_config_messages,
+                                       parse_csv_events, parse_report_table,
                                        rejected_reports)
 from sitewatch.plans import oracle as O
 from sitewatch.plans.catalog import register
@@ -141,3 +142,27 @@ def q_alarm_roundtrip(spark, sf_dir):
                        F.col("a.monitorItem.open").alias("rule_open"),
                        F.col("a.monitorItem.max").alias("rule_max"),
                        F.col("a.monitorItem.min").alias("rule_min"))
+
+
+@register("report_table", f"""WITH {O.REPORTS}
+SELECT site_id AS "siteId", "timestamp", type, version, status,
+       to_json(MAP {{'tmp': tmp, 'hmt': hmt, 'lx': lx}})::VARCHAR AS data
+FROM reports""")
+def q_report_table(spark, sf_dir):
+    """SRC-7 / PRJ-7: declared JSON table over the report text, tolerant of
+    missing fields, with ``data`` kept as raw JSON text."""
+    return parse_report_table(FX.reports_wire(spark, sf_dir))
+
+
+def _msg_rules_sql(sensor):
+    return (f"SELECT config_id, site_id, \"interval\", is_delete, '{sensor}' AS sensor, "
+            f"'{sensor}' AS rule_type, {sensor}_open AS open, {sensor}_max AS max, "
+            f"{sensor}_min AS min FROM config_changes")
+
+
+@register("config_messages", f"""WITH {O.CONFIG_CHANGES}
+{_msg_rules_sql('tmp')} UNION ALL {_msg_rules_sql('hmt')} UNION ALL {_msg_rules_sql('lx')}""")
+def q_config_messages(spark, sf_dir):
+    """SRC-4 / PRJ-10: config change messages (wire JSON) parsed into rules."""
+    cfg = parse_config_messages(FX.config_messages(spark, sf_dir), keep=("config_id",))
+    return explode_rules(cfg, keep=("config_id", "site_id", "interval", "is_delete"))
