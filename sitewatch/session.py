@@ -39,6 +39,9 @@ def get_spark(master: str | None = None, app: str = "sitewatch",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("SITEWATCH_DRIVER_MEMORY", "8g"),
+        # upserts checkpoint their merged rows every micro-batch; drop those
+        # files once nothing references them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
