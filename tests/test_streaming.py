@@ -157,3 +157,29 @@ def test_config_is_reread_every_batch(spark, tmp_dir):
     first = spark.read.text(f"{out}/alarms/batch_id=0").count()
     second = spark.read.text(f"{out}/alarms/batch_id=1").count()
     assert first == 0 and second > 0
+
+
+def test_late_report_is_dropped(spark, tmp_dir):
+    """ST-8: no allowed lateness. A report whose window was already emitted
+    (its end is behind the watermark of an earlier micro-batch) is dropped
+    and does not change the stored average. Spark filters with the previous
+    batch's watermark, so lateness is judged one micro-batch behind."""
+    src, table = f"{tmp_dir}/in", f"{tmp_dir}/tier"
+    line = ('{{"siteId":1,"timestamp":{ts},"type":"report","version":1,"status":0,'
+            '"data":{{"tmp":{v},"hmt":0.5,"lx":1.0}}}}')
+    hour = 3_600_000
+    batches = [[line.format(ts=0, v=10.0), line.format(ts=2 * hour, v=30.0)],
+               [line.format(ts=4 * hour, v=50.0)],
+               [line.format(ts=60_000, v=1000.0), line.format(ts=6 * hour, v=70.0)]]
+    for rows in batches:
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1) \
+            .write.mode("append").text(src)
+        time.sleep(1.1)
+    q = average_stream(spark, _reports_stream(spark, src), table, tier="HOUR",
+                       checkpoint=f"{tmp_dir}/ckpt", trigger=AVAILABLE_NOW)
+    q.awaitTermination(300)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    got = {r.end_time.hour: r.avg_tmp for r in read_table(spark, table).collect()}
+    assert got[1] == 10.0 and dropped >= 1   # the late 1000.0 did not reopen hour 1
+    assert got[3] == 30.0 and got[5] == 50.0

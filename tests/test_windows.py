@@ -83,6 +83,8 @@ def test_rollup_end_label_and_lx_fix(spark):
     assert first.avg_tmp == 20.0 and first.avg_lx == 300.0 and first.type == 3
     second = by_end[_ts(2 * day)]
     assert second.avg_tmp == 20.0 and second.avg_lx == 300.0
+    shifted = {r.end_time for r in rollup(df, 2, label_offset_hours=8).collect()}
+    assert shifted == {_ts(day + 8 * 3_600_000), _ts(2 * day + 8 * 3_600_000)}
     stamped = {r.end_time: r for r in rollup(df, 2, end_stamped=True).collect()}
     assert stamped[_ts(day)].avg_tmp == 15.0
     assert stamped[_ts(2 * day)].avg_tmp == 30.0
