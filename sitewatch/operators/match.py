@@ -100,7 +100,7 @@ def _salted_left_join(left: DataFrame, right: DataFrame, key: str,
 def match_reports(reports: DataFrame, configs: DataFrame, key: str = "site_id",
                   order=("timestamp", "config_id"),
                   max_broadcast_rows: int | None = None,
-                  salt_buckets: int = 16) -> DataFrame:
+                  salt_buckets: int = 16, config_rows: int | None = None) -> DataFrame:
     """JN-1 + JN-3 + JN-4: annotate each report with its violations.
 
     ``configs`` are config rows (any history); the latest per site is used.
@@ -110,11 +110,12 @@ def match_reports(reports: DataFrame, configs: DataFrame, key: str = "site_id",
     The one-row-per-site config is broadcast when its size is proven within
     ``max_broadcast_rows``; beyond that the join is salted over
     ``salt_buckets`` so a hot site does not end up in one task.
+    ``config_rows``: a known bound on the config rows (skips the count).
     """
     cfg = prepare_config(configs, key, order)
     kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     # raw config rows >= sites: counting them bounds the reduced table
-    shipped = checked_broadcast(cfg, bound_by=configs, **kw)
+    shipped = checked_broadcast(cfg, bound_by=configs, known_rows=config_rows, **kw)
     cfg_cols = ([F.col("site_id").alias(key)]
                 + [F.col(c).alias(f"_cfg_{c}") for c in CFG_COLS])
     if shipped is cfg and not cfg.isStreaming:

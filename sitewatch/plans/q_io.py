@@ -130,7 +130,8 @@ SELECT report_id, site_id, "timestamp", 1 AS status, tmp, hmt, lx,
 FROM hits""")
 def q_alarm_roundtrip(spark, sf_dir):
     """PRJ-9: alarm JSON text parsed back into the nested record."""
-    a = alarms(match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark)))
+    a = alarms(match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark),
+                             config_rows=len(FX.SITE_RULES)))
     text = alarm_records(a, keep=("report_id",))
     back = text.select("report_id", parse_alarm("value").alias("a"))
     d = F.col("a.dataReport")

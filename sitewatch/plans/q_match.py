@@ -16,7 +16,8 @@ from sitewatch.plans.catalog import register
 
 
 def _matched(spark, sf_dir):
-    return match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark))
+    return match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark),
+                         config_rows=len(FX.SITE_RULES))
 
 
 def _alarm_cols(df):
