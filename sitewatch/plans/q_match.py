@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitewatch import fixtures as FX
-from sitewatch.functions.json import report_struct, rule_struct, to_json_text
+from sitewatch.functions.json import parse_rules, report_struct, rule_struct, to_json_text
 from sitewatch.operators.asof import asof_join
 from sitewatch.operators.match import (alarms, apply_rules, match_reports,
                                        single_slot_match)
-from sitewatch.functions.json import parse_rules
 from sitewatch.operators.windows import as_ntz
 from sitewatch.plans import oracle as O
 from sitewatch.plans.catalog import register
