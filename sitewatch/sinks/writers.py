@@ -77,8 +77,9 @@ def write_jdbc_upsert(df: DataFrame, url: str, table: str, keys,
     staging = staging_table or f"{table}_staging"
     (df.write.mode("overwrite").option("batchsize", batchsize)
        .option("truncate", "true").jdbc(url, staging, properties=props))
-    cols = df.columns
-    updates = ", ".join(f"{c} = VALUES({c})" for c in cols if c not in set(keys))
+    cols = [f"`{c}`" for c in df.columns]            # MySQL-dialect identifiers
+    keyset = {f"`{k}`" for k in keys}
+    updates = ", ".join(f"{c} = VALUES({c})" for c in cols if c not in keyset)
     sql = (f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} "
            f"FROM {staging} ON DUPLICATE KEY UPDATE {updates}")
     jvm = df.sparkSession.sparkContext._jvm
