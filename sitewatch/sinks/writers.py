@@ -66,6 +66,16 @@ def write_jdbc_append(df: DataFrame, url: str, table: str, properties: dict | No
        .jdbc(url, table, properties=properties or {}))
 
 
+def upsert_statement(table: str, staging: str, columns, keys) -> str:
+    """``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE`` (MySQL dialect)
+    moving a staging table into ``table``; non-key columns are updated."""
+    cols = [f"`{c}`" for c in columns]
+    keyset = {f"`{k}`" for k in keys}
+    updates = ", ".join(f"{c} = VALUES({c})" for c in cols if c not in keyset)
+    return (f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} "
+            f"FROM {staging} ON DUPLICATE KEY UPDATE {updates}")
+
+
 def write_jdbc_upsert(df: DataFrame, url: str, table: str, keys,
                       properties: dict | None = None, staging_table: str | None = None,
                       batchsize: int = 1000) -> None:
@@ -77,11 +87,7 @@ def write_jdbc_upsert(df: DataFrame, url: str, table: str, keys,
     staging = staging_table or f"{table}_staging"
     (df.write.mode("overwrite").option("batchsize", batchsize)
        .option("truncate", "true").jdbc(url, staging, properties=props))
-    cols = [f"`{c}`" for c in df.columns]            # MySQL-dialect identifiers
-    keyset = {f"`{k}`" for k in keys}
-    updates = ", ".join(f"{c} = VALUES({c})" for c in cols if c not in keyset)
-    sql = (f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(cols)} "
-           f"FROM {staging} ON DUPLICATE KEY UPDATE {updates}")
+    sql = upsert_statement(table, staging, df.columns, keys)
     jvm = df.sparkSession.sparkContext._jvm
     info = jvm.java.util.Properties()
     for k, v in props.items():

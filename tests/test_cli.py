@@ -31,3 +31,12 @@ def test_rollup_job_and_purge(spark, tmp_dir):
     left = read_table(spark, table).groupBy("type").count().collect()
     assert [r.type for r in left] == [3]
     assert t.where(F.col("end_date").isNull()).count() == 0
+
+
+def test_jdbc_upsert_statement():
+    from sitewatch.sinks.writers import upsert_statement
+    sql = upsert_statement("dev_avg_data", "dev_avg_data_staging",
+                           ["site_id", "end_time", "type", "avg_tmp"], S.AVG_KEYS)
+    assert sql == ("INSERT INTO dev_avg_data (`site_id`, `end_time`, `type`, `avg_tmp`) "
+                   "SELECT `site_id`, `end_time`, `type`, `avg_tmp` FROM dev_avg_data_staging "
+                   "ON DUPLICATE KEY UPDATE `avg_tmp` = VALUES(`avg_tmp`)")
