@@ -8,6 +8,8 @@ inline data are the 8-site threshold table and a dozen malformed report lines.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,41 +55,58 @@ BAD_REPORT_LINES = (
 # ---------------------------------------------------------------------------
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return str(v)
+
+
 def literal_rows(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small inline table built from literals inside the JVM (no Python
-    worker, no RDD of pickled rows): ``inline`` over one array of structs."""
+    """A small inline table (an SQL ``VALUES`` list: a local relation built in
+    one statement, no Python worker and no RDD of pickled rows)."""
     fields = [f.strip().split(" ", 1) for f in schema.split(",")]
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, row)])
-               for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    values = ", ".join(
+        "(" + ", ".join(f"CAST({_sql_literal(v)} AS {t})" for (_, t), v in zip(fields, row))
+        + ")" for row in rows)
+    names = ", ".join(f"`{n}`" for n, _ in fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
+_TABLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given parquet tables. The reader (and its file listing) is
+    reused per session: the fixture tables are read-only."""
+    path = f"{sf_dir}/{name}.parquet"
+    cache = _TABLES.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
+# k of the events' ``props`` JSON, and the event time as an instant
+_K = "try_cast(get_json_object(props, '$.k') AS INT)"
+_TS = "CAST(ts AS TIMESTAMP)"
 
 
 def reports(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     """Flattened reports: report_id, site_id, timestamp(ms), ts, type, version,
     status, tmp, hmt, lx (+ ``keep`` columns of ``events``)."""
-    ev = table(spark, sf_dir, "events")
-    ts = F.col("ts").cast("timestamp")
-    k = _k()
-    return ev.select(
-        F.col("event_id").alias("report_id"),
-        (F.col("user_id") % N_SITES + 1).cast("int").alias("site_id"),
-        F.unix_millis(ts).alias("timestamp"),
-        ts.alias("ts"),
-        F.lit("report").alias("type"),
-        F.lit(1).alias("version"),
-        F.lit(0).alias("status"),
-        F.col("value").alias("tmp"),
-        (k.cast("double") / 100).alias("hmt"),
-        (k.cast("double") * 10).alias("lx"),
-        *[F.col(c) for c in keep])
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS report_id",
+        f"CAST(user_id % {N_SITES} + 1 AS INT) AS site_id",
+        f"unix_millis({_TS}) AS timestamp",
+        f"{_TS} AS ts",
+        "'report' AS type", "1 AS version", "0 AS status",
+        "value AS tmp",
+        f"CAST({_K} AS DOUBLE) / 100 AS hmt",
+        f"CAST({_K} AS DOUBLE) * 10 AS lx",
+        *keep)
 
 
 def reports_with_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,19 +128,16 @@ def reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events of the demos: event_id, user, url, ts, timestamp(ms)."""
-    ev = table(spark, sf_dir, "events")
-    ts = F.col("ts").cast("timestamp")
-    return ev.select(F.col("event_id"),
-                     F.col("user_id").cast("string").alias("user"),
-                     F.concat(F.lit("./"), F.col("event_type")).alias("url"),
-                     ts.alias("ts"), F.unix_millis(ts).alias("timestamp"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", "CAST(user_id AS STRING) AS `user`",
+        "concat('./', event_type) AS url", f"{_TS} AS ts",
+        f"unix_millis({_TS}) AS timestamp")
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks as ``user , url, timestamp`` text lines (padding exercises trim)."""
-    c = clicks(spark, sf_dir)
-    return c.select(F.concat(F.col("user"), F.lit(" ,"), F.col("url"), F.lit(", "),
-                             F.col("timestamp").cast("string")).alias("value"))
+    return clicks(spark, sf_dir).selectExpr(
+        "concat(`user`, ' ,', url, ', ', CAST(timestamp AS STRING)) AS value")
 
 
 def site_configs(spark: SparkSession) -> DataFrame:
@@ -144,24 +160,20 @@ def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     config_id (arrival order), site_id, ts, timestamp, version, interval,
     is_delete, monitor_items (JSON rules for tmp, hmt, lx).
     """
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    ts = F.col("ts").cast("timestamp")
-    k = _k()
-    rule = lambda name, open_, mx, mn: F.struct(
-        F.lit(name).alias("type"), open_.cast("int").alias("open"),
-        mx.cast("double").alias("max"), mn.cast("double").alias("min"))
-    items = F.create_map(
-        F.lit("tmp"), rule("tmp", F.lit(1), F.col("value"), k.cast("double") / 10),
-        F.lit("hmt"), rule("hmt", k % 2, F.lit(0.9), F.lit(0.1)),
-        F.lit("lx"), rule("lx", F.lit(1), k.cast("double") * 10, F.lit(0.0)))
-    return ev.select(
-        F.col("event_id").alias("config_id"),
-        (F.col("user_id") % N_SITES + 1).cast("int").alias("site_id"),
-        ts.alias("ts"), F.unix_millis(ts).alias("timestamp"),
-        k.alias("version"),
-        F.when(k % 10 == 0, 0).otherwise(30).alias("interval"),
-        F.when(k % 25 == 0, 1).otherwise(0).alias("is_delete"),
-        to_json_text(items).alias("monitor_items"))
+    def rule(name, open_, mx, mn):
+        return (f"'{name}', named_struct('type', '{name}', 'open', CAST({open_} AS INT), "
+                f"'max', CAST({mx} AS DOUBLE), 'min', CAST({mn} AS DOUBLE))")
+    items = ("map(" + rule("tmp", "1", "value", f"CAST({_K} AS DOUBLE) / 10") + ", "
+             + rule("hmt", f"{_K} % 2", "0.9", "0.1") + ", "
+             + rule("lx", "1", f"CAST({_K} AS DOUBLE) * 10", "0.0") + ")")
+    return table(spark, sf_dir, "events").where("event_type = 'signup'").selectExpr(
+        "event_id AS config_id",
+        f"CAST(user_id % {N_SITES} + 1 AS INT) AS site_id",
+        f"{_TS} AS ts", f"unix_millis({_TS}) AS timestamp",
+        f"{_K} AS version",
+        f"CASE WHEN {_K} % 10 = 0 THEN 0 ELSE 30 END AS `interval`",
+        f"CASE WHEN {_K} % 25 = 0 THEN 1 ELSE 0 END AS is_delete",
+        f"to_json({items}, map('ignoreNullFields', 'false')) AS monitor_items")
 
 
 def config_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,27 +18,27 @@ def _col(c) -> Column:
 def readings_map(*sensors: str) -> Column:
     """``map('tmp', tmp, 'hmt', hmt, 'lx', lx)`` from flattened columns."""
     sensors = sensors or S.SENSORS
-    args = []
-    for s in sensors:
-        args += [F.lit(s), F.col(s).cast("double")]
-    return F.create_map(*args)
+    return F.expr("map(" + ", ".join(f"'{s}', CAST(`{s}` AS DOUBLE)" for s in sensors) + ")")
+
+
+def _q(name: str) -> str:
+    """SQL reference to a column or nested field: ``rule.max`` -> `rule`.`max`."""
+    return ".".join(f"`{part}`" for part in name.split("."))
 
 
 def report_struct(site_id="site_id", timestamp="timestamp", type_="type",
                   version="version", status="status", data="data") -> Column:
     """Wire-shaped report struct (camelCase names) from table columns."""
-    return F.struct(_col(site_id).cast("int").alias("siteId"),
-                    _col(timestamp).cast("long").alias("timestamp"),
-                    _col(type_).alias("type"),
-                    _col(version).cast("int").alias("version"),
-                    _col(status).cast("int").alias("status"),
-                    _col(data).alias("data"))
+    return F.expr(f"named_struct('siteId', CAST({_q(site_id)} AS INT), "
+                  f"'timestamp', CAST({_q(timestamp)} AS BIGINT), 'type', {_q(type_)}, "
+                  f"'version', CAST({_q(version)} AS INT), "
+                  f"'status', CAST({_q(status)} AS INT), 'data', {_q(data)})")
 
 
 def rule_struct(type_, open_, max_, min_) -> Column:
-    return F.struct(_col(type_).alias("type"), _col(open_).cast("int").alias("open"),
-                    _col(max_).cast("double").alias("max"),
-                    _col(min_).cast("double").alias("min"))
+    """Wire-shaped rule struct from columns or nested fields."""
+    return F.expr(f"named_struct('type', {_q(type_)}, 'open', CAST({_q(open_)} AS INT), "
+                  f"'max', CAST({_q(max_)} AS DOUBLE), 'min', CAST({_q(min_)} AS DOUBLE))")
 
 
 def to_json_text(c) -> Column:

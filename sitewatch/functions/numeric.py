@@ -24,8 +24,8 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c, scale: int = 4) -> Column:
-    """Average of ``c`` with an exact, order-independent sum.
+def exact_avg(c: str, scale: int = 4) -> Column:
+    """Average of column ``c`` with an exact, order-independent sum.
 
     Each reading is taken as an integer count of ``10**-scale`` units and the
     units are summed as a long (a fixed-width aggregation buffer, as cheap as
@@ -34,31 +34,36 @@ def exact_avg(c, scale: int = 4) -> Column:
     partitioning. A group holding a value with more decimals, NaN, an
     infinity, or a sum that would overflow is averaged with plain ``avg``: no
     reading is ever rounded.
+
+    Written as one SQL expression: the whole aggregate is parsed once on the
+    JVM instead of being assembled from dozens of driver round trips.
     """
-    x = _col(c)
-    unit = float(10 ** scale)
-    units = F.rint(x * unit)
-    fits = ~F.isnan(x) & (F.abs(units) < 2.0 ** 53) & (units / unit == x)
-    unfit = F.sum(F.when(x.isNotNull() & ~fits, 1).otherwise(0))
-    total = F.try_sum(F.when(fits, units.cast("long")))
-    n = F.count(F.when(fits, x))
-    exact = F.try_divide(total.cast("double") / unit, n.cast("double"))
-    return F.when((unfit > 0) | (total.isNull() & (n > 0)), F.avg(x)).otherwise(exact)
+    x = f"`{c}`"
+    unit = f"{float(10 ** scale)!r}D"
+    units = f"rint({x} * {unit})"
+    fits = f"(NOT isnan({x}) AND abs({units}) < 9007199254740992D AND {units} / {unit} = {x})"
+    return F.expr(f"""
+      CASE WHEN sum(CASE WHEN {x} IS NOT NULL AND NOT {fits} THEN 1 ELSE 0 END) > 0
+             OR (try_sum(CASE WHEN {fits} THEN CAST({units} AS BIGINT) END) IS NULL
+                 AND count(CASE WHEN {fits} THEN {x} END) > 0)
+           THEN avg({x})
+           ELSE try_divide(CAST(try_sum(CASE WHEN {fits} THEN CAST({units} AS BIGINT) END)
+                                AS DOUBLE) / {unit},
+                           CAST(count(CASE WHEN {fits} THEN {x} END) AS DOUBLE))
+      END""")
 
 
-def ordered_avg_struct(order, values: dict[str, Column]) -> Column:
+def ordered_avg_struct(order: str, values: dict[str, str]) -> Column:
     """Collect ``struct(order, *values)`` for :func:`ordered_avg_fields`."""
-    return F.collect_list(F.struct(_col(order).alias("_o"),
-                                   *[_col(v).alias(k) for k, v in values.items()]))
+    fields = ", ".join(f"'{k}', `{v}`" for k, v in values.items())
+    return F.expr(f"collect_list(named_struct('_o', `{order}`, {fields}))")
 
 
-def ordered_avg_fields(items: Column, field: str) -> Column:
+def ordered_avg_fields(items: str, field: str) -> Column:
     """Sequential (order-fixed) average of ``field`` over a collected list.
 
     NULL values are ignored like ``avg``; no value gives NULL.
     """
-    ordered = F.array_sort(items)
-    present = F.filter(ordered, lambda s: s[field].isNotNull())
-    total = F.aggregate(present, F.lit(0.0).cast("double"),
-                        lambda acc, s: acc + s[field])
-    return F.try_divide(total, F.size(present).cast("double"))
+    present = f"filter(array_sort(`{items}`), s -> s.`{field}` IS NOT NULL)"
+    return F.expr(f"try_divide(aggregate({present}, 0D, (acc, s) -> acc + s.`{field}`), "
+                  f"CAST(size({present}) AS DOUBLE))")

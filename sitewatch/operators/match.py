@@ -37,47 +37,43 @@ def prepare_config(configs: DataFrame, key: str = "site_id",
                          F.col("is_delete"), F.col("interval"), rules.alias("rules"))
 
 
-def _data_col(df: DataFrame, data: str) -> Column:
-    return F.col(data) if data in df.columns else readings_map()
+def _with_data(df: DataFrame, data: str) -> DataFrame:
+    """Make sure the readings map exists (built from sensor columns if not)."""
+    return df if data in df.columns else df.withColumn(data, readings_map())
 
 
-def violations(rules: Column, data: Column, is_delete: Column | None = None,
-               interval: Column | None = None, honour_switches: bool = True) -> Column:
+def violations(rules: str, data: str, is_delete: str | None = None,
+               interval: str | None = None, honour_switches: bool = True) -> Column:
     """Array of ``struct(sensor, reading, rule)`` for every broken rule.
 
     Site skipped when ``is_delete == 1`` or ``interval <= 0`` (NULL reads as 0,
     like the JDBC getter); rules with ``open <= 0`` skipped; a missing, NULL or
-    NaN reading is normal; equality is normal.
+    NaN reading is normal; equality is normal. Each reading is looked up once
+    per rule. One SQL expression (higher-order functions), parsed once.
     """
-    safe_rules = F.coalesce(rules, F.create_map().cast(S.RULES))
+    checks = ["h.reading IS NOT NULL", "NOT isnan(h.reading)",
+              "(h.rule.max < h.reading OR h.rule.min > h.reading)"]
     if honour_switches:
-        active = ((F.coalesce(is_delete, F.lit(0)) != 1)
-                  & (F.coalesce(interval, F.lit(0)) > 0))
-    else:
-        active = F.lit(True)
-
-    def broken(e):
-        v = F.try_element_at(data, e["key"])
-        r = e["value"]
-        test = v.isNotNull() & ~F.isnan(v) & ((r["max"] < v) | (r["min"] > v))
-        if honour_switches:
-            test = test & (F.coalesce(r["open"], F.lit(0)) > 0)
-        return F.coalesce(active & test, F.lit(False))
-
-    hits = F.filter(F.map_entries(safe_rules), broken)
-    return F.transform(hits, lambda e: F.struct(
-        e["key"].alias("sensor"), F.try_element_at(data, e["key"]).alias("reading"),
-        e["value"].alias("rule")))
+        checks = [f"coalesce(`{is_delete}`, 0) != 1", f"coalesce(`{interval}`, 0) > 0",
+                  "coalesce(h.rule.open, 0) > 0"] + checks
+    empty = f"CAST(map() AS {S.RULES.simpleString()})"
+    return F.expr(f"""
+      filter(
+        transform(map_entries(coalesce(`{rules}`, {empty})),
+                  e -> named_struct('sensor', e.key,
+                                    'reading', try_element_at(`{data}`, e.key),
+                                    'rule', e.value)),
+        h -> coalesce({' AND '.join(checks)}, false))""")
 
 
 def apply_rules(df: DataFrame, data: str = "data", rules: str = "rules",
                 is_delete: str = "is_delete", interval: str = "interval",
                 status: str = "status") -> DataFrame:
     """JN-3 + JN-4 main output on rows that already carry their config."""
-    v = violations(F.col(rules), _data_col(df, data), F.col(is_delete), F.col(interval))
-    return (df.withColumn("violations", v)
-              .withColumn(status, F.when(F.size("violations") > 0, F.lit(1))
-                          .otherwise(F.col(status))))
+    df = _with_data(df, data)
+    return (df.withColumn("violations", violations(rules, data, is_delete, interval))
+              .withColumn(status, F.expr(f"CASE WHEN size(violations) > 0 THEN 1 "
+                                         f"ELSE `{status}` END")))
 
 
 def _salted_left_join(left: DataFrame, right: DataFrame, key: str,
@@ -136,13 +132,11 @@ def alarms(matched: DataFrame) -> DataFrame:
     # explode_outer + filter on the generated column: a plain explode makes
     # Catalyst infer size(violations) > 0 below the projection, which would
     # evaluate the rule test twice per report.
-    return (matched.select("*", F.explode_outer("violations").alias("_v"))
-                   .where(F.col("_v").isNotNull())
-                   .drop("violations")
-                   .select("*", F.col("_v.sensor").alias("sensor"),
-                           F.col("_v.reading").alias("reading"),
-                           F.col("_v.rule").alias("rule"))
-                   .drop("_v"))
+    keep = [f"`{c}`" for c in matched.columns if c != "violations"]
+    return (matched.selectExpr(*keep, "explode_outer(violations) AS _v")
+                   .where("_v IS NOT NULL")
+                   .selectExpr(*keep, "_v.sensor AS sensor", "_v.reading AS reading",
+                               "_v.rule AS rule"))
 
 
 def single_slot_match(reports: DataFrame, configs: DataFrame,
@@ -154,11 +148,11 @@ def single_slot_match(reports: DataFrame, configs: DataFrame,
     items = last["monitor_items"]
     rules = parse_rules(items) if dict(last.dtypes)["monitor_items"] == "string" else items
     last = checked_broadcast(last.select(F.col(key), rules.alias("_rules")), known_rows=1)
-    joined = reports.join(last, on=key, how="inner")
-    v = violations(F.col("_rules"), _data_col(joined, "data"), honour_switches=False)
-    out = (joined.withColumn("violations", v)
-                 .withColumn("status", F.when(F.size("violations") > 0, F.lit(1))
-                             .otherwise(F.col("status")))
+    joined = _with_data(reports.join(last, on=key, how="inner"), "data")
+    out = (joined.withColumn("violations", violations("_rules", "data",
+                                                      honour_switches=False))
+                 .withColumn("status", F.expr("CASE WHEN size(violations) > 0 THEN 1 "
+                                              "ELSE status END"))
                  .drop("_rules"))
     return alarms(out)
 

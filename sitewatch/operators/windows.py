@@ -69,7 +69,7 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
     event_time = F.col("end_time")
     if end_stamped:
         event_time = event_time - F.expr("INTERVAL 1 MICROSECOND")
-    items = ordered_avg_struct("end_time", {s: F.col(f"avg_{s}") for s in sensors})
+    items = ordered_avg_struct("end_time", {s: f"avg_{s}" for s in sensors})
     out = (df.groupBy(F.col(key), F.window(event_time, dst.duration).alias("w"))
              .agg(items.alias("_items")))
     end_label = F.col("w.end")
@@ -77,7 +77,7 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
         end_label = end_label + F.make_dt_interval(F.lit(0), F.lit(label_offset_hours))
     return out.select(F.col(key), end_label.alias("end_time"),
                       F.lit(dst.code).alias("type"),
-                      *[ordered_avg_fields(F.col("_items"), s).alias(f"avg_{s}")
+                      *[ordered_avg_fields("_items", s).alias(f"avg_{s}")
                         for s in sensors])
 
 
