@@ -14,7 +14,9 @@ axis is cut into buckets and the work is partitioned by (key, bucket):
    sorted by time, and ``last(..., ignorenulls)`` over the running frame.
 
 No pairs are generated and no group grows beyond one bucket of one key;
-pick ``bucket`` so that a bucket of the hottest key fits a task.
+pick ``bucket`` so that a bucket of the hottest key fits a task. The left
+rows travel whole through the shuffle: project them to the needed columns
+first.
 """
 
 from __future__ import annotations

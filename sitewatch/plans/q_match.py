@@ -123,7 +123,9 @@ FROM n""")
 def q_config_asof(spark, sf_dir):
     """JN-1 batch form: each report is matched against the config of its site
     that was in force at the report's event time (as-of join)."""
-    reports = FX.reports_with_data(spark, sf_dir)
+    # project before the as-of join: its shuffle carries whole left rows
+    reports = FX.reports_with_data(spark, sf_dir).select(
+        "report_id", "site_id", "ts", "status", "data")
     changes = FX.config_changes(spark, sf_dir).withColumn(
         "rules", parse_rules("monitor_items"))
     joined = asof_join(reports, changes, key="site_id", left_ts="ts", right_ts="ts",
