@@ -6,8 +6,8 @@
   monitor   streaming parse + match + alarms + archive
   purge     drop tiers from the averaged table (``delete ... where type in``)
 
-The averaged table is parquet partitioned by (type, end_date); writes are
-keyed upserts, so re-running a job gives the same table.
+The averaged table is parquet partitioned by (type, end_date, end_hour);
+writes are keyed upserts, so re-running a job gives the same table.
 """
 
 from __future__ import annotations
@@ -15,24 +15,16 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 from sitewatch import schemas as S
 from sitewatch.operators.parse import accepted_reports, annotate_reports
 from sitewatch.operators.windows import rollup
 from sitewatch.session import get_spark
-from sitewatch.sinks.writers import purge_table, read_table, upsert_table, write_kafka
+from sitewatch.sinks.writers import (AVG_PARTITIONS, purge_table, read_table,
+                                     upsert_table, with_avg_partitions, write_kafka)
 from sitewatch.sources.readers import (read_config_snapshot, read_kafka, read_text,
                                        read_tier)
 from sitewatch.streaming.jobs import average_stream, monitor_stream
 
-AVG_PARTITIONS = ("type", "end_date")
-
-
-def with_end_date(df):
-    return df.withColumn("end_date", F.to_date("end_time"))
-
-
 def run_rollup(spark, table: str, tier_code: int, site_id=None, start=None, end=None,
                output: str | None = None, label_offset_hours: int = 0,
                end_stamped: bool = False) -> None:
@@ -42,7 +34,7 @@ def run_rollup(spark, table: str, tier_code: int, site_id=None, start=None, end=
     scan = read_tier(src, site_id=site_id, start=start, end=end, tier_code=tier_code)
     out = rollup(scan, tier_code, label_offset_hours=label_offset_hours,
                  end_stamped=end_stamped)
-    upsert_table(spark, with_end_date(out), output or table, S.AVG_KEYS,
+    upsert_table(spark, with_avg_partitions(out), output or table, S.AVG_KEYS,
                  partition_by=AVG_PARTITIONS)
 
 

@@ -13,6 +13,18 @@ from sitewatch.operators.upsert import dedupe_updates, upsert
 from sitewatch.session import checkpoint_root
 
 
+# Layout of the averaged-tier table: a micro-batch of minute averages touches
+# only the current hour's partition, so an upsert rewrites at most one hour of
+# rows per tier instead of a whole (growing) day.
+AVG_PARTITIONS = ("type", "end_date", "end_hour")
+
+
+def with_avg_partitions(df: DataFrame) -> DataFrame:
+    """Add the partition columns of the averaged-tier table."""
+    return df.withColumns({"end_date": F.to_date("end_time"),
+                           "end_hour": F.hour("end_time")})
+
+
 def write_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
     """SNK-1/SNK-9: rows with a ``value`` text column to a Kafka topic
     (needs the spark-sql-kafka package)."""

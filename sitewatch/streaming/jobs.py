@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sitewatch import schemas as S
@@ -28,7 +27,8 @@ from sitewatch.operators.topn import top_n_streaming
 from sitewatch.operators.windows import window_averages
 from sitewatch.session import checkpoint_root
 from sitewatch.sinks.records import alarm_records, archive_records
-from sitewatch.sinks.writers import upsert_table, write_archive, write_batch_files
+from sitewatch.sinks.writers import (AVG_PARTITIONS, upsert_table, with_avg_partitions,
+                                     write_archive, write_batch_files)
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
@@ -81,15 +81,14 @@ def average_stream(spark: SparkSession, reports: DataFrame, table_path: str, tie
                    trigger: dict | None = None, ts: str = "ts") -> StreamingQuery:
     """Streaming AGG-1 + SNK-2: windows are emitted once the watermark passes
     their end (append mode) and upserted into the averaged-tier table,
-    partitioned by (type, end_date) so each batch rewrites only the days it
-    touches."""
+    partitioned by (type, end_date, end_hour) so each batch rewrites only the
+    hours it touches."""
     t = S.tier(tier)
     averaged = window_averages(reports.withWatermark(ts, watermark), tier=t, ts=ts)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        upsert_table(df.sparkSession,
-                     df.withColumn("end_date", F.to_date("end_time")),
-                     table_path, S.AVG_KEYS, partition_by=("type", "end_date"))
+        upsert_table(df.sparkSession, with_avg_partitions(df), table_path, S.AVG_KEYS,
+                     partition_by=AVG_PARTITIONS)
 
     w = (averaged.writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", _checkpoint(spark, f"avg_{t.name.lower()}", checkpoint)))

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
-from sitewatch.cli import AVG_PARTITIONS, main, with_end_date
+from sitewatch.cli import main
 from sitewatch.operators.windows import rollup, window_averages
-from sitewatch.sinks.writers import read_table, upsert_table
+from sitewatch.sinks.writers import (AVG_PARTITIONS, read_table, upsert_table,
+                                     with_avg_partitions)
 
 COLS = ["site_id", "end_time", "type", "avg_tmp", "avg_hmt", "avg_lx"]
 
@@ -15,7 +16,8 @@ COLS = ["site_id", "end_time", "type", "avg_tmp", "avg_hmt", "avg_lx"]
 def test_rollup_job_and_purge(spark, tmp_dir):
     table = f"{tmp_dir}/avg"
     minute = window_averages(FX.reports(spark, SF_SMALL), tier="MINUTE")
-    upsert_table(spark, with_end_date(minute), table, S.AVG_KEYS, partition_by=AVG_PARTITIONS)
+    upsert_table(spark, with_avg_partitions(minute), table, S.AVG_KEYS,
+                 partition_by=AVG_PARTITIONS)
     assert main(["rollup", "--table", table, "--type", "1"]) == 0
     assert main(["rollup", "--table", table, "--type", "1"]) == 0   # re-run: same table
     assert main(["rollup", "--table", table, "--type", "2", "--siteId", "3",
