@@ -67,15 +67,21 @@ def read_tier(source, site_id=None, start=None, end=None, tier_code=None) -> Dat
     ``site_id = ? AND end_time BETWEEN ? AND ? AND type = ?`` (inclusive).
 
     ``source`` is a DataFrame (e.g. ``spark.read.parquet(path)`` or a JDBC
-    table); the predicates are pushed to the scan by Spark.
+    table); the predicates are pushed to the scan by Spark, and on the
+    partitioned averaged table the range also prunes ``end_date`` partitions.
     """
     df = source
+    partitioned = "end_date" in df.columns
     if site_id is not None:
         df = df.where(F.col("site_id") == site_id)
     if start is not None:
         df = df.where(F.col("end_time") >= F.lit(start).cast("timestamp"))
+        if partitioned:   # implied partition predicate: prunes whole days
+            df = df.where(F.col("end_date") >= F.to_date(F.lit(start).cast("timestamp")))
     if end is not None:
         df = df.where(F.col("end_time") <= F.lit(end).cast("timestamp"))
+        if partitioned:
+            df = df.where(F.col("end_date") <= F.to_date(F.lit(end).cast("timestamp")))
     if tier_code is not None:
         df = df.where(F.col("type") == tier_code)
     return df

@@ -42,3 +42,17 @@ def test_jdbc_upsert_statement():
     assert sql == ("INSERT INTO dev_avg_data (`site_id`, `end_time`, `type`, `avg_tmp`) "
                    "SELECT `site_id`, `end_time`, `type`, `avg_tmp` FROM dev_avg_data_staging "
                    "ON DUPLICATE KEY UPDATE `avg_tmp` = VALUES(`avg_tmp`)")
+
+
+def test_tier_scan_prunes_day_partitions(spark, tmp_dir):
+    from sitewatch.sources.readers import read_tier
+    table = f"{tmp_dir}/avg"
+    hour = window_averages(FX.reports(spark, SF_SMALL), tier="HOUR")
+    upsert_table(spark, with_avg_partitions(hour), table, S.AVG_KEYS,
+                 partition_by=AVG_PARTITIONS)
+    scan = read_tier(read_table(spark, table), site_id=2, start="2024-01-05 00:00:00",
+                     end="2024-01-06 00:00:00", tier_code=2)
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    partition_filters = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "(end_date" in partition_filters and "type" in partition_filters
+    assert {r.end_time.day for r in scan.collect()} <= {5, 6}
