@@ -5,8 +5,8 @@ Spark plans as a partial + final ``WindowGroupLimit`` so only N rows per
 window and partition cross the shuffle. Ties are broken by site ascending.
 
 Streaming: window functions over non-time partitions are not allowed, so the
-per-window cut is a second aggregation over the first one's window in append
-mode; its per-window list holds at most one entry per site.
+per-window cut is done by chained aggregations over the window in append
+mode, first per site bucket and then per window, so no list holds all sites.
 """
 
 from __future__ import annotations
@@ -35,16 +35,27 @@ def top_sites_sliding(reports: DataFrame, n: int = 3, size: str = "10 seconds",
 
 def top_n_streaming(reports: DataFrame, n: int = 3, size: str = "10 seconds",
                     slide: str = "5 seconds", ts: str = "ts",
-                    key: str = "site_id") -> DataFrame:
-    """Streaming form (append mode; ``reports`` must carry a watermark)."""
-    first = (reports.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(key))
-                    .agg(F.count(F.lit(1)).alias("cnt")))
-    ranked = (first.groupBy(F.col("window"))
-                   .agg(F.slice(F.array_sort(F.collect_list(
-                        F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("k")))),
-                        1, n).alias("top")))
-    return (ranked.select("window", F.posexplode("top").alias("pos", "t"))
-                  .select(F.col("window.start").alias("window_start"),
-                          F.col("window.end").alias("window_end"),
-                          F.col("t.k").alias(key), (-F.col("t.neg")).alias("cnt"),
-                          (F.col("pos") + 1).alias("rank")))
+                    key: str = "site_id", buckets: int = 64) -> DataFrame:
+    """Streaming form (append mode; ``reports`` must carry a watermark).
+
+    Three chained aggregations: counts per (window, site); the top ``n`` per
+    (window, site bucket); the top ``n`` of those per window. Every list holds
+    at most (sites / buckets) or (buckets * n) entries, never all sites of a
+    window, and the cut is exact: a window's top ``n`` are each within the top
+    ``n`` of their own bucket. Ties go to the lower site id.
+    """
+    ranked = F.expr(f"slice(array_sort(collect_list(named_struct('neg', -cnt, 'k', `{key}`))), "
+                    f"1, {n})")
+    counts = (reports.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(key))
+                     .agg(F.count(F.lit(1)).alias("cnt")))
+    per_bucket = (counts.groupBy("window", F.expr(f"pmod(hash(`{key}`), {buckets})")
+                                 .alias("_bucket"))
+                        .agg(ranked.alias("top")))
+    per_window = (per_bucket.groupBy("window")
+                            .agg(F.expr(f"slice(array_sort(flatten(collect_list(top))), 1, {n})")
+                                 .alias("top")))
+    return (per_window.select("window", F.posexplode("top").alias("pos", "t"))
+                      .select(F.col("window.start").alias("window_start"),
+                              F.col("window.end").alias("window_end"),
+                              F.col("t.k").alias(key), (-F.col("t.neg")).alias("cnt"),
+                              (F.col("pos") + 1).alias("rank")))
