@@ -59,6 +59,9 @@ def test_edge_dates(spark):
     assert got[dt.date(2024, 2, 29)][1:] == (29, True)
     assert got[dt.date(2023, 1, 1)][2] is False
     assert df.select(C.weekday_cn(F.lit("2023-01-01").cast("date"))).first()[0] == "日"
+    feb = spark.createDataFrame([(dt.date(2024, 2, 10),)], "d date") \
+        .select(C.month_day_numbers("d")).first()[0]
+    assert feb == list(range(1, 30))
 
 
 def test_shifted_text(spark):
