@@ -21,7 +21,7 @@ first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,53 +32,48 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     none). Ties on time: right rows at the same instant count as earlier;
     among right rows of one instant the greatest ``right_order`` wins."""
     right_cols = list(right_cols)
-    rv = F.struct(F.col(right_ts).alias("_t"), F.col(right_order).alias("_o"),
-                  *[F.col(c).alias(c) for c in right_cols])
-    r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
-              .select(F.col(key).alias("_k"),
-                      F.window(F.col(right_ts), bucket).start.alias("_b"),
-                      F.col(right_ts).alias("_t"), F.lit(0).alias("_tag"),
-                      F.col(right_order).cast("long").alias("_o"),
-                      rv.alias("_rv")))
     left_cols = left.columns
-    valid = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    k, lt, rt = f"`{key}`", f"`{left_ts}`", f"`{right_ts}`"
+    rv = (f"named_struct('_t', {rt}, '_o', CAST(`{right_order}` AS BIGINT), "
+          + ", ".join(f"'{c}', `{c}`" for c in right_cols) + ")")
+    lv = "named_struct(" + ", ".join(f"'{c}', `{c}`" for c in left_cols) + ")"
+    r = right.where(f"{k} IS NOT NULL AND {rt} IS NOT NULL").selectExpr(
+        f"{k} AS _k", f"window({rt}, '{bucket}').start AS _b", f"{rt} AS _t", "0 AS _tag",
+        f"CAST(`{right_order}` AS BIGINT) AS _o", f"{rv} AS _rv")
+    valid = f"{k} IS NOT NULL AND {lt} IS NOT NULL"
+    lrows = left.where(valid).selectExpr(
+        f"{k} AS _k", f"window({lt}, '{bucket}').start AS _b", f"{lt} AS _t", "1 AS _tag",
+        "CAST(NULL AS BIGINT) AS _o", f"{lv} AS _lv")
+    rv_type = r.schema["_rv"].dataType.simpleString()
+    lv_type = lrows.schema["_lv"].dataType.simpleString()
+
     # rows without key or time cannot match; they bypass the shuffle
-    orphans = left.where(~valid).select(
-        *left_cols, *[F.lit(None).cast(right.schema[c].dataType).alias(prefix + c)
-                      for c in right_cols])
-    lv = F.struct(*[F.col(c) for c in left_cols])
-    lrows = left.where(valid).select(F.col(key).alias("_k"),
-                        F.window(F.col(left_ts), bucket).start.alias("_b"),
-                        F.col(left_ts).alias("_t"), F.lit(1).alias("_tag"),
-                        F.lit(None).cast("long").alias("_o"), lv.alias("_lv"))
+    right_types = {f.name: f.dataType.simpleString() for f in right.schema.fields}
+    orphans = left.where(f"NOT ({valid})").selectExpr(
+        *[f"`{c}`" for c in left_cols],
+        *[f"CAST(NULL AS {right_types[c]}) AS `{prefix}{c}`" for c in right_cols])
 
     # 1. small side tables (pre-aggregated: keys x buckets rows)
-    last_in_bucket = r.groupBy("_k", "_b").agg(
-        F.max_by("_rv", F.struct("_t", "_o")).alias("_rv"))
+    last_in_bucket = r.groupBy("_k", "_b").agg(F.expr("max_by(_rv, struct(_t, _o))").alias("_rv"))
     touched = lrows.select("_k", "_b").distinct()
     # 2. carry-in: the last right row of any strictly earlier bucket
-    marks = (last_in_bucket.select("_k", "_b", "_rv", F.lit(0).alias("_need"))
-             .unionByName(touched.select("_k", "_b",
-                                         F.lit(None).cast(r.schema["_rv"].dataType).alias("_rv"),
-                                         F.lit(1).alias("_need"))))
-    earlier = (Window.partitionBy("_k").orderBy(F.unix_micros(F.col("_b").cast("timestamp")))
-               .rangeBetween(Window.unboundedPreceding, -1))
-    carry = (marks.withColumn("_carry", F.last("_rv", ignorenulls=True).over(earlier))
-                  .where((F.col("_need") == 1) & F.col("_carry").isNotNull())
-                  .select("_k", "_b", F.col("_b").alias("_t"), F.lit(-1).alias("_tag"),
-                          F.lit(None).cast("long").alias("_o"),
-                          F.col("_carry").alias("_rv")))
+    marks = (last_in_bucket.selectExpr("_k", "_b", "_rv", "0 AS _need")
+             .unionByName(touched.selectExpr("_k", "_b", f"CAST(NULL AS {rv_type}) AS _rv",
+                                             "1 AS _need")))
+    carry = (marks.withColumn("_carry", F.expr(
+                 "last(_rv, true) OVER (PARTITION BY _k ORDER BY unix_micros(CAST(_b AS TIMESTAMP)) "
+                 "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
+                  .where("_need = 1 AND _carry IS NOT NULL")
+                  .selectExpr("_k", "_b", "_b AS _t", "-1 AS _tag", "CAST(NULL AS BIGINT) AS _o",
+                              f"CAST(NULL AS {lv_type}) AS _lv", "_carry AS _rv"))
 
     # 3. one shuffle by (key, bucket); running last non-null right row
-    lv_type = lrows.schema["_lv"].dataType
-    rv_type = r.schema["_rv"].dataType
-    u = (lrows.withColumn("_rv", F.lit(None).cast(rv_type))
-         .unionByName(r.withColumn("_lv", F.lit(None).cast(lv_type)))
-         .unionByName(carry.withColumn("_lv", F.lit(None).cast(lv_type))))
-    running = (Window.partitionBy("_k", "_b").orderBy("_t", "_tag", "_o")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = F.last("_rv", ignorenulls=True).over(running)
-    out = (u.withColumn("_hit", hit).where(F.col("_tag") == 1)
-            .select(*[F.col("_lv")[c].alias(c) for c in left_cols],
-                    *[F.col("_hit")[c].alias(prefix + c) for c in right_cols]))
+    u = (lrows.selectExpr("*", f"CAST(NULL AS {rv_type}) AS _rv")
+         .unionByName(r.selectExpr("*", f"CAST(NULL AS {lv_type}) AS _lv"))
+         .unionByName(carry))
+    hit = F.expr("last(_rv, true) OVER (PARTITION BY _k, _b ORDER BY _t, _tag, _o "
+                 "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    out = (u.withColumn("_hit", hit).where("_tag = 1")
+            .selectExpr(*[f"_lv.`{c}` AS `{c}`" for c in left_cols],
+                        *[f"_hit.`{c}` AS `{prefix}{c}`" for c in right_cols]))
     return out.unionByName(orphans)
