@@ -27,6 +27,17 @@ def period_spine(df: DataFrame, date_col: str, unit: str = "month") -> DataFrame
     return spine.select("period", F.date_format("period", fmt).alias("period_text"))
 
 
+def period_span(df: DataFrame, date_col: str, unit: str = "month") -> DataFrame:
+    """Number of periods from the first to the last ``date_col`` inclusive
+    (one row, ``n_periods``): a global min/max aggregate, no spine needed."""
+    trunc_unit = _UNITS[unit][0]
+    d = F.col(date_col).cast("date")
+    lo, hi = F.trunc(F.min(d), trunc_unit), F.trunc(F.max(d), trunc_unit)
+    months = F.months_between(hi, lo).cast("int")
+    n = months + 1 if unit == "month" else (months / 12).cast("int") + 1
+    return df.agg(n.alias("n_periods"))
+
+
 def period_counts(df: DataFrame, date_col: str, unit: str = "month",
                   measures: dict[str, Column] | None = None) -> DataFrame:
     """Gap-free per-period facts: the spine left-joined to per-period

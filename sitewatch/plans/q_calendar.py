@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sitewatch import fixtures as FX
 from sitewatch.functions import calendar as C
-from sitewatch.operators.calendar_jobs import period_counts, trailing_cutoff
+from sitewatch.operators.calendar_jobs import period_counts, period_span, trailing_cutoff
 from sitewatch.operators.windows import as_ntz
 from sitewatch.plans.catalog import register
 
@@ -110,6 +110,16 @@ def _spine(unit):
 register("month_spine", _spine_sql("month", "1 MONTH", "%Y-%m"))(_spine("month"))
 register("year_spine", _spine_sql("year", "1 YEAR", "%Y"))(_spine("year"))
 
+
+@register("month_count", f"""WITH {DATES}
+SELECT CAST(date_diff('month', date_trunc('month', min(d)), date_trunc('month', max(d))) + 1
+            AS INTEGER) AS n_periods
+FROM dates""")
+def q_month_count(spark, sf_dir):
+    """CAL-2: number of months from the first to the last order date, inclusive."""
+    return period_span(FX.order_dates(spark, sf_dir), "d", "month")
+
+
 _LINES = """lines AS (
   SELECT l.l_orderkey, l.l_linenumber, o.o_orderdate, l.l_shipdate
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sitewatch.functions import calendar as C
-from sitewatch.operators.calendar_jobs import period_counts, trailing_cutoff
+from sitewatch.operators.calendar_jobs import period_counts, period_span, trailing_cutoff
 
 
 def _sun_dow(d):  # 1 = Sunday .. 7 = Saturday
@@ -105,6 +105,11 @@ def test_month_spine_fills_gaps(spark):
     assert got == [("2023-01", 2), ("2023-02", 0), ("2023-03", 0), ("2023-04", 1)]
     years = [(r.period_text, r.n_rows) for r in period_counts(df, "d", "year").collect()]
     assert years == [("2023", 3)]
+    assert period_span(df, "d", "month").first().n_periods == 4
+    assert period_span(df, "d", "year").first().n_periods == 1
+    wide = spark.createDataFrame([(dt.date(2019, 12, 31),), (dt.date(2023, 1, 1),)], "d date")
+    assert period_span(wide, "d", "month").first().n_periods == 38
+    assert period_span(wide, "d", "year").first().n_periods == 5
 
 
 def test_trailing_cutoff_anchor(spark):
