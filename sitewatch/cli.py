@@ -4,6 +4,8 @@
             time range (the reference's ``--siteId --start --end --type``)
   averages  streaming tumbling averages of the report stream into the table
   monitor   streaming parse + match + alarms + archive
+  topn      streaming top-N sites per sliding window, printed
+  changelog current config per site from the config topic, printed
   purge     drop tiers from the averaged table (``delete ... where type in``)
 
 The averaged table is parquet partitioned by (type, end_date, end_hour);
@@ -18,12 +20,13 @@ import sys
 from sitewatch import schemas as S
 from sitewatch.operators.parse import accepted_reports, annotate_reports
 from sitewatch.operators.windows import rollup
-from sitewatch.session import get_spark
+from sitewatch.session import checkpoint_root, get_spark
 from sitewatch.sinks.writers import (AVG_PARTITIONS, purge_table, read_table,
                                      upsert_table, with_avg_partitions, write_kafka)
-from sitewatch.sources.readers import (read_config_snapshot, read_kafka, read_text,
-                                       read_tier)
-from sitewatch.streaming.jobs import average_stream, monitor_stream
+from sitewatch.sources.readers import (read_config_changes, read_config_snapshot,
+                                       read_kafka, read_text, read_tier)
+from sitewatch.streaming.jobs import (average_stream, config_changelog, monitor_stream,
+                                      topn_stream)
 
 def run_rollup(spark, table: str, tier_code: int, site_id=None, start=None, end=None,
                output: str | None = None, label_offset_hours: int = 0,
@@ -83,6 +86,23 @@ def main(argv=None) -> int:
     m.add_argument("--alarm-kafka", help="bootstrap servers for the alarm topic")
     m.add_argument("--alarm-topic", default="alarm")
 
+    t = sub.add_parser("topn")
+    t.add_argument("--reports")
+    t.add_argument("--kafka")
+    t.add_argument("--topic", default="report")
+    t.add_argument("-n", type=int, default=3)
+    t.add_argument("--size", default="10 seconds")
+    t.add_argument("--slide", default="5 seconds")
+    t.add_argument("--watermark", default="0 seconds")
+    t.add_argument("--checkpoint")
+    t.add_argument("--available-now", action="store_true",
+                   help="process what is there, then stop")
+
+    c = sub.add_parser("changelog")
+    c.add_argument("--kafka", required=True)
+    c.add_argument("--topic", default="config")
+    c.add_argument("--checkpoint")
+
     g = sub.add_parser("purge")
     g.add_argument("--table", required=True)
     g.add_argument("--types", type=int, nargs="+", default=[1, 2])
@@ -110,6 +130,23 @@ def main(argv=None) -> int:
                            archive=not args.no_archive, strict=args.strict,
                            alarm_writer=alarm_writer)
         q.awaitTermination()
+    elif args.cmd == "topn":
+        reports = accepted_reports(annotate_reports(_lines(spark, args)))
+        top = topn_stream(reports, n=args.n, size=args.size, slide=args.slide,
+                          watermark=args.watermark)
+        w = (top.writeStream.outputMode("append").format("console")
+                .option("truncate", "false")
+                .option("checkpointLocation",
+                        args.checkpoint or f"{checkpoint_root(spark)}/streams/topn"))
+        w = w.trigger(availableNow=True) if args.available_now else w
+        w.start().awaitTermination()
+    elif args.cmd == "changelog":
+        changes = read_config_changes(spark, args.kafka, args.topic)
+        (config_changelog(changes).writeStream.outputMode("complete").format("console")
+            .option("truncate", "false")
+            .option("checkpointLocation",
+                    args.checkpoint or f"{checkpoint_root(spark)}/streams/changelog")
+            .start().awaitTermination())
     elif args.cmd == "purge":
         purge_table(spark, args.table, "type", args.types)
     return 0
