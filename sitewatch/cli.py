@@ -42,10 +42,25 @@ def run_rollup(spark, table: str, tier_code: int, site_id=None, start=None, end=
 
 
 def _lines(spark, args):
+    """Report text from Kafka (latest offsets, bounded batches) or a folder."""
     if args.kafka:
-        return read_kafka(spark, args.kafka, args.topic, starting_offsets="latest") \
-            .select("value")
-    return read_text(spark, args.reports, streaming=True)
+        opts = {}
+        if getattr(args, "max_offsets_per_trigger", None):
+            opts["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        return read_kafka(spark, args.kafka, args.topic, starting_offsets="latest",
+                          options=opts).select("value")
+    return read_text(spark, args.reports, streaming=True,
+                     max_files_per_trigger=getattr(args, "max_files_per_trigger", None))
+
+
+def _stream_input_args(parser):
+    parser.add_argument("--reports", help="folder of report text files (stream)")
+    parser.add_argument("--kafka", help="bootstrap servers of the report topic")
+    parser.add_argument("--topic", default="report")
+    parser.add_argument("--max-offsets-per-trigger", type=int,
+                        help="bound each micro-batch (Kafka backlog)")
+    parser.add_argument("--max-files-per-trigger", type=int,
+                        help="bound each micro-batch (file source)")
 
 
 def main(argv=None) -> int:
@@ -64,9 +79,7 @@ def main(argv=None) -> int:
     r.add_argument("--end-stamped", action="store_true")
 
     a = sub.add_parser("averages")
-    a.add_argument("--reports", help="folder of report text files (stream)")
-    a.add_argument("--kafka")
-    a.add_argument("--topic", default="report")
+    _stream_input_args(a)
     a.add_argument("--table", required=True)
     a.add_argument("--tier", default="MINUTE")
     a.add_argument("--watermark", default="0 seconds")
@@ -74,9 +87,7 @@ def main(argv=None) -> int:
     a.add_argument("--checkpoint")
 
     m = sub.add_parser("monitor")
-    m.add_argument("--reports")
-    m.add_argument("--kafka")
-    m.add_argument("--topic", default="report")
+    _stream_input_args(m)
     m.add_argument("--config", required=True, help="config table (parquet path)")
     m.add_argument("--out", required=True)
     m.add_argument("--trigger", default="5 seconds")
@@ -87,9 +98,7 @@ def main(argv=None) -> int:
     m.add_argument("--alarm-topic", default="alarm")
 
     t = sub.add_parser("topn")
-    t.add_argument("--reports")
-    t.add_argument("--kafka")
-    t.add_argument("--topic", default="report")
+    _stream_input_args(t)
     t.add_argument("-n", type=int, default=3)
     t.add_argument("--size", default="10 seconds")
     t.add_argument("--slide", default="5 seconds")
