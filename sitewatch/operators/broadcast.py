@@ -23,12 +23,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     ``known_rows`` skips the count when the caller has a proven bound
     (e.g. a ``limit(1)``); ``bound_by`` counts a cheaper frame whose row
     count bounds ``df``'s (e.g. the raw rows before a per-key reduction,
-    which avoids running the reduction's shuffle just to count).
+    which avoids running the reduction's shuffle just to count); only when
+    that bound is too large is ``df`` itself counted.
     """
     if df.isStreaming:
         return df
     if known_rows is not None:
         n = known_rows
+    elif bound_by is not None:
+        n = bound_by.count()
+        if n > max_rows:      # the cheap bound failed: count the frame itself
+            n = df.count()
     else:
-        n = (bound_by if bound_by is not None else df).count()
+        n = df.count()
     return F.broadcast(df) if n <= max_rows else df

@@ -119,3 +119,12 @@ def test_checked_broadcast(spark):
         ._jdf.queryExecution().logical().toString()
     assert "Broadcast" in plan_small
     assert "broadcast" not in plan_big.lower()
+
+
+def test_checked_broadcast_falls_back_to_exact_count(spark):
+    history = spark.range(50).selectExpr("id % 3 AS k", "id AS v")   # 50 rows, 3 keys
+    reduced = history.groupBy("k").count()
+    plan = spark.range(100).selectExpr("id % 3 AS k").join(
+        checked_broadcast(reduced, max_rows=10, bound_by=history), "k") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
