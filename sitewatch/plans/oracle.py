@@ -58,10 +58,15 @@ def bucket_end(ts: str, minutes: int) -> str:
 
 
 def exact_avg(col: str, scale: int = 4) -> str:
+    """Exact decimal sum, one rounding to double, one division: the same value
+    as the Spark side's long sum of 10**-scale units (both sums are exact and
+    both conversions are correctly rounded)."""
     return f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE) / COUNT({col})"
 
 
 def ordered_avg(col: str, order: str = "end_time") -> str:
+    """Sequential sum in ``order``: the Spark side sums the sorted list with
+    ``aggregate``, so both add the same doubles in the same order."""
     return f"AVG({col} ORDER BY {order})"
 
 
