@@ -24,7 +24,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c: str, scale: int = 4) -> Column:
+def exact_units(c: str, scale: int = 4) -> Column:
+    """``rint(c * 10**scale)``: a reading as a whole number of units, to be
+    projected once before aggregating (see ``exact_avg(units=...)``)."""
+    return F.expr(f"rint(`{c}` * {float(10 ** scale)!r}D)")
+
+
+def exact_avg(c: str, scale: int = 4, units: str | None = None) -> Column:
     """Average of column ``c`` with an exact, order-independent sum.
 
     Each reading is taken as an integer count of ``10**-scale`` units and the
@@ -33,21 +39,22 @@ def exact_avg(c: str, scale: int = 4) -> Column:
     are therefore averaged without rounding error and identically for any
     partitioning. A group holding a value with more decimals, NaN, an
     infinity, or a sum that would overflow is averaged with plain ``avg``: no
-    reading is ever rounded.
+    reading is ever rounded. ``units`` names a column already holding
+    ``exact_units(c)`` (computed once per row instead of inside each buffer).
 
     Written as one SQL expression: the whole aggregate is parsed once on the
     JVM instead of being assembled from dozens of driver round trips.
     """
     x = f"`{c}`"
     unit = f"{float(10 ** scale)!r}D"
-    units = f"rint({x} * {unit})"
-    fits = f"(NOT isnan({x}) AND abs({units}) < 9007199254740992D AND {units} / {unit} = {x})"
+    u = f"`{units}`" if units else f"rint({x} * {unit})"
+    fits = f"(NOT isnan({x}) AND abs({u}) < 9007199254740992D AND {u} / {unit} = {x})"
     return F.expr(f"""
       CASE WHEN sum(CASE WHEN {x} IS NOT NULL AND NOT {fits} THEN 1 ELSE 0 END) > 0
-             OR (try_sum(CASE WHEN {fits} THEN CAST({units} AS BIGINT) END) IS NULL
+             OR (try_sum(CASE WHEN {fits} THEN CAST({u} AS BIGINT) END) IS NULL
                  AND count(CASE WHEN {fits} THEN {x} END) > 0)
            THEN avg({x})
-           ELSE try_divide(CAST(try_sum(CASE WHEN {fits} THEN CAST({units} AS BIGINT) END)
+           ELSE try_divide(CAST(try_sum(CASE WHEN {fits} THEN CAST({u} AS BIGINT) END)
                                 AS DOUBLE) / {unit},
                            CAST(count(CASE WHEN {fits} THEN {x} END) AS DOUBLE))
       END""")

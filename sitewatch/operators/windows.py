@@ -12,12 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatch import schemas as S
-from sitewatch.functions.numeric import (exact_avg, ordered_avg_fields,
+from sitewatch.functions.numeric import (exact_avg, exact_units, ordered_avg_fields,
                                          ordered_avg_struct)
 
 
 def _avg_cols(sensors, exact_scale):
-    return [exact_avg(s, scale=exact_scale).alias(f"avg_{s}") for s in sensors]
+    return [exact_avg(s, scale=exact_scale, units=f"_u_{s}").alias(f"avg_{s}")
+            for s in sensors]
+
+
+def _with_units(df: DataFrame, sensors, exact_scale) -> DataFrame:
+    """Each reading's integer units, computed once per row before the
+    aggregate (instead of once per aggregation buffer)."""
+    return df.withColumns({f"_u_{s}": exact_units(s, exact_scale) for s in sensors})
 
 
 def window_averages(reports: DataFrame, tier=1, ts: str = "ts",
@@ -31,7 +38,7 @@ def window_averages(reports: DataFrame, tier=1, ts: str = "ts",
     Works on streaming frames after ``withWatermark(ts, ...)``.
     """
     t = S.tier(tier)
-    out = (reports
+    out = (_with_units(reports, sensors, exact_scale)
            .groupBy(F.col(key), F.window(F.col(ts), t.duration).alias("w"))
            .agg(*_avg_cols(sensors, exact_scale)))
     end = F.col("w.end")
