@@ -66,3 +66,13 @@ def test_topn_command_runs_to_completion(spark, tmp_dir):
                  "--checkpoint", f"{tmp_dir}/ckpt"]) == 0
     # the console output comes from the JVM; committed batches prove the run
     assert os.listdir(f"{tmp_dir}/ckpt/commits")
+
+
+def test_document_writer_replays_in_place(spark, tmp_dir):
+    from sitewatch.sinks.records import search_documents
+    from sitewatch.sinks.writers import write_documents
+    docs = search_documents(FX.clicks(spark, SF_SMALL))
+    write_documents(docs, f"{tmp_dir}/docs", batch_id=4)
+    write_documents(docs, f"{tmp_dir}/docs", batch_id=4)     # replay: same folder
+    lines = spark.read.text(f"{tmp_dir}/docs").collect()
+    assert len(lines) == 1000 and lines[0].value.startswith('{"')
