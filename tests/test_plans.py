@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from sitewatch.plans import catalog
+
+NAMES = sorted(catalog.queries())
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -16,7 +19,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_no_pairs_no_python_no_single_task_windows(spark, name):
     plan = _plan(spark, name)
     for op in FORBIDDEN:
