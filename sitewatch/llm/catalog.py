@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sitewatch.llm import q_rules
+from sitewatch.llm import q_dedup, q_mixing, q_rules, q_tokens
 
-_MODULES = (q_rules,)
+_MODULES = (q_rules, q_dedup, q_tokens, q_mixing)
 
 
 def queries() -> dict:
