@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sitewatch.llm import q_dedup, q_html, q_mixing, q_rules, q_search, q_tokens
+from sitewatch.llm import q_dedup, q_html, q_mixing, q_models, q_rules, q_search, q_tokens
 
-_MODULES = (q_rules, q_html, q_dedup, q_search, q_tokens, q_mixing)
+_MODULES = (q_rules, q_models, q_html, q_dedup, q_search, q_tokens, q_mixing)
 
 
 def queries() -> dict:
