@@ -3,11 +3,13 @@
 ``events`` carries the sensor reports: site = user_id % 8 + 1, tmp = value,
 hmt = k/100, lx = k*10 with k taken from ``props``. Everything here is a lazy
 DataFrame derived from the given tables, so work grows with them; the only
-inline data are the 8-site threshold table and a dozen malformed report lines.
+inline data are the 8-site threshold table. Malformed lines are made from every
+event by a dozen forms, so the quarantines grow with the table.
 """
 
 from __future__ import annotations
 
+import re
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,27 +32,43 @@ SITE_RULES = (
     (6, 0, 0, {"tmp": (1, 1.0, 0.0)}),
     (7, 0, 30, {"tmp": (0, 1.0, 0.0), "lx": (1, 900.0, 0.0)}),
 )
+SITE_RULES_BYTES = 4096  # more than the rows of SITE_RULES take
 CONFIG_TIMESTAMP_MS = 1704067200000  # 2024-01-01 00:00:00 UTC
 
-# Malformed and edge report lines, with the expected outcome.
-BAD_REPORT_LINES = (
+# Forms of malformed and edge lines; {site} and {ts} are the event's.
+# Every event gives one line of each kind, in form event_id % number of forms.
+# (form, reason it is set aside for, or None if it is accepted)
+BAD_REPORT_FORMS = (
     # accepted: trailing text after the object is ignored (as Jackson does)
-    '{"siteId":1,"timestamp":1704067200000,"type":"report","version":1,"status":0,'
-    '"data":{"tmp":20.5,"hmt":0.5,"lx":100.0}} trailing',
-    "not json",
-    "",
-    "null",
-    "[]",
-    "{}",
-    '{"siteId":2,"timestamp":1704067200000,"type":"report","version":1,"status":0,'
-    '"data":{"tmp":NaN}}',
-    '{"siteId":"3","timestamp":1704067200000,"type":"report","version":1,"status":0}',
-    '{"siteId":1.7,"timestamp":1704067200000,"type":"report","version":1,"status":0}',
-    '{"timestamp":1704067200000,"type":"report","version":1,"status":0}',
-    '{"siteId":4,"type":"report","version":1,"status":0}',
+    ('{"siteId":{site},"timestamp":{ts},"type":"report","version":1,"status":0,'
+     '"data":{"tmp":20.5,"hmt":0.5,"lx":100.0}} trailing', None),
+    ("not json {ts}", "malformed"),
+    ("", "malformed"),
+    ("null", "malformed"),
+    ("[]", "malformed"),
+    ("{}", "missing_site_or_time"),
+    ('{"siteId":{site},"timestamp":{ts},"type":"report","version":1,"status":0,'
+     '"data":{"tmp":NaN}}', "malformed"),
+    ('{"siteId":"{site}","timestamp":{ts},"type":"report","version":1,"status":0}',
+     "malformed"),
+    ('{"siteId":{site}.7,"timestamp":{ts},"type":"report","version":1,"status":0}',
+     "malformed"),
+    ('{"timestamp":{ts},"type":"report","version":1,"status":0}', "missing_site_or_time"),
+    ('{"siteId":{site},"type":"report","version":1,"status":0}', "missing_site_or_time"),
     # accepted: unknown field ignored, NULL data means "no readings"
-    '{"siteId":5,"timestamp":1704067260000,"type":"report","version":1,"status":0,'
-    '"data":null,"extra":1}',
+    ('{"siteId":{site},"timestamp":{ts},"type":"report","version":1,"status":0,'
+     '"data":null,"extra":1}', None),
+)
+BAD_CSV_FORMS = (
+    ("{site}, ./home", "too_few_fields"),
+    ("{site}", "too_few_fields"),
+    ("{site}, ./home, {ts}x", "bad_timestamp"),
+    ("{site} ,./home,", "bad_timestamp"),
+)
+BAD_CONFIG_FORMS = (
+    ("not json {ts}", "malformed"),
+    ('{"timestamp":{ts},"version":1}', "missing_site"),
+    ('{"siteId":"{site}","timestamp":{ts}}', "malformed"),
 )
 # ---------------------------------------------------------------------------
 
@@ -92,6 +110,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # k of the events' ``props`` JSON, and the event time as an instant
 _K = "try_cast(get_json_object(props, '$.k') AS INT)"
 _TS = "CAST(ts AS TIMESTAMP)"
+# arrival number of an event's config change: each four events last first
+ARRIVAL_SQL = "event_id + 3 - 2 * (event_id % 4)"
 
 
 def reports(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
@@ -120,10 +140,28 @@ def reports_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_json_text(report_struct()).alias("value"))
 
 
+def form_sql(forms, site: str = "site_id", ts: str = '"timestamp"') -> str:
+    """SQL (Spark and DuckDB): the event's line in the form its ``event_id`` falls on."""
+    cases = []
+    for i, (form, _) in enumerate(forms):
+        parts = re.split(r"(\{site\}|\{ts\})", form)
+        columns = {"{site}": site, "{ts}": ts}
+        sql = " || ".join(f"CAST({columns[x]} AS STRING)" if x in columns else f"'{x}'"
+                          for x in parts if x) or "''"
+        cases.append(f"WHEN {i} THEN {sql}")
+    return f"CASE event_id % {len(forms)} {' '.join(cases)} END"
+
+
+def bad_lines(spark: SparkSession, sf_dir: str, forms) -> DataFrame:
+    """One malformed or edge line per event: event_id, value."""
+    own = reports(spark, sf_dir).withColumnRenamed("report_id", "event_id")
+    return own.selectExpr("event_id", form_sql(forms, ts="timestamp") + " AS value")
+
+
 def reports_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wire form of every report plus the malformed and edge lines."""
-    bad = literal_rows(spark, [(v,) for v in BAD_REPORT_LINES], "value string")
-    return reports_wire(spark, sf_dir).unionByName(bad)
+    """Wire form of every report plus a malformed or edge line for each."""
+    return reports_wire(spark, sf_dir).unionByName(
+        bad_lines(spark, sf_dir, BAD_REPORT_FORMS).select("value"))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,9 +173,11 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks as ``user , url, timestamp`` text lines (padding exercises trim)."""
-    return clicks(spark, sf_dir).selectExpr(
-        "concat(`user`, ' ,', url, ', ', CAST(timestamp AS STRING)) AS value")
+    """Clicks as ``user , url, timestamp`` text lines (padding exercises trim),
+    plus a bad line for each."""
+    good = clicks(spark, sf_dir).selectExpr(
+        "event_id", "concat(`user`, ' ,', url, ', ', CAST(timestamp AS STRING)) AS value")
+    return good.unionByName(bad_lines(spark, sf_dir, BAD_CSV_FORMS))
 
 
 def site_configs(spark: SparkSession) -> DataFrame:
@@ -155,10 +195,11 @@ def site_configs(spark: SparkSession) -> DataFrame:
 
 
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A config change log derived from ``signup`` events (grows with data).
+    """A config change log derived from every event (grows with data).
 
     config_id (arrival order), site_id, ts, timestamp, version, interval,
-    is_delete, monitor_items (JSON rules for tmp, hmt, lx).
+    is_delete, monitor_items (JSON rules for tmp, hmt, lx). Changes arrive in an
+    order of their own: each four events arrive last first.
     """
     def rule(name, open_, mx, mn):
         return (f"'{name}', named_struct('type', '{name}', 'open', CAST({open_} AS INT), "
@@ -166,8 +207,8 @@ def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = ("map(" + rule("tmp", "1", "value", f"CAST({_K} AS DOUBLE) / 10") + ", "
              + rule("hmt", f"{_K} % 2", "0.9", "0.1") + ", "
              + rule("lx", "1", f"CAST({_K} AS DOUBLE) * 10", "0.0") + ")")
-    return table(spark, sf_dir, "events").where("event_type = 'signup'").selectExpr(
-        "event_id AS config_id",
+    return table(spark, sf_dir, "events").selectExpr(
+        f"{ARRIVAL_SQL} AS config_id",
         f"CAST(user_id % {N_SITES} + 1 AS INT) AS site_id",
         f"{_TS} AS ts", f"unix_millis({_TS}) AS timestamp",
         f"{_K} AS version",
@@ -178,12 +219,15 @@ def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def config_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The config change log as wire JSON messages (``value``), one per
-    change, with its arrival order (``config_id``) as a topic offset would."""
+    change, with its arrival order (``config_id``) as a topic offset would, plus
+    a bad message for each (``config_id`` negative)."""
     c = config_changes(spark, sf_dir)
     msg = F.struct(F.col("site_id").alias("siteId"), F.col("timestamp"),
                    F.col("version"), F.col("interval"), F.col("is_delete").alias("isDelete"),
                    F.from_json("monitor_items", S.RULES).alias("monitorItems"))
-    return c.select("config_id", to_json_text(msg).alias("value"))
+    bad = bad_lines(spark, sf_dir, BAD_CONFIG_FORMS)
+    return c.select("config_id", to_json_text(msg).alias("value")).unionByName(
+        bad.selectExpr("-1 - event_id AS config_id", "value"))
 
 
 def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,24 +109,17 @@ def next_period_text(s) -> Column:
 
 # -- CAL-3: elapsed time and order ------------------------------------------
 
-_MS_DAY, _MS_HOUR, _MS_MINUTE = 86_400_000, 3_600_000, 60_000
-
-
 def elapsed_text(start, end) -> Column:
-    """``<d>天<h>小时<m>分钟`` between two timestamps, each part truncated."""
-    diff = F.unix_millis(_col(end).cast("timestamp")) - F.unix_millis(
+    """``<d>天<h>小时<m>分钟`` between two timestamps: whole minutes, rounded toward
+    zero, as days and a clock time; a negative span has the sign on every part."""
+    span = F.unix_millis(_col(end).cast("timestamp")) - F.unix_millis(
         _col(start).cast("timestamp"))
-    d = _tdiv(diff, _MS_DAY)
-    h = _tdiv(diff % _MS_DAY, _MS_HOUR)
-    m = _tdiv(diff % _MS_DAY % _MS_HOUR, _MS_MINUTE)
-    return F.concat(d.cast("string"), F.lit("天"), h.cast("string"), F.lit("小时"),
-                    m.cast("string"), F.lit("分钟"))
-
-
-def _tdiv(a: Column, b: int) -> Column:
-    """Integer division truncating toward zero, like Java ``long / long``:
-    ``a - a % b`` is an exact multiple of ``b`` (``%`` keeps a's sign)."""
-    return ((a - a % F.lit(b)) / F.lit(b)).cast("long")
+    minutes = F.floor(F.abs(span) / 60_000).cast("long")
+    day, clock = F.floor(minutes / 1440).cast("long"), minutes % 1440
+    parts = [day, F.floor(clock / 60).cast("long"), clock % 60]
+    sign = F.when(span < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.concat(*[x for part, word in zip(parts, ("天", "小时", "分钟"))
+                      for x in ((part * sign).cast("string"), F.lit(word))])
 
 
 def order_text(a, b) -> Column:

@@ -2,75 +2,84 @@
 
 A plain floating-point ``avg`` depends on the order in which partial sums are
 merged, so the same query can return different last bits on a different
-cluster layout. Two aggregate expressions here make averages reproducible:
-
-* ``exact_avg``: readings are summed as integer units of ``10**-scale``
-  (exact, any order), then divided once. Groups holding a value that is not a
-  whole number of units (more decimals, NaN, infinity) fall back to ``avg``,
-  so the result is never silently rounded. Map-side partial aggregation is
-  kept and the buffers are fixed-width longs.
-* ``ordered_avg``: for averages of already-averaged rows (tier rollups) the
-  values are summed sequentially in a given order. The group size is bounded
-  by the tier ratio (e.g. 24 hours in a day), so the per-group list is small.
+cluster layout. Here every value is turned, row by row, into a whole number of
+``10**-SCALE`` units and the units are summed as a wide decimal: the sum is
+exact and the same in any order, and an average can be kept as (sum, count)
+parts and merged later. There is one path for all groups: whether a group holds
+values with more decimals than SCALE does not change how it is averaged (such a
+value is rounded to the nearest unit, half to even).
+
+NaN and infinities are noted per row beside the sum and decide the result as in
+IEEE addition: NaN, or infinities of both signs, give NaN; otherwise an infinity
+gives itself. NULLs are ignored; no value gives NULL. A finite value above
+10**27 does not fit the decimal and raises an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SCALE = 10
+UNIT = f"{float(10 ** SCALE)!r}D"
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Bits of the marks of a row or group.
+NAN, PLUS, MINUS = 1, 2, 4
 
 
-def exact_units(c: str, scale: int = 4) -> Column:
-    """``rint(c * 10**scale)``: a reading as a whole number of units, to be
-    projected once before aggregating (see ``exact_avg(units=...)``)."""
-    return F.expr(f"rint(`{c}` * {float(10 ** scale)!r}D)")
+def units(c: str) -> str:
+    """SQL: the value as a whole number of units (NULL if it is not finite)."""
+    x, u = f"`{c}`", f"rint(`{c}` * {UNIT})"
+    return (f"CASE WHEN isnan({x}) OR abs({x}) = double('infinity') THEN NULL "
+            f"WHEN abs({u}) < 9.0E18D THEN CAST(CAST({u} AS BIGINT) AS DECIMAL(38,0)) "
+            f"ELSE CAST({u} AS DECIMAL(38,0)) END")
 
 
-def exact_avg(c: str, scale: int = 4, units: str | None = None) -> Column:
-    """Average of column ``c`` with an exact, order-independent sum.
+def marks(c: str) -> str:
+    """SQL: NAN, PLUS or MINUS for a value that has no units, else 0 (NULL for NULL)."""
+    x = f"`{c}`"
+    return (f"CASE WHEN isnan({x}) THEN {NAN} WHEN {x} = double('infinity') THEN {PLUS} "
+            f"WHEN {x} = double('-infinity') THEN {MINUS} WHEN {x} IS NOT NULL THEN 0 END")
 
-    Each reading is taken as an integer count of ``10**-scale`` units and the
-    units are summed as a long (a fixed-width aggregation buffer, as cheap as
-    ``avg``). Readings with at most ``scale`` decimals (the devices report two)
-    are therefore averaged without rounding error and identically for any
-    partitioning. A group holding a value with more decimals, NaN, an
-    infinity, or a sum that would overflow is averaged with plain ``avg``: no
-    reading is ever rounded. ``units`` names a column already holding
-    ``exact_units(c)`` (computed once per row instead of inside each buffer).
 
-    Written as one SQL expression: the whole aggregate is parsed once on the
-    JVM instead of being assembled from dozens of driver round trips.
-    """
-    x = f"`{c}`"
-    unit = f"{float(10 ** scale)!r}D"
-    u = f"`{units}`" if units else f"rint({x} * {unit})"
-    fits = f"(NOT isnan({x}) AND abs({u}) < 9007199254740992D AND {u} / {unit} = {x})"
+def with_units(df, columns):
+    """Adds ``_u_<c>`` and ``_m_<c>``, computed once per row before aggregating."""
+    new = {}
+    for c in columns:
+        new[f"_u_{c}"] = F.expr(units(c))
+        new[f"_m_{c}"] = F.expr(marks(c))
+    return df.withColumns(new)
+
+
+def part_aggregates(c: str) -> list[Column]:
+    """Mergeable parts of an average over rows of :func:`with_units`."""
+    return [F.sum(f"_u_{c}").cast("decimal(38,0)").alias(f"_s_{c}"),
+            F.count(f"_u_{c}").alias(f"_n_{c}"),
+            F.bit_or(f"_m_{c}").alias(f"_x_{c}")]
+
+
+def merged_aggregates(c: str) -> list[Column]:
+    """The parts of several groups merged into one."""
+    return [F.sum(f"_s_{c}").cast("decimal(38,0)").alias(f"_s_{c}"),
+            F.sum(f"_n_{c}").alias(f"_n_{c}"),
+            F.bit_or(f"_x_{c}").alias(f"_x_{c}")]
+
+
+def finished_average(c: str) -> Column:
+    """The average from its parts."""
+    s, n, x = f"`_s_{c}`", f"`_n_{c}`", f"coalesce(`_x_{c}`, 0)"
     return F.expr(f"""
-      CASE WHEN sum(CASE WHEN {x} IS NOT NULL AND NOT {fits} THEN 1 ELSE 0 END) > 0
-             OR (try_sum(CASE WHEN {fits} THEN CAST({u} AS BIGINT) END) IS NULL
-                 AND count(CASE WHEN {fits} THEN {x} END) > 0)
-           THEN avg({x})
-           ELSE try_divide(CAST(try_sum(CASE WHEN {fits} THEN CAST({u} AS BIGINT) END)
-                                AS DOUBLE) / {unit},
-                           CAST(count(CASE WHEN {fits} THEN {x} END) AS DOUBLE))
-      END""")
-
-
-def ordered_avg_struct(order: str, values: dict[str, str]) -> Column:
-    """Collect ``struct(order, *values)`` for :func:`ordered_avg_fields`."""
-    fields = ", ".join(f"'{k}', `{v}`" for k, v in values.items())
-    return F.expr(f"collect_list(named_struct('_o', `{order}`, {fields}))")
-
-
-def ordered_avg_fields(items: str, field: str) -> Column:
-    """Sequential (order-fixed) average of ``field`` over a collected list.
-
-    NULL values are ignored like ``avg``; no value gives NULL.
-    """
-    present = f"filter(array_sort(`{items}`), s -> s.`{field}` IS NOT NULL)"
-    return F.expr(f"try_divide(aggregate({present}, 0D, (acc, s) -> acc + s.`{field}`), "
-                  f"CAST(size({present}) AS DOUBLE))")
+      CASE WHEN {x} & {NAN} > 0 OR {x} & {PLUS | MINUS} = {PLUS | MINUS} THEN double('nan')
+           WHEN {x} & {PLUS} > 0 THEN double('infinity')
+           WHEN {x} & {MINUS} > 0 THEN double('-infinity')
+           WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / {UNIT} / {n} END""")
+
+
+def average(df, keys, columns, having=()) -> DataFrame:
+    """``keys`` (columns) and the average of each of ``columns`` under its own name;
+    ``having`` are further aggregates."""
+    grouped = with_units(df, columns).groupBy(*keys).agg(
+        *[a for c in columns for a in part_aggregates(c)], *having)
+    done = {c: finished_average(c) for c in columns}
+    drop = [f"{p}{c}" for c in columns for p in ("_s_", "_n_", "_x_")]
+    return grouped.withColumns(done).drop(*drop)

@@ -5,18 +5,18 @@ Spark has no as-of join, and a window partitioned by the key alone would put
 a hot site (possibly a third of all reports) into one task. Instead the time
 axis is cut into buckets and the work is partitioned by (key, bucket):
 
-1. small side tables: the last right row of every (key, bucket), and the set
-   of (key, bucket) pairs the left side touches (both pre-aggregated, so
-   their size is keys x buckets, not rows);
-2. carry-in: for every touched (key, bucket) the last right row of any
-   earlier bucket (a window over that small table);
-3. one shuffle of left rows + right rows + carry-in rows by (key, bucket),
-   sorted by time, and ``last(..., ignorenulls)`` over the running frame.
+1. left and right rows go through one shuffle by (key, bucket), which both of
+   the following steps read;
+2. carry-in: the last right row of every (key, bucket), pre-aggregated to one
+   row each, and from these the last one of any earlier bucket of the key;
+3. within a bucket, sorted by time, ``last(..., ignorenulls)`` over the running
+   frame, and the carry-in before the bucket's first right row.
 
-No pairs are generated and no group grows beyond one bucket of one key;
-pick ``bucket`` so that a bucket of the hottest key fits a task. The left
-rows travel whole through the shuffle: project them to the needed columns
-first.
+No pairs are generated and no group grows beyond one bucket of one key. Without a
+given ``bucket`` its width is measured: the busiest hour of any key is counted, and
+the hour is cut so that a bucket of it holds about ``bucket_rows`` rows. Rows without
+key or time match nothing and are spread over buckets of their own. The left rows
+travel whole through the shuffle: project them to the needed columns first.
 """
 
 from __future__ import annotations
@@ -24,56 +24,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BUCKET_ROWS = 100_000
+HOUR = 3600
+LOOSE_BUCKETS = 1024  # for rows without key or time
+
+
+def measured_bucket(left: DataFrame, right: DataFrame, key: str, left_ts: str,
+                    right_ts: str, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Seconds of a bucket in which the busiest hour of any key leaves about
+    ``bucket_rows`` rows (1 to 3600). One partial aggregate over keys and times."""
+    both = left.select(F.col(key).alias("k"), F.col(left_ts).alias("t")).unionByName(
+        right.select(F.col(key).alias("k"), F.col(right_ts).alias("t")))
+    busiest = (both.where("k IS NOT NULL AND t IS NOT NULL")
+               .groupBy("k", F.window("t", "1 hour")).count().agg(F.max("count")).first()[0])
+    return max(1, min(HOUR, HOUR * bucket_rows // max(1, busiest or 0)))
+
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str,
-              right_ts: str, right_order: str, right_cols, bucket: str = "1 hour",
-              prefix: str = "") -> DataFrame:
+              right_ts: str, right_order: str, right_cols, bucket: int | None = None,
+              prefix: str = "", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Left rows + ``prefix``-named columns of the matching right row (NULL if
     none). Ties on time: right rows at the same instant count as earlier;
-    among right rows of one instant the greatest ``right_order`` wins."""
+    among right rows of one instant the greatest ``right_order`` wins.
+    ``bucket``: seconds of a bucket (measured if not given)."""
+    if bucket is None:
+        bucket = measured_bucket(left, right, key, left_ts, right_ts, bucket_rows)
+    start = f"timestamp_seconds(floor(unix_seconds(CAST({{}} AS TIMESTAMP)) / {int(bucket)}) * {int(bucket)})"
     right_cols = list(right_cols)
     left_cols = left.columns
     k, lt, rt = f"`{key}`", f"`{left_ts}`", f"`{right_ts}`"
     rv = (f"named_struct('_t', {rt}, '_o', CAST(`{right_order}` AS BIGINT), "
           + ", ".join(f"'{c}', `{c}`" for c in right_cols) + ")")
     lv = "named_struct(" + ", ".join(f"'{c}', `{c}`" for c in left_cols) + ")"
+    loose = f"timestamp_seconds(pmod(xxhash64({lt}, to_json({lv})), {LOOSE_BUCKETS}))"
     r = right.where(f"{k} IS NOT NULL AND {rt} IS NOT NULL").selectExpr(
-        f"{k} AS _k", f"window({rt}, '{bucket}').start AS _b", f"{rt} AS _t", "0 AS _tag",
+        f"{k} AS _k", f"{start.format(rt)} AS _b", f"{rt} AS _t", "0 AS _tag",
         f"CAST(`{right_order}` AS BIGINT) AS _o", f"{rv} AS _rv")
-    valid = f"{k} IS NOT NULL AND {lt} IS NOT NULL"
-    lrows = left.where(valid).selectExpr(
-        f"{k} AS _k", f"window({lt}, '{bucket}').start AS _b", f"{lt} AS _t", "1 AS _tag",
-        "CAST(NULL AS BIGINT) AS _o", f"{lv} AS _lv")
+    held = f"{k} IS NOT NULL AND {lt} IS NOT NULL"
+    l = left.selectExpr(
+        f"CASE WHEN {held} THEN {k} END AS _k",
+        f"CASE WHEN {held} THEN {start.format(lt)} ELSE {loose} END AS _b",
+        f"{lt} AS _t", "1 AS _tag", "CAST(NULL AS BIGINT) AS _o", f"{lv} AS _lv")
     rv_type = r.schema["_rv"].dataType.simpleString()
-    lv_type = lrows.schema["_lv"].dataType.simpleString()
-
-    # rows without key or time cannot match; they bypass the shuffle
-    right_types = {f.name: f.dataType.simpleString() for f in right.schema.fields}
-    orphans = left.where(f"NOT ({valid})").selectExpr(
-        *[f"`{c}`" for c in left_cols],
-        *[f"CAST(NULL AS {right_types[c]}) AS `{prefix}{c}`" for c in right_cols])
-
-    # 1. small side tables (pre-aggregated: keys x buckets rows)
-    last_in_bucket = r.groupBy("_k", "_b").agg(F.expr("max_by(_rv, struct(_t, _o))").alias("_rv"))
-    touched = lrows.select("_k", "_b").distinct()
-    # 2. carry-in: the last right row of any strictly earlier bucket
-    marks = (last_in_bucket.selectExpr("_k", "_b", "_rv", "0 AS _need")
-             .unionByName(touched.selectExpr("_k", "_b", f"CAST(NULL AS {rv_type}) AS _rv",
-                                             "1 AS _need")))
-    carry = (marks.withColumn("_carry", F.expr(
-                 "last(_rv, true) OVER (PARTITION BY _k ORDER BY unix_micros(CAST(_b AS TIMESTAMP)) "
-                 "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
-                  .where("_need = 1 AND _carry IS NOT NULL")
-                  .selectExpr("_k", "_b", "_b AS _t", "-1 AS _tag", "CAST(NULL AS BIGINT) AS _o",
-                              f"CAST(NULL AS {lv_type}) AS _lv", "_carry AS _rv"))
-
-    # 3. one shuffle by (key, bucket); running last non-null right row
-    u = (lrows.selectExpr("*", f"CAST(NULL AS {rv_type}) AS _rv")
+    lv_type = l.schema["_lv"].dataType.simpleString()
+    # 1. one shuffle
+    u = (l.selectExpr("*", f"CAST(NULL AS {rv_type}) AS _rv")
          .unionByName(r.selectExpr("*", f"CAST(NULL AS {lv_type}) AS _lv"))
-         .unionByName(carry))
-    hit = F.expr("last(_rv, true) OVER (PARTITION BY _k, _b ORDER BY _t, _tag, _o "
-                 "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    out = (u.withColumn("_hit", hit).where("_tag = 1")
-            .selectExpr(*[f"_lv.`{c}` AS `{c}`" for c in left_cols],
-                        *[f"_hit.`{c}` AS `{prefix}{c}`" for c in right_cols]))
-    return out.unionByName(orphans)
+         .repartition("_k", "_b"))
+    # 2. carry-in. The engine reuses the shuffle above if both readers ask for the same
+    # rows and columns: so _lv is read here too (counted), and the join below is
+    # null-safe, which keeps it from filtering this side before the shuffle.
+    marks = u.groupBy("_k", "_b").agg(
+        F.expr("max_by(_rv, struct(_t, _o)) FILTER (WHERE _tag = 0)").alias("_last"),
+        F.count("_lv").alias("_n"))
+    carry = marks.selectExpr(
+        "_k AS _ck", "_b AS _cb", "_n", "last(_last, true) OVER (PARTITION BY _k ORDER BY _b "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _carry")
+    # 3. running last right row within the bucket
+    hit = F.expr("coalesce(last(_rv, true) OVER (PARTITION BY _k, _b ORDER BY _t, _tag, _o "
+                 "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), _carry)")
+    out = (u.join(carry, F.col("_k").eqNullSafe(F.col("_ck"))
+                  & F.col("_b").eqNullSafe(F.col("_cb")), "left")
+           .withColumn("_hit", hit).where("_tag = 1 AND _n > 0"))
+    return out.selectExpr(*[f"_lv.`{c}` AS `{c}`" for c in left_cols],
+                          *[f"_hit.`{c}` AS `{prefix}{c}`" for c in right_cols])

@@ -1,9 +1,9 @@
-"""Broadcast only behind a size check.
+"""Broadcast only behind a check of the bytes that would be shipped.
 
-``checked_broadcast`` counts the candidate side (a small job on a small
-table) and hints a broadcast only when the row count is within the bound;
-beyond it the join stays a shuffle join that AQE may still convert at runtime
-(from measured sizes) or split when skewed.
+``checked_broadcast`` measures the candidate side (a small job on a small table)
+and hints a broadcast only when its bytes are within the bound; beyond it the join
+stays a shuffle join that AQE may still convert at runtime (from measured sizes) or
+split when skewed. Rows may hold maps of any length, so rows alone bound nothing.
 """
 
 from __future__ import annotations
@@ -11,29 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a per-site config / lookup table we accept to ship to every task.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Bytes of a per-site config / lookup table we accept to ship to every task.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD = 64  # pointers and lengths of a row in a hash table
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+def measured_bytes(df: DataFrame) -> int:
+    """The rows' bytes as JSON text (no less than their binary form) with overhead."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    row = df.agg(F.sum(F.octet_length(text) + ROW_OVERHEAD).alias("n")).first()
+    return int(row["n"] or 0)
 
-    ``known_rows`` skips the count when the caller has a proven bound
-    (e.g. a ``limit(1)``); ``bound_by`` counts a cheaper frame whose row
-    count bounds ``df``'s (e.g. the raw rows before a per-key reduction,
-    which avoids running the reduction's shuffle just to count); only when
-    that bound is too large is ``df`` itself counted.
+
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                      known_bytes: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_bytes`` bytes, else ``df``.
+
+    ``known_bytes`` skips the measurement when the caller has a proven bound (an
+    inline table).
     """
     if df.isStreaming:
         return df
-    if known_rows is not None:
-        n = known_rows
-    elif bound_by is not None:
-        n = bound_by.count()
-        if n > max_rows:      # the cheap bound failed: count the frame itself
-            n = df.count()
-    else:
-        n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    n = measured_bytes(df) if known_bytes is None else known_bytes
+    return F.broadcast(df) if n <= max_bytes else df

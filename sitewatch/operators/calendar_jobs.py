@@ -1,10 +1,9 @@
 """Calendar jobs over a table (CAL-2 period spines, CAL-4 trailing cutoff).
 
-The spine is generated from the table's own min/max (a global aggregate,
-partial per partition), so it has one row per period in the data's range -
-bounded by the calendar, not by the row count. Facts are aggregated per
-period (map-side partial aggregation) and left-joined to the spine, so empty
-periods show up with zero counts instead of being missing.
+The table is read once: facts are aggregated per period (map-side partial
+aggregation), and the spine and its bounds come from those facts, which the
+calendar bounds, not the row count. Empty periods show up with zero counts
+instead of being missing.
 """
 
 from __future__ import annotations
@@ -40,23 +39,45 @@ def period_span(df: DataFrame, date_col: str, unit: str = "month") -> DataFrame:
 
 def period_counts(df: DataFrame, date_col: str, unit: str = "month",
                   measures: dict[str, Column] | None = None) -> DataFrame:
-    """Gap-free per-period facts: the spine left-joined to per-period
-    aggregates; periods without rows get ``n_rows = 0`` and NULL measures."""
-    trunc_unit = _UNITS[unit][0]
-    measures = measures or {}
+    """Gap-free per-period facts: every period between the first and the last,
+    with its aggregates; periods without rows get ``n_rows = 0`` and NULL measures."""
+    trunc_unit, step, fmt = _UNITS[unit]
+    names = ["n_rows", *(measures or {})]
     facts = (df.groupBy(F.trunc(F.col(date_col).cast("date"), trunc_unit).alias("period"))
                .agg(F.count(F.lit(1)).alias("n_rows"),
-                    *[m.alias(name) for name, m in measures.items()]))
-    out = period_spine(df, date_col, unit).join(facts, "period", "left")
-    return out.withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0)))
+                    *[m.alias(name) for name, m in (measures or {}).items()])
+               .where(F.col("period").isNotNull()))
+    # one row that holds all facts: at most one entry per period of the calendar
+    held = facts.agg(F.min("period").alias("lo"), F.max("period").alias("hi"),
+                     F.map_from_entries(F.collect_list(
+                         F.struct("period", F.struct(*names)))).alias("facts"))
+    spine = held.where(F.col("lo").isNotNull()).select("facts", F.explode(
+        F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("period"))
+    own = spine.withColumn("_f", F.try_element_at("facts", F.col("period")))
+    return own.select("period", F.date_format("period", fmt).alias("period_text"),
+                      F.coalesce(F.col("_f.n_rows"), F.lit(0)).alias("n_rows"),
+                      *[F.col(f"_f.{n}").alias(n) for n in names[1:]])
+
 
+# Units of a trailing cutoff -> SQL interval of one of them.
+_CUTOFF_UNITS = {"minute": "MINUTE", "hour": "HOUR", "day": "DAY", "week": "WEEK",
+                 "month": "MONTH", "year": "YEAR"}
 
-def trailing_cutoff(df: DataFrame, ts: str, minutes: int,
+
+def trailing_cutoff(df: DataFrame, ts: str, amount: int, unit: str = "minute",
                     anchor: Column | None = None) -> DataFrame:
-    """CAL-4: rows with ``ts >= anchor - minutes``. The default anchor is the
-    table's own latest ``ts`` (a scalar subquery, evaluated once) instead of
-    the wall clock, so the result is reproducible."""
-    if anchor is None:
-        anchor = df.select(F.max(ts)).scalar()
-    cutoff = anchor - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    return df.where(F.col(ts) >= cutoff)
+    """CAL-4: rows with ``ts >= anchor - amount units``. The default anchor is the
+    table's own latest ``ts`` (one small job: the footers hold it) instead of the
+    wall clock, so the result is reproducible.
+
+    The cutoff is a literal of the stored column's own type, so the comparison reaches
+    the scan and row groups before the cutoff are skipped: pass the stored column, not
+    a cast.
+    """
+    if unit not in _CUTOFF_UNITS:
+        raise ValueError(f"unknown unit {unit!r}")
+    kind = df.schema[ts].dataType
+    step = F.expr(f"INTERVAL {int(amount)} {_CUTOFF_UNITS[unit]}")
+    cutoff = ((F.max(ts) if anchor is None else F.max(anchor)) - step).cast(kind)
+    found = df.agg(cutoff.cast("string").alias("cutoff")).first()["cutoff"]
+    return df.where(F.col(ts) >= F.lit(found).cast(kind))

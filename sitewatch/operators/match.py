@@ -1,8 +1,9 @@
 """Threshold matching of reports against per-site configurations.
 
 JN-1  latest-config lookup: left equi-join on site, config side broadcast
-      after a size check (one row per site), no shuffle of the reports.
-JN-2  config state update: last arrival per site wins.
+      after a check of its bytes (one row per site), no shuffle of the reports.
+JN-2  config state update: the last arrival per site wins, whatever its version
+      or timestamp.
 JN-3  threshold test per open rule: violation iff max < v OR min > v.
 JN-4  split output: every report once with status 1 when any rule broke,
       plus one alarm per violated rule.
@@ -22,14 +23,16 @@ from sitewatch.functions.json import parse_rules, readings_map
 from sitewatch.operators.broadcast import checked_broadcast
 from sitewatch.operators.latest import latest_per_key
 
+# The order in which configs arrived: a number that grows with every change.
+ARRIVAL = ("config_id",)
 CFG_COLS = ("config_id", "is_delete", "interval", "rules")
 
 
 def prepare_config(configs: DataFrame, key: str = "site_id",
-                   order=("timestamp", "config_id")) -> DataFrame:
+                   order=ARRIVAL) -> DataFrame:
     """Config rows -> one active row per site: site_id, config_id, is_delete,
     interval, rules (parsed map). Accepts ``monitor_items`` as JSON text or
-    as an already parsed map."""
+    as an already parsed map. ``order`` is the order of arrival."""
     latest = latest_per_key(configs, key, order)
     items = latest["monitor_items"]
     rules = parse_rules(items) if dict(latest.dtypes)["monitor_items"] == "string" else items
@@ -94,24 +97,22 @@ def _salted_left_join(left: DataFrame, right: DataFrame, key: str,
 
 
 def match_reports(reports: DataFrame, configs: DataFrame, key: str = "site_id",
-                  order=("timestamp", "config_id"),
-                  max_broadcast_rows: int | None = None,
-                  salt_buckets: int = 16, config_rows: int | None = None) -> DataFrame:
+                  order=ARRIVAL, max_broadcast_bytes: int | None = None,
+                  salt_buckets: int = 16, config_bytes: int | None = None) -> DataFrame:
     """JN-1 + JN-3 + JN-4: annotate each report with its violations.
 
-    ``configs`` are config rows (any history); the latest per site is used.
+    ``configs`` are config rows (any history); the last to arrive per site is used.
     Reports of sites without a config pass through unmatched.
     Output: report columns (status updated) + config_id + violations.
 
-    The one-row-per-site config is broadcast when its size is proven within
-    ``max_broadcast_rows``; beyond that the join is salted over
+    The one-row-per-site config is broadcast when its bytes are proven within
+    ``max_broadcast_bytes``; beyond that the join is salted over
     ``salt_buckets`` so a hot site does not end up in one task.
-    ``config_rows``: a known bound on the config rows (skips the count).
+    ``config_bytes``: a known bound on the config's bytes (skips measuring).
     """
     cfg = prepare_config(configs, key, order)
-    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    # raw config rows >= sites: counting them bounds the reduced table
-    shipped = checked_broadcast(cfg, bound_by=configs, known_rows=config_rows, **kw)
+    kw = {} if max_broadcast_bytes is None else {"max_bytes": max_broadcast_bytes}
+    shipped = checked_broadcast(cfg, known_bytes=config_bytes, **kw)
     cfg_cols = ([F.col("site_id").alias(key)]
                 + [F.col(c).alias(f"_cfg_{c}") for c in CFG_COLS])
     if shipped is cfg and not cfg.isStreaming:
@@ -147,7 +148,7 @@ def single_slot_match(reports: DataFrame, configs: DataFrame,
     last = configs.orderBy(F.col(order).desc()).limit(1)
     items = last["monitor_items"]
     rules = parse_rules(items) if dict(last.dtypes)["monitor_items"] == "string" else items
-    last = checked_broadcast(last.select(F.col(key), rules.alias("_rules")), known_rows=1)
+    last = checked_broadcast(last.select(F.col(key), rules.alias("_rules")))
     joined = _with_data(reports.join(last, on=key, how="inner"), "data")
     out = (joined.withColumn("violations", violations("_rules", "data",
                                                       honour_switches=False))

@@ -17,6 +17,9 @@ CORRUPT = "_corrupt"
 REJECT_MALFORMED = "malformed"
 REJECT_MISSING_KEY = "missing_site_or_time"
 REJECT_UNKNOWN_FIELD = "unknown_field"
+REJECT_FIELDS = "too_few_fields"
+REJECT_TIME = "bad_timestamp"
+REJECT_MISSING_SITE = "missing_site"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -64,8 +67,7 @@ def accepted_reports(annotated: DataFrame, sensors=S.SENSORS) -> DataFrame:
 
 def rejected_reports(annotated: DataFrame, value: str = "value") -> DataFrame:
     """Quarantine: the raw text and why it was set aside."""
-    return annotated.where(F.col("reject_reason").isNotNull()).select(
-        F.col(value), F.col("reject_reason"))
+    return rejected_lines(annotated, value)
 
 
 def flatten_readings(df: DataFrame, sensors=S.SENSORS, data: str = "data") -> DataFrame:
@@ -81,25 +83,46 @@ def parse_report_table(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.select(r.alias("r")).select("r.*")
 
 
+def annotate_csv_events(lines: DataFrame, value: str = "value") -> DataFrame:
+    """SRC-8: ``user,url,timestamp`` text as trimmed fields with a ``reject_reason``
+    (fewer than 3 fields, or a timestamp that is not a number)."""
+    parts = F.split(F.col(value), ",")
+    fields = F.struct(F.trim(F.get(parts, 0)).alias("user"), F.trim(F.get(parts, 1)).alias("url"),
+                      F.trim(F.get(parts, 2)).alias("time"),
+                      F.trim(F.get(parts, 2)).try_cast("bigint").alias("timestamp"))
+    df = lines.select("*", F.inline(F.array(F.struct(fields.alias("event")))))
+    return df.withColumn("reject_reason", F.when(
+        F.col("event.time").isNull(), F.lit(REJECT_FIELDS)).when(
+        F.col("event.timestamp").isNull(), F.lit(REJECT_TIME)))
+
+
 def parse_csv_events(lines: DataFrame, value: str = "value") -> DataFrame:
-    """SRC-8: ``user,url,timestamp`` text -> (user, url, timestamp BIGINT).
+    """SRC-8: the accepted lines as (user, url, timestamp BIGINT)."""
+    good = annotate_csv_events(lines, value).where(F.col("reject_reason").isNull())
+    return good.select("event.user", "event.url", "event.timestamp")
 
-    Fields are trimmed; lines with fewer than 3 fields or a non-numeric
-    timestamp are dropped (the reference would fail the job on them).
-    """
-    parts = F.split(F.col(value), ",")
-    out = lines.select(F.trim(F.get(parts, 0)).alias("user"),
-                       F.trim(F.get(parts, 1)).alias("url"),
-                       F.trim(F.get(parts, 2)).try_cast("bigint").alias("timestamp"))
-    return out.where(F.col("url").isNotNull() & F.col("timestamp").isNotNull())
+
+def rejected_lines(annotated: DataFrame, value: str = "value", keep=()) -> DataFrame:
+    """Quarantine of any ``annotate_...``: the raw text and why it was set aside."""
+    return annotated.where(F.col("reject_reason").isNotNull()).select(
+        *keep, F.col(value), F.col("reject_reason"))
+
+
+def annotate_config_messages(lines: DataFrame, value: str = "value") -> DataFrame:
+    """SRC-4: the parsed message ``c`` and its ``reject_reason``."""
+    c = F.from_json(F.col(value), _with_corrupt(S.CONFIG_WIRE),
+                    {"columnNameOfCorruptRecord": CORRUPT})
+    df = lines.select("*", F.inline(F.array(F.struct(c.alias("c")))))
+    return df.withColumn("reject_reason", F.when(
+        F.col("c").isNull() | F.col(f"c.{CORRUPT}").isNotNull(), F.lit(REJECT_MALFORMED)).when(
+        F.col("c.siteId").isNull(), F.lit(REJECT_MISSING_SITE)))
 
 
 def parse_config_messages(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """SRC-4 / PRJ-10: one JSON config per message -> config rows with the
     rule map parsed (``monitor_items``); ``keep`` columns pass through."""
-    c = F.from_json(F.col(value), S.CONFIG_WIRE)
-    parsed = lines.select(*keep, F.inline(F.array(F.struct(c.alias("c")))))
-    return parsed.where(F.col("c.siteId").isNotNull()).select(*keep,
+    parsed = annotate_config_messages(lines, value).where(F.col("reject_reason").isNull())
+    return parsed.select(*keep,
         F.col("c.siteId").alias("site_id"), F.col("c.timestamp").alias("timestamp"),
         F.col("c.isDelete").alias("is_delete"), F.col("c.version").alias("version"),
         F.col("c.interval").alias("interval"), F.col("c.monitorItems").alias("monitor_items"))

@@ -5,8 +5,8 @@ Spark plans as a partial + final ``WindowGroupLimit`` so only N rows per
 window and partition cross the shuffle. Ties are broken by site ascending.
 
 Streaming: window functions over non-time partitions are not allowed, so the
-per-window cut is done by chained aggregations over the window in append
-mode, first per site bucket and then per window, so no list holds all sites.
+per-window cut is done by chained aggregations over the window in append mode,
+level by level over site buckets, so no list holds all sites.
 """
 
 from __future__ import annotations
@@ -35,25 +35,32 @@ def top_sites_sliding(reports: DataFrame, n: int = 3, size: str = "10 seconds",
 
 def top_n_streaming(reports: DataFrame, n: int = 3, size: str = "10 seconds",
                     slide: str = "5 seconds", ts: str = "ts",
-                    key: str = "site_id", buckets: int = 64) -> DataFrame:
+                    key: str = "site_id", levels=(4096, 64)) -> DataFrame:
     """Streaming form (append mode; ``reports`` must carry a watermark).
 
-    Three chained aggregations: counts per (window, site); the top ``n`` per
-    (window, site bucket); the top ``n`` of those per window. Every list holds
-    at most (sites / buckets) or (buckets * n) entries, never all sites of a
-    window, and the cut is exact: a window's top ``n`` are each within the top
-    ``n`` of their own bucket. Ties go to the lower site id.
+    Counts per (window, site), then the top ``n`` per (window, site bucket) with
+    each number of buckets of ``levels`` in turn, then per window. A level's
+    buckets must divide the level before it, so that a bucket is a union of
+    earlier ones: its list holds at most (ratio of the levels) * ``n`` entries
+    whatever the number of sites. Only the first level's lists grow, as
+    sites / levels[0]; give it about as many buckets as a thousandth of the
+    sites. The cut is exact: a window's top ``n`` are each within the top ``n``
+    of every bucket they fall in. Ties go to the lower site id.
     """
-    ranked = F.expr(f"slice(array_sort(collect_list(named_struct('neg', -cnt, 'k', `{key}`))), "
-                    f"1, {n})")
-    counts = (reports.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(key))
-                     .agg(F.count(F.lit(1)).alias("cnt")))
-    per_bucket = (counts.groupBy("window", F.expr(f"pmod(hash(`{key}`), {buckets})")
-                                 .alias("_bucket"))
-                        .agg(ranked.alias("top")))
-    per_window = (per_bucket.groupBy("window")
-                            .agg(F.expr(f"slice(array_sort(flatten(collect_list(top))), 1, {n})")
-                                 .alias("top")))
+    if any(a % b for a, b in zip(levels, levels[1:])):
+        raise ValueError("each level must divide the one before it")
+    def ranked(entries):
+        return F.expr(f"slice(array_sort({entries}), 1, {n})").alias("top")
+
+    top = (reports.groupBy(F.window(F.col(ts), size, slide).alias("window"), F.col(key))
+                  .agg(F.count(F.lit(1)).alias("cnt")))
+    entries = f"collect_list(named_struct('neg', -cnt, 'k', `{key}`))"
+    bucket = f"pmod(hash(`{key}`), {{}})"
+    for buckets in levels:
+        top = top.groupBy("window", F.expr(bucket.format(buckets)).alias("_bucket")).agg(
+            ranked(entries))
+        entries, bucket = "flatten(collect_list(top))", "pmod(_bucket, {})"
+    per_window = top.groupBy("window").agg(ranked(entries))
     return (per_window.select("window", F.posexplode("top").alias("pos", "t"))
                       .select(F.col("window.start").alias("window_start"),
                               F.col("window.end").alias("window_end"),

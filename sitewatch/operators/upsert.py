@@ -1,10 +1,8 @@
 """Keyed upsert and purge as table-to-table DataFrame operations.
 
-SNK-2 (``insert ... on duplicate key update``) on immutable files becomes:
-new version = old rows whose key is not updated  UNION ALL  the updates.
-The anti-join shuffles both sides on the key (or broadcasts the update keys
-when their count is within the checked bound); no row is ever dropped except
-those replaced by a newer row with the same key.
+SNK-2 (``insert ... on duplicate key update``) on immutable files becomes one
+keyed pick over old rows and updates, in which an update beats an old row: each
+side is read once and shuffled once on the key.
 """
 
 from __future__ import annotations
@@ -12,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatch.operators.broadcast import checked_broadcast
 from sitewatch.operators.latest import latest_per_key
 
 
@@ -29,20 +26,27 @@ def dedupe_updates(updates: DataFrame, keys, order: str | None) -> DataFrame:
 
 
 def upsert(current: DataFrame, updates: DataFrame, keys,
-           order: str | None = None, max_broadcast_keys: int | None = None) -> DataFrame:
+           order: str | None = None) -> DataFrame:
     """Rows of ``current`` not keyed in ``updates``, plus ``updates``.
 
     ``order``: column deciding between several updates of one key in the same
     batch (last wins); without it, updates must already be unique per key.
-    ``max_broadcast_keys``: broadcast the update keys when at most this many.
+    NULL key values are equal to each other.
     """
+    updates = dedupe_updates(updates, list(keys), order).select(*current.columns)
+    return pick_updates(current.withColumn("_is_new", F.lit(0))
+                        .unionByName(updates.withColumn("_is_new", F.lit(1))), keys)
+
+
+def pick_updates(rows: DataFrame, keys, flag: str = "_is_new") -> DataFrame:
+    """One row per key: the one with the greatest ``flag`` (1 for an update)."""
     keys = list(keys)
-    updates = dedupe_updates(updates, keys, order).select(*current.columns)
-    upd_keys = updates.select(*keys)
-    if max_broadcast_keys is not None:
-        upd_keys = checked_broadcast(upd_keys, max_rows=max_broadcast_keys)
-    kept = current.join(upd_keys, on=keys, how="left_anti")
-    return kept.unionByName(updates)
+    rest = [c for c in rows.columns if c not in keys and c != flag]
+    best = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), F.col(flag)).alias("_row"))
+    columns = [c for c in rows.columns if c != flag]
+    return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c)
+                         for c in columns])
 
 
 def purge(df: DataFrame, column: str, values) -> DataFrame:

@@ -12,25 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatch import schemas as S
-from sitewatch.functions.numeric import (exact_avg, exact_units, ordered_avg_fields,
-                                         ordered_avg_struct)
+from sitewatch.functions.numeric import (average, finished_average, merged_aggregates,
+                                         part_aggregates, with_units)
 
 
-def _avg_cols(sensors, exact_scale):
-    return [exact_avg(s, scale=exact_scale, units=f"_u_{s}").alias(f"avg_{s}")
-            for s in sensors]
-
-
-def _with_units(df: DataFrame, sensors, exact_scale) -> DataFrame:
-    """Each reading's integer units, computed once per row before the
-    aggregate (instead of once per aggregation buffer)."""
-    return df.withColumns({f"_u_{s}": exact_units(s, exact_scale) for s in sensors})
+def _labelled(df: DataFrame, key: str, sensors, code: Column,
+              label_offset_hours: int) -> DataFrame:
+    """``key, end_time, type, avg_<sensor>...`` from rows with a window ``w``."""
+    end = F.col("w.end")
+    if label_offset_hours:
+        end = end + F.make_dt_interval(F.lit(0), F.lit(label_offset_hours))
+    return df.select(F.col(key), end.alias("end_time"), code.alias("type"),
+                     *[F.col(s).alias(f"avg_{s}") for s in sensors])
 
 
 def window_averages(reports: DataFrame, tier=1, ts: str = "ts",
                     key: str = "site_id", sensors=S.SENSORS,
-                    label_offset_hours: int = 0,
-                    exact_scale: int = 4) -> DataFrame:
+                    label_offset_hours: int = 0) -> DataFrame:
     """AGG-1: tumbling average of each sensor per site, labelled by window end.
 
     Output: ``site_id, end_time, type, avg_<sensor>...`` (``type`` = tier code).
@@ -38,15 +36,8 @@ def window_averages(reports: DataFrame, tier=1, ts: str = "ts",
     Works on streaming frames after ``withWatermark(ts, ...)``.
     """
     t = S.tier(tier)
-    out = (_with_units(reports, sensors, exact_scale)
-           .groupBy(F.col(key), F.window(F.col(ts), t.duration).alias("w"))
-           .agg(*_avg_cols(sensors, exact_scale)))
-    end = F.col("w.end")
-    if label_offset_hours:
-        end = end + F.make_dt_interval(F.lit(0), F.lit(label_offset_hours))
-    return out.select(F.col(key), end.alias("end_time"),
-                      F.lit(t.code).alias("type"),
-                      *[F.col(f"avg_{s}") for s in sensors])
+    out = average(reports, [F.col(key), F.window(F.col(ts), t.duration).alias("w")], sensors)
+    return _labelled(out, key, sensors, F.lit(t.code), label_offset_hours)
 
 
 def rollup(averages: DataFrame, from_tier, key: str = "site_id",
@@ -58,34 +49,24 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
     window being taken on ``end_time`` (so an hour ending 00:00 belongs to the
     next day, as in the reference); ``end_stamped=True`` moves each row 1 us
     back, into the window it covers. Optional SRC-3 filters: one site and an
-    inclusive ``end_time`` range. Means are summed in ``end_time`` order, so
-    they are reproducible; each group holds at most the tier ratio of rows.
+    inclusive ``end_time`` range. The sums are exact in any order, so this is an
+    ordinary partial and final aggregate.
     ``label_offset_hours`` shifts only the written label (reference: +8 h).
     """
     src, dst = S.tier(from_tier), S.next_tier(from_tier)
     df = averages.where(F.col("type") == src.code)
     if site_id is not None:
         df = df.where(F.col(key) == site_id)
-    if start is not None and end is not None:
-        df = df.where(F.col("end_time").between(F.lit(start).cast("timestamp"),
-                                                F.lit(end).cast("timestamp")))
-    elif start is not None:
+    if start is not None:
         df = df.where(F.col("end_time") >= F.lit(start).cast("timestamp"))
-    elif end is not None:
+    if end is not None:
         df = df.where(F.col("end_time") <= F.lit(end).cast("timestamp"))
     event_time = F.col("end_time")
     if end_stamped:
         event_time = event_time - F.expr("INTERVAL 1 MICROSECOND")
-    items = ordered_avg_struct("end_time", {s: f"avg_{s}" for s in sensors})
-    out = (df.groupBy(F.col(key), F.window(event_time, dst.duration).alias("w"))
-             .agg(items.alias("_items")))
-    end_label = F.col("w.end")
-    if label_offset_hours:
-        end_label = end_label + F.make_dt_interval(F.lit(0), F.lit(label_offset_hours))
-    return out.select(F.col(key), end_label.alias("end_time"),
-                      F.lit(dst.code).alias("type"),
-                      *[ordered_avg_fields("_items", s).alias(f"avg_{s}")
-                        for s in sensors])
+    df = df.select(key, event_time.alias("_t"), *[F.col(f"avg_{s}").alias(s) for s in sensors])
+    out = average(df, [F.col(key), F.window("_t", dst.duration).alias("w")], sensors)
+    return _labelled(out, key, sensors, F.lit(dst.code), label_offset_hours)
 
 
 def window_counts(df: DataFrame, key: str, duration: str, slide: str | None = None,
@@ -104,13 +85,32 @@ def window_counts(df: DataFrame, key: str, duration: str, slide: str | None = No
                       F.col("w.end").alias("window_end"), F.col(name)))
 
 
-def tier_table(reports: DataFrame, tiers=(1, 2, 3, 4, 5), **kw) -> DataFrame:
-    """All requested tiers of AGG-1 stacked into one averaged table."""
-    out = None
-    for code in tiers:
-        part = window_averages(reports, tier=code, **kw)
-        out = part if out is None else out.unionByName(part)
-    return out
+def tier_table(reports: DataFrame, tiers=(1, 2, 3, 4, 5), ts: str = "ts",
+               key: str = "site_id", sensors=S.SENSORS) -> DataFrame:
+    """All requested tiers of AGG-1 in one averaged table, from one pass.
+
+    Sums and counts are taken once at the finest requested tier; each of those
+    (few) rows is then added to its window of every tier. Coarser windows are
+    unions of finer ones (all are aligned to the epoch), so the averages equal
+    those taken from the reports.
+    """
+    chosen = sorted((S.tier(t) for t in tiers), key=lambda t: t.minutes)
+    finest = chosen[0]
+    if any(t.minutes % finest.minutes for t in chosen):
+        raise ValueError("every tier must be a multiple of the finest one")
+    parts = with_units(reports, sensors).groupBy(
+        F.col(key), F.window(F.col(ts), finest.duration).alias("w")).agg(
+        *[a for s in sensors for a in part_aggregates(s)])
+    each = F.explode(F.array(*[
+        F.struct(F.lit(t.code).alias("type"), F.lit(t.minutes * 60).alias("secs"))
+        for t in chosen])).alias("_tier")
+    spread = parts.select("*", each).withColumn("_end", F.expr(
+        "timestamp_seconds((floor(unix_seconds(w.start) / _tier.secs) + 1) * _tier.secs)"))
+    out = spread.groupBy(F.col(key), F.col("_tier.type").alias("type"),
+                         F.col("_end").alias("end_time")).agg(
+        *[a for s in sensors for a in merged_aggregates(s)])
+    return out.select(key, "end_time", "type",
+                      *[finished_average(s).alias(f"avg_{s}") for s in sensors])
 
 
 def as_ntz(c) -> Column:

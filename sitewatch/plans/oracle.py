@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
+from sitewatch.functions.numeric import SCALE
 
 REPORTS = """reports AS (
   SELECT event_id AS report_id,
@@ -25,8 +26,8 @@ CLICKS = """clicks AS (
          ts, epoch_us(ts) // 1000 AS "timestamp"
   FROM events)"""
 
-CONFIG_CHANGES = """config_changes AS (
-  SELECT event_id AS config_id, CAST(user_id % 8 + 1 AS INTEGER) AS site_id,
+CONFIG_CHANGES = f"""config_changes AS (
+  SELECT {FX.ARRIVAL_SQL} AS config_id, CAST(user_id % 8 + 1 AS INTEGER) AS site_id,
          ts, epoch_us(ts) // 1000 AS "timestamp", k AS version,
          CASE WHEN k % 10 = 0 THEN 0 ELSE 30 END AS "interval",
          CASE WHEN k % 25 = 0 THEN 1 ELSE 0 END AS is_delete,
@@ -34,7 +35,25 @@ CONFIG_CHANGES = """config_changes AS (
          CAST(0.9 AS DOUBLE) AS hmt_max, CAST(0.1 AS DOUBLE) AS hmt_min, k % 2 AS hmt_open,
          CAST(k AS DOUBLE) * 10 AS lx_max, CAST(0.0 AS DOUBLE) AS lx_min, 1 AS lx_open
   FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
-        FROM events WHERE event_type = 'signup'))"""
+        FROM events))"""
+
+BAD_LINES = """bad_lines AS (
+  SELECT event_id, site_id, "timestamp", {line} AS value, event_id % {n} AS form
+  FROM (SELECT event_id, CAST(user_id % 8 + 1 AS INTEGER) AS site_id,
+               epoch_us(ts) // 1000 AS "timestamp" FROM events))"""
+
+
+def bad_lines(forms) -> str:
+    """CTE of every event's malformed or edge line."""
+    return BAD_LINES.format(line=FX.form_sql(forms), n=len(forms))
+
+
+def rejected(forms, key: str = "") -> str:
+    """Lines set aside with their reason; ``key``: leading columns."""
+    reasons = " ".join(f"WHEN {i} THEN '{r}'" for i, (_, r) in enumerate(forms) if r)
+    kept = ", ".join(str(i) for i, (_, r) in enumerate(forms) if r)
+    return (f"SELECT {key}value, CASE form {reasons} END AS reject_reason FROM bad_lines "
+            f"WHERE form IN ({kept})")
 
 
 def _num(x: float) -> str:
@@ -57,17 +76,12 @@ def bucket_end(ts: str, minutes: int) -> str:
             f" + INTERVAL '{minutes} minutes'")
 
 
-def exact_avg(col: str, scale: int = 4) -> str:
-    """Exact decimal sum, one rounding to double, one division: the same value
-    as the Spark side's long sum of 10**-scale units (both sums are exact and
-    both conversions are correctly rounded)."""
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE) / COUNT({col})"
-
-
-def ordered_avg(col: str, order: str = "end_time") -> str:
-    """Sequential sum in ``order``: the Spark side sums the sorted list with
-    ``aggregate``, so both add the same doubles in the same order."""
-    return f"AVG({col} ORDER BY {order})"
+def exact_avg(col: str) -> str:
+    """The sum of whole 10**-SCALE units (exact), one rounding to double, one
+    division by the unit and one by the count, as on the Spark side."""
+    unit = f"CAST(1e{SCALE} AS DOUBLE)"
+    return (f"CAST(SUM(CAST(round_even({col} * {unit}, 0) AS DECIMAL(38,0))) AS DOUBLE)"
+            f" / {unit} / COUNT({col})")
 
 
 def tier_cte(name: str, code: int, source: str = "reports") -> str:
@@ -85,6 +99,6 @@ def rollup_sql(code: int, end_stamped: bool = False) -> str:
     return f"""WITH {REPORTS},
 {tier_cte('src', src.code)}
 SELECT site_id, {bucket_end(et, dst.minutes)} AS end_time, {dst.code} AS type,
-       {ordered_avg('avg_tmp')} AS avg_tmp, {ordered_avg('avg_hmt')} AS avg_hmt,
-       {ordered_avg('avg_lx')} AS avg_lx
+       {exact_avg('avg_tmp')} AS avg_tmp, {exact_avg('avg_hmt')} AS avg_hmt,
+       {exact_avg('avg_lx')} AS avg_lx
 FROM src GROUP BY ALL"""

@@ -43,14 +43,17 @@ def q_calendar_week(spark, sf_dir):
 
 @register("calendar_month", f"""WITH {DATES}
 SELECT o_orderkey, d, CAST(day(last_day(d)) AS INTEGER) AS days_in_month,
-       last_day(d) AS last_day, d = last_day(d) AS is_last_day
+       last_day(d) AS last_day, d = last_day(d) AS is_last_day,
+       array_to_string(range(1, day(last_day(d)) + 1), ',') AS day_numbers
 FROM dates""")
 def q_calendar_month(spark, sf_dir):
-    """CAL-1b: days in month, last day, is-last-day of every order date."""
+    """CAL-1b: days in month, last day, is-last-day and the day numbers of the
+    month of every order date."""
     d = FX.order_dates(spark, sf_dir)
     return d.select("o_orderkey", "d", C.days_in_month("d").alias("days_in_month"),
                     F.last_day("d").alias("last_day"),
-                    C.is_last_day_of_month("d").alias("is_last_day"))
+                    C.is_last_day_of_month("d").alias("is_last_day"),
+                    F.array_join(C.month_day_numbers("d"), ",").alias("day_numbers"))
 
 
 @register("calendar_shift", f"""WITH {DATES}
@@ -133,12 +136,11 @@ def _order_lines(spark, sf_dir):
 
 
 @register("elapsed_text", f"""WITH {_LINES},
-diffs AS (SELECT *, (epoch_us(l_shipdate) - epoch_us(o_orderdate)) // 1000 AS ms FROM lines)
-SELECT l_orderkey, l_linenumber,
-  CAST(trunc(ms / 86400000) AS BIGINT) || '天' ||
-  CAST(trunc((ms % 86400000) / 3600000) AS BIGINT) || '小时' ||
-  CAST(trunc((ms % 86400000 % 3600000) / 60000) AS BIGINT) || '分钟' AS elapsed
-FROM diffs""")
+spans AS (SELECT *, CASE WHEN l_shipdate < o_orderdate THEN -1 ELSE 1 END AS sign,
+  abs(epoch_ms(l_shipdate) - epoch_ms(o_orderdate)) // 60000 AS minutes FROM lines)
+SELECT l_orderkey, l_linenumber, sign * (minutes // 1440) || '天'
+  || sign * (minutes // 60 % 24) || '小时' || sign * (minutes % 60) || '分钟' AS elapsed
+FROM spans""")
 def q_elapsed_text(spark, sf_dir):
     """CAL-3: time from order to shipment as 'd天h小时m分钟' per line item."""
     j = _order_lines(spark, sf_dir)
@@ -159,15 +161,23 @@ def q_date_order(spark, sf_dir):
                     C.order_text("o_orderdate", "l_shipdate").alias("cmp"))
 
 
-@register("trailing_cutoff", """
+def _cutoff(amount, unit):
+    def q(spark, sf_dir):
+        # the stored column is compared, so the comparison reaches the scan
+        out = trailing_cutoff(FX.table(spark, sf_dir, "events"), "ts", amount, unit)
+        return out.select("event_id", "user_id", as_ntz("ts").alias("ts"))
+    q.__doc__ = f"CAL-4: events of the last {amount} {unit}s before the latest event."
+    return q
+
+
+for _name, _amount, _unit in (("trailing_cutoff", 1440, "minute"),
+                              ("trailing_cutoff_hours", 36, "hour"),
+                              ("trailing_cutoff_days", 7, "day"),
+                              ("trailing_cutoff_months", 1, "month")):
+    register(_name, f"""
 SELECT event_id, user_id, ts FROM events
-WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1440 MINUTE""")
-def q_trailing_cutoff(spark, sf_dir):
-    """CAL-4: events of the last 1440 minutes before the latest event."""
-    ev = FX.table(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    out = trailing_cutoff(ev, "ts", 1440)
-    return out.select("event_id", "user_id", as_ntz("ts").alias("ts"))
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {_amount} {_unit}""")(
+        _cutoff(_amount, _unit))
 
 
 @register("time_text", """

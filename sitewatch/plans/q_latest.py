@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
 from sitewatch.operators.latest import current_value, latest_per_key
-from sitewatch.operators.upsert import purge, upsert
-from sitewatch.operators.windows import as_ntz, tier_table, window_averages
+from sitewatch.functions.numeric import finished_average, part_aggregates, with_units
+from sitewatch.operators.match import ARRIVAL
+from sitewatch.operators.upsert import pick_updates, purge
+from sitewatch.operators.windows import as_ntz, tier_table
 from sitewatch.plans import oracle as O
 from sitewatch.plans.catalog import register
 
@@ -24,11 +26,10 @@ SELECT site_id, config_id, ts, version, "interval", is_delete,
        to_json(MAP {{{_rule_json('tmp')}, {_rule_json('hmt')}, {_rule_json('lx')}}})::VARCHAR
          AS monitor_items
 FROM config_changes
-QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY "timestamp" DESC, config_id DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY config_id DESC) = 1""")
 def q_latest_config(spark, sf_dir):
-    """AGG-8 / JN-2: the current config of every site (last change wins)."""
-    latest = latest_per_key(FX.config_changes(spark, sf_dir), "site_id",
-                            order=("timestamp", "config_id"))
+    """AGG-8 / JN-2: the current config of every site (last to arrive wins)."""
+    latest = latest_per_key(FX.config_changes(spark, sf_dir), "site_id", order=ARRIVAL)
     return latest.select("site_id", "config_id", as_ntz("ts").alias("ts"), "version",
                          "interval", "is_delete", "monitor_items")
 
@@ -62,13 +63,24 @@ def q_avg_upsert(spark, sf_dir):
     """SNK-2: hourly averages first written without late 'purchase' reports,
     then the windows those reports touch are recomputed and upserted."""
     rep = FX.reports(spark, sf_dir, keep=("event_type",))
-    old = window_averages(rep.where(F.col("event_type") != "purchase"), tier=_HOUR)
-    touched = (rep.where(F.col("event_type") == "purchase")
-                  .select("site_id", F.window("ts", _HOUR.duration).end.alias("end_time"))
-                  .distinct())
-    new = window_averages(rep, tier=_HOUR).join(touched, ["site_id", "end_time"],
-                                                "left_semi")
-    out = upsert(old, new, S.AVG_KEYS)
+    late = F.col("event_type") == "purchase"
+    # one pass: each sensor's sums without the late reports, and with all of them
+    for sensor in S.SENSORS:
+        rep = rep.withColumn(f"old_{sensor}", F.when(~late, F.col(sensor)))
+    names = [*S.SENSORS, *[f"old_{s}" for s in S.SENSORS]]
+    sums = with_units(rep, names).groupBy(
+        "site_id", F.window("ts", _HOUR.duration).end.alias("end_time"),
+        F.lit(_HOUR.code).alias("type")).agg(
+        *[a for n in names for a in part_aggregates(n)],
+        F.bool_or(late).alias("_touched"), F.bool_or(~late).alias("_was"))
+
+    def version(prefix, flag, when):
+        averages = [finished_average(f"{prefix}{s}").alias(f"avg_{s}") for s in S.SENSORS]
+        return F.when(when, F.struct(*averages, F.lit(flag).alias("_is_new")))
+
+    both = sums.select(*S.AVG_KEYS, F.explode(F.array_compact(F.array(
+        version("old_", 0, F.col("_was")), version("", 1, F.col("_touched"))))).alias("v"))
+    out = pick_updates(both.select(*S.AVG_KEYS, "v.*"), S.AVG_KEYS)
     return out.select("site_id", as_ntz("end_time").alias("end_time"), "type",
                       "avg_tmp", "avg_hmt", "avg_lx")
 

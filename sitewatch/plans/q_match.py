@@ -16,7 +16,7 @@ from sitewatch.plans.catalog import register
 
 def _matched(spark, sf_dir):
     return match_reports(FX.reports_with_data(spark, sf_dir), FX.site_configs(spark),
-                         config_rows=len(FX.SITE_RULES))
+                         config_bytes=FX.SITE_RULES_BYTES)
 
 
 def _alarm_cols(df):
@@ -105,12 +105,14 @@ def _asof_check(sensor):
 
 
 @register("config_asof_match", f"""WITH {O.REPORTS}, {O.CONFIG_CHANGES},
+c AS (SELECT * FROM config_changes
+      QUALIFY row_number() OVER (PARTITION BY site_id, ts ORDER BY config_id DESC) = 1),
 m AS (
   SELECT r.report_id, r.site_id, r.ts, r.status, r.tmp, r.hmt, r.lx,
          c.config_id, c.is_delete, c."interval",
          c.tmp_open, c.tmp_max, c.tmp_min, c.hmt_open, c.hmt_max, c.hmt_min,
          c.lx_open, c.lx_max, c.lx_min
-  FROM reports r ASOF LEFT JOIN config_changes c
+  FROM reports r ASOF LEFT JOIN c
     ON r.site_id = c.site_id AND r.ts >= c.ts),
 n AS (
   SELECT *, CAST(CASE WHEN config_id IS NULL OR is_delete = 1 OR "interval" <= 0 THEN 0
@@ -131,7 +133,7 @@ def q_config_asof(spark, sf_dir):
     joined = asof_join(reports, changes, key="site_id", left_ts="ts", right_ts="ts",
                        right_order="config_id",
                        right_cols=["config_id", "is_delete", "interval", "rules"],
-                       bucket="1 day", prefix="cfg_")
+                       prefix="cfg_")
     m = apply_rules(joined, rules="cfg_rules", is_delete="cfg_is_delete",
                     interval="cfg_interval")
     return m.select("report_id", "site_id", as_ntz("ts").alias("ts"),

@@ -40,3 +40,11 @@ for _t in S.TIERS[:-1]:
 
 register("rollup_end_stamped", O.rollup_sql(2, end_stamped=True))(
     _rollup(2, end_stamped=True))
+
+
+@register("avg_label_offset", f"""WITH {O.REPORTS},
+{O.tier_cte('t', 2)}
+SELECT site_id, end_time + INTERVAL 8 HOUR AS end_time, type, avg_tmp, avg_hmt, avg_lx FROM t""")
+def q_label_offset(spark, sf_dir):
+    """PRJ-13: HOUR averages labelled eight hours later, as the reference stores them."""
+    return _avg_out(window_averages(FX.reports(spark, sf_dir), tier=2, label_offset_hours=8))
