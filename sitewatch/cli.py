@@ -4,12 +4,14 @@
             time range (the reference's ``--siteId --start --end --type``)
   averages  streaming tumbling averages of the report stream into the table
   monitor   streaming parse + match + alarms + archive
-  topn      streaming top-N sites per sliding window, printed
-  changelog current config per site from the config topic, printed
+  topn      streaming top-N sites per sliding window, into a folder
+  changelog current config per site from the config topic, into a folder
   purge     drop tiers from the averaged table (``delete ... where type in``)
 
-The averaged table is parquet partitioned by (type, end_date, end_hour);
-writes are keyed upserts, so re-running a job gives the same table.
+The averaged table is parquet partitioned by (type, end_date, end_hour), or a
+database table (``--jdbc-url``); writes are keyed upserts, so re-running a job gives
+the same table. The config topic must be keyed by site: a site's changes then lie in
+one partition, whose offsets are their order of arrival.
 """
 
 from __future__ import annotations
@@ -20,25 +22,38 @@ import sys
 from sitewatch import schemas as S
 from sitewatch.operators.parse import accepted_reports, annotate_reports
 from sitewatch.operators.windows import rollup
-from sitewatch.session import checkpoint_root, get_spark
-from sitewatch.sinks.writers import (AVG_PARTITIONS, purge_table, read_table,
-                                     upsert_table, with_avg_partitions, write_kafka)
+from sitewatch.session import get_spark
+from sitewatch.sinks.writers import (AVG_PARTITIONS, purge_table, read_table, staging_name,
+                                     stream_id, tier_folders, upsert_table,
+                                     with_avg_partitions, write_jdbc_upsert, write_kafka)
 from sitewatch.sources.readers import (read_config_changes, read_config_snapshot,
-                                       read_kafka, read_text, read_tier)
-from sitewatch.streaming.jobs import (average_stream, config_changelog, monitor_stream,
-                                      topn_stream)
+                                       read_jdbc_table, read_kafka, read_text, read_tier)
+from sitewatch.streaming.jobs import (average_stream, config_changelog, file_stream,
+                                      monitor_stream, topn_stream)
+
+AVG_TABLE = "dev_avg_data"
+CONFIG_TABLE = "dev_monitor_config"
+
 
 def run_rollup(spark, table: str, tier_code: int, site_id=None, start=None, end=None,
                output: str | None = None, label_offset_hours: int = 0,
-               end_stamped: bool = False) -> None:
-    src = read_table(spark, table)
+               end_stamped: bool = False, jdbc_url: str | None = None,
+               jdbc_properties: dict | None = None) -> None:
+    """One rollup job; with ``jdbc_url`` the tables are those of the database."""
+    if jdbc_url:
+        src = read_jdbc_table(spark, jdbc_url, table, jdbc_properties)
+    else:
+        src = read_table(spark, table, tier_folders(tier_code, start, end))
     if src is None:
         raise ValueError(f"no averaged table at {table}")
     scan = read_tier(src, site_id=site_id, start=start, end=end, tier_code=tier_code)
     out = rollup(scan, tier_code, label_offset_hours=label_offset_hours,
                  end_stamped=end_stamped)
-    upsert_table(spark, with_avg_partitions(out), output or table, S.AVG_KEYS,
-                 partition_by=AVG_PARTITIONS)
+    if jdbc_url:
+        write_jdbc_upsert(out, jdbc_url, output or table, S.AVG_KEYS, jdbc_properties)
+    else:
+        upsert_table(spark, with_avg_partitions(out), output or table, S.AVG_KEYS,
+                     partition_by=AVG_PARTITIONS)
 
 
 def _lines(spark, args):
@@ -53,6 +68,15 @@ def _lines(spark, args):
                      max_files_per_trigger=getattr(args, "max_files_per_trigger", None))
 
 
+def _source(args) -> str:
+    """What names the input in a derived checkpoint location."""
+    return f"kafka:{args.kafka}/{args.topic}" if args.kafka else f"files:{args.reports}"
+
+
+def _properties(args) -> dict:
+    return dict(p.partition("=")[::2] for p in args.jdbc_property)
+
+
 def _stream_input_args(parser):
     parser.add_argument("--reports", help="folder of report text files (stream)")
     parser.add_argument("--kafka", help="bootstrap servers of the report topic")
@@ -61,15 +85,29 @@ def _stream_input_args(parser):
                         help="bound each micro-batch (Kafka backlog)")
     parser.add_argument("--max-files-per-trigger", type=int,
                         help="bound each micro-batch (file source)")
+    parser.add_argument("--checkpoint", help="default: named after input and output")
+    parser.add_argument("--trigger", default="5 seconds")
+    parser.add_argument("--available-now", action="store_true",
+                        help="process what is there, then stop")
 
 
-def main(argv=None) -> int:
+def _jdbc_args(parser):
+    parser.add_argument("--jdbc-url", help="use a database table instead")
+    parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE",
+                        help="connection property (user, password, driver), repeatable")
+
+
+def _trigger(args) -> dict:
+    return {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
+
+
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sitewatch")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("rollup")
-    r.add_argument("--table", required=True)
+    r.add_argument("--table", default=AVG_TABLE, help="folder, or database table")
     r.add_argument("--output")
     r.add_argument("--type", type=int, required=True, help="source tier code (1..4)")
     r.add_argument("--siteId", type=int)
@@ -77,21 +115,21 @@ def main(argv=None) -> int:
     r.add_argument("--end")
     r.add_argument("--label-offset-hours", type=int, default=0)
     r.add_argument("--end-stamped", action="store_true")
+    _jdbc_args(r)
 
     a = sub.add_parser("averages")
     _stream_input_args(a)
-    a.add_argument("--table", required=True)
+    _jdbc_args(a)
+    a.add_argument("--table", default=AVG_TABLE, help="folder, or database table")
     a.add_argument("--tier", default="MINUTE")
     a.add_argument("--watermark", default="0 seconds")
-    a.add_argument("--trigger", default="5 seconds")
-    a.add_argument("--checkpoint")
 
     m = sub.add_parser("monitor")
     _stream_input_args(m)
-    m.add_argument("--config", required=True, help="config table (parquet path)")
+    _jdbc_args(m)
+    m.add_argument("--config", default=CONFIG_TABLE,
+                   help="config table: parquet path, or database table")
     m.add_argument("--out", required=True)
-    m.add_argument("--trigger", default="5 seconds")
-    m.add_argument("--checkpoint")
     m.add_argument("--no-archive", action="store_true")
     m.add_argument("--strict", action="store_true")
     m.add_argument("--alarm-kafka", help="bootstrap servers for the alarm topic")
@@ -99,63 +137,81 @@ def main(argv=None) -> int:
 
     t = sub.add_parser("topn")
     _stream_input_args(t)
+    t.add_argument("--out", required=True)
+    t.add_argument("--print", action="store_true", help="also print every row")
     t.add_argument("-n", type=int, default=3)
     t.add_argument("--size", default="10 seconds")
     t.add_argument("--slide", default="5 seconds")
     t.add_argument("--watermark", default="0 seconds")
-    t.add_argument("--checkpoint")
-    t.add_argument("--available-now", action="store_true",
-                   help="process what is there, then stop")
+    t.add_argument("--site-buckets", type=int, nargs="+", default=[4096, 64],
+                   help="buckets of each level of the cut, each a divisor of the one before")
 
     c = sub.add_parser("changelog")
     c.add_argument("--kafka", required=True)
-    c.add_argument("--topic", default="config")
-    c.add_argument("--checkpoint")
+    c.add_argument("--topic", default="config", help="must be keyed by site")
+    c.add_argument("--out", required=True)
+    c.add_argument("--print", action="store_true", help="also print every row")
+    c.add_argument("--checkpoint", help="default: named after input and output")
 
     g = sub.add_parser("purge")
     g.add_argument("--table", required=True)
     g.add_argument("--types", type=int, nargs="+", default=[1, 2])
+    return p
+
+
+def _averages(spark, args):
+    reports = accepted_reports(annotate_reports(_lines(spark, args)))
+    output, writer = args.table, None
+    if args.jdbc_url:
+        output = f"{args.jdbc_url}/{args.table}"
+
+        def writer(df, batch_id):
+            write_jdbc_upsert(df, args.jdbc_url, args.table, S.AVG_KEYS, _properties(args),
+                              staging_name(args.table, stream_id(df), batch_id))
+    return average_stream(spark, reports, output, tier=args.tier, watermark=args.watermark,
+                          checkpoint=args.checkpoint, trigger=_trigger(args),
+                          source=_source(args), writer=writer)
+
 
-    args = p.parse_args(argv)
+def _monitor(spark, args):
+    alarm_writer = None
+    if args.alarm_kafka:
+        def alarm_writer(rows, batch_id):
+            write_kafka(rows, args.alarm_kafka, args.alarm_topic)
+
+    def config():
+        if args.jdbc_url:
+            return read_config_snapshot(spark, jdbc_url=args.jdbc_url, table=args.config,
+                                        properties=_properties(args))
+        return read_config_snapshot(spark, path=args.config)
+    return monitor_stream(spark, _lines(spark, args), config, args.out,
+                          checkpoint=args.checkpoint, trigger=_trigger(args),
+                          source=_source(args), archive=not args.no_archive,
+                          strict=args.strict, alarm_writer=alarm_writer)
+
+
+def main(argv=None) -> int:
+    args = _parser().parse_args(argv)
     spark = get_spark(args.master)
     if args.cmd == "rollup":
         run_rollup(spark, args.table, args.type, args.siteId, args.start, args.end,
-                   args.output, args.label_offset_hours, args.end_stamped)
+                   args.output, args.label_offset_hours, args.end_stamped, args.jdbc_url,
+                   _properties(args))
     elif args.cmd == "averages":
-        reports = accepted_reports(annotate_reports(_lines(spark, args)))
-        q = average_stream(spark, reports, args.table, tier=args.tier,
-                           watermark=args.watermark, checkpoint=args.checkpoint,
-                           trigger={"processingTime": args.trigger})
-        q.awaitTermination()
+        _averages(spark, args).awaitTermination()
     elif args.cmd == "monitor":
-        alarm_writer = None
-        if args.alarm_kafka:
-            def alarm_writer(rows, batch_id):
-                write_kafka(rows, args.alarm_kafka, args.alarm_topic)
-        q = monitor_stream(spark, _lines(spark, args),
-                           lambda: read_config_snapshot(spark, path=args.config), args.out,
-                           checkpoint=args.checkpoint,
-                           trigger={"processingTime": args.trigger},
-                           archive=not args.no_archive, strict=args.strict,
-                           alarm_writer=alarm_writer)
-        q.awaitTermination()
+        _monitor(spark, args).awaitTermination()
     elif args.cmd == "topn":
         reports = accepted_reports(annotate_reports(_lines(spark, args)))
         top = topn_stream(reports, n=args.n, size=args.size, slide=args.slide,
-                          watermark=args.watermark)
-        w = (top.writeStream.outputMode("append").format("console")
-                .option("truncate", "false")
-                .option("checkpointLocation",
-                        args.checkpoint or f"{checkpoint_root(spark)}/streams/topn"))
-        w = w.trigger(availableNow=True) if args.available_now else w
-        w.start().awaitTermination()
+                          watermark=args.watermark, levels=tuple(args.site_buckets))
+        file_stream(top, args.out, "topn", checkpoint=args.checkpoint, source=_source(args),
+                    trigger=_trigger(args), show=args.print).awaitTermination()
     elif args.cmd == "changelog":
         changes = read_config_changes(spark, args.kafka, args.topic)
-        (config_changelog(changes).writeStream.outputMode("complete").format("console")
-            .option("truncate", "false")
-            .option("checkpointLocation",
-                    args.checkpoint or f"{checkpoint_root(spark)}/streams/changelog")
-            .start().awaitTermination())
+        file_stream(config_changelog(changes), args.out, "changelog", mode="complete",
+                    checkpoint=args.checkpoint, source=f"kafka:{args.kafka}/{args.topic}",
+                    show=args.print).awaitTermination()
     elif args.cmd == "purge":
         purge_table(spark, args.table, "type", args.types)
     return 0

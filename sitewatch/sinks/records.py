@@ -7,7 +7,7 @@ these rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatch import schemas as S
@@ -47,17 +47,55 @@ def search_documents(clicks: DataFrame, key: str = "user",
                          F.to_json(F.create_map(F.col(key), F.col(value))).alias("doc"))
 
 
+# The one-line renderings of the four printed records.
+EVENT_TEXT = "Event{user='%s', usr='%s', timestamp=%s}"
+COUNT_TEXT = "ReportCountView{siteId='%s', count=%s, start=%s, end=%s}"
+REPORT_TEXT = ("DataReportTableRow{siteId=%s, timestamp=%s, type='%s', version=%s, "
+               "status=%s, tmp=%s, hmt=%s, lx=%s}")
+RULE_TEXT = "MonitorItem{type='%s', open=%s, max=%s, min=%s}"
+
+
+def instant_text(ts) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.f``: as many decimals of the second as there are, one
+    at least."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), "0{1,2}$", "")
+
+
+def number_text(c: str) -> Column:
+    """A reading as text, ``null`` without one."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+
+
 def event_text(clicks: DataFrame, keep=()) -> DataFrame:
     """PRJ-12: readable one-line rendering of a click."""
     return clicks.select(*keep, F.format_string(
-        "Event{user='%s', url='%s', timestamp=%s}", F.col("user"), F.col("url"),
-        F.date_format(F.timestamp_millis("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS"))
-        .alias("value"))
+        EVENT_TEXT, F.col("user"), F.col("url"),
+        instant_text(F.timestamp_millis("timestamp"))).alias("value"))
 
 
 def count_view_text(counts: DataFrame, key: str = "site_id") -> DataFrame:
     """PRJ-12: readable rendering of a windowed count."""
     return counts.select(F.format_string(
-        "ReportCountView{siteId=%s, count=%s, start=%s, end=%s}", F.col(key),
-        F.col("cnt"), F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
-        F.date_format("window_end", "yyyy-MM-dd HH:mm:ss")).alias("value"))
+        COUNT_TEXT, F.col(key), F.col("cnt"), instant_text("window_start"),
+        instant_text("window_end")).alias("value"))
+
+
+def report_text(reports: DataFrame, keep=()) -> DataFrame:
+    """PRJ-12: readable rendering of a flattened report."""
+    return reports.select(*keep, F.format_string(
+        REPORT_TEXT, F.col("site_id"), instant_text(F.timestamp_millis("timestamp")),
+        F.col("type"), F.col("version"), F.col("status"),
+        *[number_text(s) for s in S.SENSORS]).alias("value"))
+
+
+def rule_text(rules: DataFrame, keep=()) -> DataFrame:
+    """PRJ-12: readable rendering of a threshold rule (columns of ``explode_rules``)."""
+    return rules.select(*keep, F.format_string(
+        RULE_TEXT, F.col("rule_type"), F.col("open"), number_text("max"),
+        number_text("min")).alias("value"))
+
+
+def name_url_rows(clicks: DataFrame, keep=()) -> DataFrame:
+    """SNK-4: the (name, url) row of a click."""
+    return clicks.select(*keep, F.col("user").alias("name"), "url")

@@ -50,15 +50,16 @@ def read_config_snapshot(spark: SparkSession, *, path: str | None = None,
                          properties: dict | None = None) -> DataFrame:
     """SRC-2: the whole config table (re-read on every micro-batch = poll).
 
-    Columns: site_id, timestamp, is_delete, version, interval, monitor_items
-    (+ config_id when the table has one; otherwise 0).
+    Columns: site_id, timestamp, is_delete, version, interval, monitor_items, and
+    config_id, the order of arrival: the table's own, otherwise the row's place in
+    this read (the last row of a site wins, as when rows are taken one by one).
     """
     if jdbc_url:
         df = spark.read.jdbc(jdbc_url, table, properties=properties or {})
     else:
         df = spark.read.format(fmt).load(path)
     if "config_id" not in df.columns:
-        df = df.withColumn("config_id", F.lit(0).cast("long"))
+        df = df.withColumn("config_id", F.monotonically_increasing_id())
     return df
 
 
@@ -88,14 +89,29 @@ def read_tier(source, site_id=None, start=None, end=None, tier_code=None) -> Dat
 
 
 def read_jdbc_query(spark: SparkSession, url: str, query: str,
-                    properties: dict | None = None) -> DataFrame:
-    """SRC-5: any JDBC query as a table (columns typed by the driver)."""
-    r = spark.read.format("jdbc").option("url", url).option("query", query)
+                    properties: dict | None = None, partition_column: str | None = None,
+                    lower=None, upper=None, partitions: int = 8) -> DataFrame:
+    """SRC-5: any JDBC query as a table (columns typed by the driver).
+
+    With a numeric, date or timestamp ``partition_column`` and its bounds the query
+    is read by ``partitions`` tasks, each with a range of that column of its own (the
+    bounds only deal out the ranges; rows outside them are read too).
+    """
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t")
+    if partition_column is not None:
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lower))
+              .option("upperBound", str(upper)).option("numPartitions", partitions))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()
 
 
+def read_jdbc_table(spark: SparkSession, url: str, table: str,
+                    properties: dict | None = None) -> DataFrame:
+    """A whole JDBC table; filters and columns asked of it reach the database."""
+    return spark.read.jdbc(url, table, properties=properties or {})
+
+
 def from_rows(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
     """SRC-6: an in-memory collection as a (small) table."""
     return spark.createDataFrame(rows, schema)
@@ -104,7 +120,8 @@ def from_rows(spark: SparkSession, rows, schema: T.StructType | str) -> DataFram
 def read_config_changes(spark: SparkSession, bootstrap: str, topic: str = "config",
                         starting_offsets: str = "earliest") -> DataFrame:
     """SRC-4: config change stream, one JSON config per message, with the
-    Kafka offset as arrival order (``config_id``)."""
+    Kafka offset as arrival order (``config_id``). Offsets count per partition, so
+    the topic must be keyed by site: then all changes of a site share one."""
     raw = read_kafka(spark, bootstrap, topic, starting_offsets)
     return parse_config_messages(raw.withColumnRenamed("offset", "config_id"),
                                  keep=("config_id",))
