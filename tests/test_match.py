@@ -8,7 +8,7 @@ import random
 from pyspark.sql import functions as F
 
 from sitewatch.operators.asof import asof_join
-from sitewatch.operators.broadcast import checked_broadcast
+from sitewatch.operators.broadcast import checked_broadcast, measured_bytes
 from sitewatch.operators.match import alarms, match_reports, single_slot_match
 
 REPORT_SCHEMA = ("report_id long, site_id int, timestamp long, type string, version int, "
@@ -69,11 +69,12 @@ def test_truth_table(spark):
 
 
 def test_latest_config_wins_by_arrival(spark):
-    cfg = _configs(spark, [(1, 1, 100, 0, 1, 30, _rules(tmp=(1, 10.0, 0.0))),
-                           (2, 1, 200, 0, 2, 30, _rules(tmp=(1, 50.0, 0.0)))])
+    """The last to arrive counts, though its timestamp and version are older."""
+    cfg = _configs(spark, [(1, 1, 300, 0, 9, 30, _rules(tmp=(1, 10.0, 0.0))),
+                           (2, 1, 200, 1, 2, 30, _rules(tmp=(1, 10.0, 0.0)))])
     rep = _reports(spark, [(1, 1, 0, "r", 1, 0, {"tmp": 20.0})])
     r = match_reports(rep, cfg).first()
-    assert r.config_id == 2 and r.status == 0
+    assert r.config_id == 2 and r.status == 0      # the site is switched off
 
 
 def test_single_slot_ignores_switches(spark):
@@ -100,8 +101,10 @@ def test_asof_join_matches_brute_force(spark):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     rdf = spark.createDataFrame(right, "cid long, k int, ts timestamp_ntz") \
         .withColumn("ts", F.col("ts").cast("timestamp"))
-    out = asof_join(ldf, rdf, "k", "ts", "ts", "cid", ["cid"], bucket="1 day", prefix="r_")
+    out = asof_join(ldf, rdf, "k", "ts", "ts", "cid", ["cid"], bucket=86_400, prefix="r_")
     got = {r.id: r.r_cid for r in out.collect()}
+    measured = asof_join(ldf, rdf, "k", "ts", "ts", "cid", ["cid"], prefix="r_", bucket_rows=3)
+    assert {r.id: r.r_cid for r in measured.collect()} == got
     expect = {}
     for i, k, t in left:
         cands = [(rt, cid) for cid, rk, rt in right
@@ -110,21 +113,15 @@ def test_asof_join_matches_brute_force(spark):
     assert got == expect
 
 
-def test_checked_broadcast(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
+def test_checked_broadcast_bounds_bytes(spark):
+    """Few rows with long rule maps are too large; the same rows without are not."""
     big = spark.range(1000).withColumnRenamed("id", "k")
-    plan_small = big.join(checked_broadcast(small, max_rows=100), "k") \
-        ._jdf.queryExecution().logical().toString()
-    plan_big = big.join(checked_broadcast(small, max_rows=5), "k") \
-        ._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan_small.lower()      # the hint, not Spark's own choice
-    assert "broadcast" not in plan_big.lower()
-
-
-def test_checked_broadcast_falls_back_to_exact_count(spark):
-    history = spark.range(50).selectExpr("id % 3 AS k", "id AS v")   # 50 rows, 3 keys
-    reduced = history.groupBy("k").count()
-    plan = spark.range(100).selectExpr("id % 3 AS k").join(
-        checked_broadcast(reduced, max_rows=10, bound_by=history), "k") \
-        ._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan.lower()
+    thin = spark.range(10).withColumnRenamed("id", "k")
+    fat = thin.withColumn("rules", F.expr("map('tmp', repeat('x', 5000))"))
+
+    def hinted(side):
+        plan = big.join(checked_broadcast(side, max_bytes=20_000), "k")
+        return "broadcast" in plan._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(thin) and not hinted(fat)
+    assert measured_bytes(fat) > 50_000 and measured_bytes(thin.where("false")) == 0

@@ -57,6 +57,33 @@ def test_averages_aggregate_partially_before_shuffle(spark):
     assert "partial_sum" in plan
 
 
-def test_filters_pushed_to_scan(spark):
-    plan = _plan(spark, "config_rules")
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in plan
+def _ran(spark, name):
+    """The plan that ran, after adaptive planning."""
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def _scans(plan):
+    return plan.count("FileScan parquet")
+
+
+def test_cutoff_comparison_reaches_the_scan(spark):
+    plan = _plan(spark, "trailing_cutoff")
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
+
+
+@pytest.mark.parametrize("name", ["month_spine", "year_spine", "tier_purge", "avg_upsert"])
+def test_one_scan(spark, name):
+    assert _scans(_ran(spark, name)) == 1
+
+
+def test_asof_join_reads_each_side_once(spark):
+    assert _scans(_ran(spark, "config_asof_match")) <= 3
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n.startswith(("rollup", "site_avg"))])
+def test_averages_are_plain_partial_aggregates(spark, name):
+    plan = _plan(spark, name)
+    assert "collect_list" not in plan and "array_sort" not in plan
+    assert "partial_sum" in plan and "SortAggregate" not in plan

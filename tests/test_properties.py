@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sitewatch.functions import calendar as C
-from sitewatch.functions.numeric import exact_avg
+from sitewatch.functions.numeric import average
 
 two_decimals = st.integers(min_value=-10**9, max_value=10**9).map(lambda i: i / 100)
 
@@ -16,11 +16,11 @@ two_decimals = st.integers(min_value=-10**9, max_value=10**9).map(lambda i: i /
 @given(st.lists(two_decimals, min_size=1, max_size=300), st.integers(1, 9))
 def test_exact_avg_equals_rational_mean(spark, values, parts):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
-    got = df.agg(exact_avg("x").alias("a")).first().a
+    got = average(df, [], ["x"]).first().x
     exact = sum(Fraction(round(v * 100), 100) for v in values) / len(values)
-    # exact sum, one rounding for sum/10^4 and one for the division
+    # exact sum, one rounding for the sum in units and one for each division
     assert abs(Fraction(got) - exact) <= abs(exact) * Fraction(1, 2**51) + Fraction(1, 10**12)
-    again = df.repartition(parts + 3).agg(exact_avg("x").alias("a")).first().a
+    again = average(df.repartition(parts + 3), [], ["x"]).first().x
     assert got == again
 
 

@@ -34,7 +34,13 @@ def test_asof_splits_hot_site_by_time_bucket(spark):
         changes = FX.config_changes(spark, SF_MID).withColumn(
             "rules", parse_rules("monitor_items"))
         out = asof_join(rep, changes, "site_id", "ts", "ts", "config_id",
-                        ["config_id"], bucket="1 day", prefix="cfg_")
+                        ["config_id"], bucket=86_400, prefix="cfg_")
+        assert _spread(out) >= 6
+        assert out.count() == rep.count()
+        # everything on one day: the measured bucket still spreads the hot site
+        one_day = rep.withColumn("ts", F.expr("timestamp_seconds(1704067200 + report_id % 3000)"))
+        out = asof_join(one_day, changes, "site_id", "ts", "ts", "config_id",
+                        ["config_id"], prefix="cfg_", bucket_rows=200)
         assert _spread(out) >= 6
         assert out.count() == rep.count()
     finally:
@@ -68,7 +74,7 @@ def test_unbroadcast_match_salts_hot_site(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         rep = _hot_reports(spark)
-        salted = match_reports(rep, FX.site_configs(spark), max_broadcast_rows=0)
+        salted = match_reports(rep, FX.site_configs(spark), max_broadcast_bytes=0)
         plan = salted._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         assert _spread(salted) >= 6

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from sitewatch.operators.topn import top_sites_sliding
@@ -54,6 +55,10 @@ def test_two_level_cut_equals_batch_ranking(spark):
     from sitewatch.operators.topn import top_n_streaming
     rep = FX.reports(spark, SF_MID)
     cols = ["window_start", "site_id", "cnt", "rank"]
-    two_level = {tuple(r) for r in top_n_streaming(rep, n=3, buckets=3).select(*cols).collect()}
     ranked = {tuple(r) for r in top_sites_sliding(rep, n=3).select(*cols).collect()}
-    assert two_level == ranked and len(ranked) > 1000
+    assert len(ranked) > 1000
+    for levels in ((3,), (6, 2), (64, 8, 2)):
+        cut = {tuple(r) for r in top_n_streaming(rep, n=3, levels=levels).select(*cols).collect()}
+        assert cut == ranked, levels
+    with pytest.raises(ValueError):
+        top_n_streaming(rep, levels=(64, 6))

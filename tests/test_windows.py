@@ -2,13 +2,15 @@
 
 import datetime as dt
 import math
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from sitewatch import schemas as S
-from sitewatch.functions.numeric import exact_avg
-from sitewatch.operators.windows import rollup, window_averages, window_counts
+from sitewatch.functions.numeric import average
+from sitewatch.operators.windows import rollup, tier_table, window_averages, window_counts
 
 UTC = dt.timezone.utc
 
@@ -17,41 +19,61 @@ def _ts(ms):
     return dt.datetime.fromtimestamp(ms / 1000, tz=UTC).replace(tzinfo=None)
 
 
-def test_hourly_count_golden(spark):
-    """The seven click events of the reference's table test."""
-    events = [("Alice", "./home", 1000), ("Bob", "./cart", 1000),
-              ("Alice", "./prod?id=1", 25 * 60 * 1000), ("Alice", "./prod?id=4", 55 * 60 * 1000),
-              ("Bob", "./prod?id=5", 3600 * 1000 + 60 * 1000),
-              ("Cary", "./home", 3600 * 1000 + 30 * 60 * 1000),
-              ("Cary", "./prod?id=7", 3600 * 1000 + 59 * 60 * 1000)]
+def test_hourly_count(spark):
+    """Users alone, together, across an hour's edge and with a NULL url."""
+    minute = 60_000
+    events = [("u1", "/a", 0), ("u1", "/b", 59 * minute + 59_999), ("u1", "/a", 60 * minute),
+              ("u2", "/c", 5 * minute), ("u2", None, 6 * minute), ("u3", "/a", 150 * minute)]
     df = spark.createDataFrame(events, "user string, url string, timestamp long") \
         .withColumn("ts", F.timestamp_millis("timestamp"))
-    out = window_counts(df, "user", "1 hour", count_col="url")
-    got = sorted((r.user, r.window_end.strftime("%H:%M"), r.cnt) for r in out.collect())
-    assert got == [("Alice", "01:00", 3), ("Bob", "01:00", 1), ("Bob", "02:00", 1),
-                   ("Cary", "02:00", 2)]
+    got = {(r.user, r.window_end.hour): r.cnt
+           for r in window_counts(df, "user", "1 hour", count_col="url").collect()}
+    expect = Counter((u, t // (60 * minute) + 1) for u, url, t in events if url is not None)
+    assert got == expect
 
 
-def test_exact_avg_nulls_nan_and_empty(spark):
+def _averages(df):
+    return average(df, ["g"], ["x"]).select("g", F.col("x").alias("a"))
+
+
+def test_average_nulls_nan_infinities_and_empty(spark):
+    inf = float("inf")
     rows = [(1, 1.25), (1, None), (1, 2.5), (2, None), (3, float("nan")), (3, 1.0),
-            (4, 1e300), (4, 1.0), (5, 0.123456), (5, 0.5)]
+            (4, 1e20), (4, 1.0), (5, 0.123456), (5, 0.5), (6, inf), (6, 3.0),
+            (7, inf), (7, -inf), (8, -inf), (9, inf), (9, float("nan"))]
     df = spark.createDataFrame(rows, "g int, x double")
-    got = {r.g: r.a for r in df.groupBy("g").agg(exact_avg("x").alias("a")).collect()}
+    got = {r.g: r.a for r in _averages(df).collect()}
     assert got[1] == (1.25 + 2.5) / 2
     assert got[2] is None
-    assert math.isnan(got[3])
-    assert got[4] == pytest.approx(5e299)
-    assert got[5] == (0.123456 + 0.5) / 2     # more decimals than the scale: not rounded
-
-
-def test_exact_avg_is_partition_independent(spark):
-    vals = [round((i * 7919) % 10007 / 100.0, 2) for i in range(3000)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    a1 = df.repartition(1).agg(exact_avg("x").alias("a")).first().a
-    a2 = df.repartition(7).agg(exact_avg("x").alias("a")).first().a
-    assert a1 == a2
-    exact = sum(int(round(v * 100)) for v in vals) / 100 / len(vals)
-    assert a1 == pytest.approx(exact, rel=0, abs=1e-12)
+    assert math.isnan(got[3]) and math.isnan(got[7]) and math.isnan(got[9])
+    assert got[4] == pytest.approx(5e19)
+    assert got[5] == (0.123456 + 0.5) / 2
+    assert got[6] == inf and got[8] == -inf
+
+
+@pytest.mark.parametrize("decimals", [2, 7, 15])
+def test_average_is_partition_independent(spark, decimals):
+    """Also for readings with more decimals than the unit has, NaN among them."""
+    vals = [round((i * 7919) % 10007 / 97.0, decimals) for i in range(3000)]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, x double")
+    one = {r.g: r.a for r in _averages(df.repartition(1)).collect()}
+    many = {r.g: r.a for r in _averages(df.repartition(7, "x")).collect()}
+    assert one == many
+    for g in range(3):
+        own = [Fraction(v) for v in vals[g::3]]
+        assert one[g] == pytest.approx(float(sum(own) / len(own)), rel=0, abs=1e-10)
+
+
+def test_merged_parts_equal_the_whole(spark):
+    df = spark.range(1000).selectExpr("CAST(id % 4 AS INT) AS site_id", "id / 7D AS tmp",
+                                      "CAST(NULL AS DOUBLE) AS hmt", "id * 1D AS lx",
+                                      "timestamp_seconds(id * 9000) AS ts")
+    stacked = tier_table(df, (3, 4, 5))
+    for code in (3, 4, 5):
+        cols = ["site_id", "end_time", "type", "avg_tmp", "avg_hmt", "avg_lx"]
+        direct = {tuple(r) for r in window_averages(df, tier=code).select(*cols).collect()}
+        assert {tuple(r) for r in stacked.where(F.col("type") == code).select(*cols)
+                .collect()} == direct
 
 
 def test_tier_lookup():
