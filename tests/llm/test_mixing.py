@@ -1,0 +1,120 @@
+"""Mixing against the plain definition, and against sorting in hash order."""
+
+import hashlib
+import re
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from sitewatch.llm import mixing as M
+
+from .helpers import EDGES, clashing
+
+
+def plain_targets(sizes):
+    """{source: size} -> {source: target} by sharing and resharing, in fractions."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: M.WEIGHTS[i % len(M.WEIGHTS)] for i, s in enumerate(order)}
+    target, open_, left = {}, set(order), Fraction(sum(sizes.values()))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= 3 * sizes[s]}
+        if not full:
+            target |= {s: weight[s] * level for s in open_}
+            break
+        for s in full:
+            target[s] = Fraction(3 * sizes[s])
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+def plain_hash(doc_id):
+    text = "" if doc_id is None else str(doc_id)
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
+def plain_mix(rows):
+    """[(doc_id, text, source)] -> [(doc_id, size, taken)]."""
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
+    totals = {}
+    for (_, _, s), n in zip(rows, size):
+        totals[s] = totals.get(s, 0) + n
+    targets = plain_targets(totals)
+    out = []
+    for (i, _, s), n in zip(rows, size):
+        whole = int(targets[s] // totals[s]) if totals[s] else 0
+        part = targets[s] - whole * totals[s]
+        h = plain_hash(i)
+        same = [m for (j, _, t), m in zip(rows, size) if t == s and plain_hash(j) == h]
+        below = sum(m for (j, _, t), m in zip(rows, size) if t == s and plain_hash(j) < h)
+        extra = part > 0 and part - below >= Fraction(sum(same), 2)
+        out.append((str(i), n, n * (whole + extra)))
+    return sorted(out), targets, totals
+
+
+def _check(docs, rows):
+    expect, targets, totals = plain_mix(rows)
+    got = M.mix(docs).collect()
+    assert sorted((str(r.doc_id), r.size, r.taken) for r in got) == expect
+    for r in got:
+        assert r.source_size == totals[r.source]
+        assert r.target == pytest.approx(float(targets[r.source]))
+        assert r.taken <= 3 * r.size
+
+
+def test_table(small_docs):
+    _check(small_docs, [(r.doc_id, r.text, r.source) for r in small_docs.collect()])
+
+
+def test_edge_texts_and_null_source(docs_of):
+    rows = [(i, t, "en", (None, "b", "a")[n % 3]) for n, (i, t) in enumerate(EDGES)]
+    _check(docs_of(rows), [(i, t, s) for i, t, _, s in rows])
+
+
+def test_hot_source_and_capped_sources(docs_of):
+    rows = [(i, "w " * (i % 13), "en", "hot" if i % 3 == 0 else f"s{i % 40}") for i in range(400)]
+    rows += [(1000, "only one", "en", "a"), (1001, "", "en", "empty")]
+    _check(docs_of(rows), [(i, t, s) for i, t, _, s in rows])
+
+
+def test_taken_comes_near_the_target(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = M.mix(docs).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"),
+        F.max("size").alias("most")).collect()
+    assert all(abs(r.taken - r.target) <= r.most for r in rows)
+
+
+def test_refining_to_single_hashes(spark):
+    """Enough documents that several levels are needed; the limit still is exact."""
+    sizes = spark.range(60_000).select(
+        F.lit("a").alias("source"), (F.col("id") % 5).alias("size"),
+        M.doc_hash(F.col("id")).alias("hash"))
+    sizes = sizes.union(spark.range(50).selectExpr("'b' AS source", "1000L AS size", "id AS hash"))
+    plan = {r.source: r for r in M.thresholds(sizes).collect()}
+    own = sizes.where("source = 'a' AND size > 0").orderBy("hash").collect()
+    upto = 0
+    for r in own:
+        upto += r["size"]
+        if upto >= plan["a"].part:
+            break
+    assert plan["a"].part > 0 and plan["a"].limit == r["hash"]
+
+
+def test_mixed_documents_repeat_rows(small_docs):
+    odd = clashing(small_docs)
+    out = M.mixed_documents(odd)
+    assert out.columns == odd.columns
+    copies = {r.doc_id: r.copies for r in M.mix(small_docs).collect() if r.copies}
+    got = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == copies
+    assert M.mix(small_docs.limit(0)).count() == 0
+    assert M.mixed_documents(small_docs.limit(0)).count() == 0
+
+
+def test_reruns_agree(small_docs):
+    a, b = (sorted((r.doc_id, r.taken) for r in M.mix(d).collect())
+            for d in (small_docs, small_docs.repartition(7)))
+    assert a == b
