@@ -1,13 +1,14 @@
 """Main text of HTML pages: text-to-tag ratio per line, smoothed and clustered.
 
 The standard library's parser is fed piece by piece. Its events make lines (the text
-of one block element each) with their characters, tags and link characters. The text
-to tag ratio of the lines is smoothed by a Gaussian and split in two clusters; the
-high cluster marks where the content is. The content region is the innermost element
+of one block element each) with their characters, tags and link characters. The
+logarithm of the lines' text-to-tag ratio is smoothed by a Gaussian and split in two
+clusters; the high cluster marks where the content is. The content region is the innermost element
 that holds most of the marked text (an article or main element if one does), and its
 lines are returned, but for menus, headers, footers, sidebars, notices, adverts,
 forms, comments and anything not shown. Where no element but the body holds the
-region, it reaches from the first marked line, with the heading before it, to the last.
+region, lines before the first and after the last marked one are left out if they are
+mostly links.
 
 Defined cases: NULL or empty html, or a page without a line, gives the empty text;
 unclosed and stray tags are mended as browsers do for blocks and lists; character
@@ -54,7 +55,7 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Lines(HTMLParser):
-    """Collects lines: (text, tags, path of open elements, aside, link characters)."""
+    """Collects lines: (text, tags, path of open elements, aside, mostly links)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -79,8 +80,8 @@ class Lines(HTMLParser):
         if text:
             path = tuple(e[1] for e in self.open)
             aside = any(e[2] for e in self.open)
-            kind = next((e[0] for e in reversed(self.open) if e[0] in BLOCKS), "")
-            self.lines.append((text, self.tags, path, aside, kind))
+            mostly_links = 2 * self.links >= len(text)
+            self.lines.append((text, self.tags, path, aside, mostly_links))
             for e in self.open:
                 if e[1] in self.lists:
                     self.lists[e[1]][0] += len(text)
@@ -173,7 +174,7 @@ class Lines(HTMLParser):
 
 def _marked(lines) -> np.ndarray:
     """Lines whose smoothed text-to-tag ratio lies in the higher of two clusters."""
-    ratio = np.array([0.0 if aside else len(text) / max(tags, 1)
+    ratio = np.log1p([0.0 if aside else len(text) / max(tags, 1)
                       for text, tags, _, aside, _ in lines])
     reach = np.arange(-3, 4)
     kernel = np.exp(-(reach / SIGMA) ** 2 / 2)
@@ -197,8 +198,8 @@ def extract(html: str) -> str:
     parser.finish()
     menus = {e for e, (text, links, items) in parser.lists.items()
              if items >= 3 and links >= MENU_LINKS * text}
-    lines = [(text, tags, path, aside or bool(menus.intersection(path)), kind)
-             for text, tags, path, aside, kind in parser.lines]
+    lines = [(text, tags, path, aside or bool(menus.intersection(path)), links)
+             for text, tags, path, aside, links in parser.lines]
     shown = [i for i, line in enumerate(lines) if not line[3]]
     if not shown:
         return ""
@@ -218,9 +219,7 @@ def extract(html: str) -> str:
         kept = [i for i in shown if region in lines[i][2]]
     else:
         first, last = chosen[0], chosen[-1]
-        while first and lines[first - 1][4] in HEADINGS and not lines[first - 1][3]:
-            first -= 1
-        kept = [i for i in shown if first <= i <= last]
+        kept = [i for i in shown if first <= i <= last or not lines[i][4]]
     return "\n".join(lines[i][0] for i in kept)
 
 
