@@ -21,6 +21,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +52,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
     def run(batches):
         enc = encoder(vocabulary, True)
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            done = 0
-            for group in by_bytes([t or "" for t in batch.column(1).to_pylist()]):
+            texts, done = pc.fill_null(batch.column(1), ""), 0
+            for group in by_bytes(texts):
                 out = defaultdict(list)
-                for key, raw in zip(keys[done:], enc.encode(group)):
+                keys = batch.column(0).slice(done, len(group)).to_pylist()
+                for key, raw in zip(keys, enc.encode(group)):
                     raw += end
                     for i, (start, length) in enumerate(_cut(raw, capacity)):
                         part = raw[4 * start:4 * (start + length)]

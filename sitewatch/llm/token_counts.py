@@ -9,21 +9,19 @@ them; repeated rows are all returned; other columns are left out unless named in
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatch.llm.token_ids import by_bytes, encoder
+from sitewatch.llm.token_ids import encoder
 
 
 def count_udf(vocabulary: str):
     """Arrow function text -> number of tokens for the tokenizer file at ``vocabulary``."""
     @F.arrow_udf("long")
     def n_tokens(text: pa.Array) -> pa.Array:
-        enc = encoder(vocabulary, False)
-        out: list[int] = []
-        for group in by_bytes([t or "" for t in text.to_pylist()]):
-            out.extend(enc.encode(group))
-        return pa.array(out, pa.int64())
+        counts = encoder(vocabulary, False).encode(pc.fill_null(text, ""))
+        return pa.array(counts, pa.int64())
     return n_tokens
 
 
