@@ -113,8 +113,9 @@ def thresholds(sizes: DataFrame) -> DataFrame:
                          .select("source", "hash", "size"), "mixing-edge")
     ends = found.select(F.col("source").alias("_source"), F.col("_lo").alias("limit"),
                         (F.col("part") - F.col("below") >= F.col("held") / 2).alias("at_limit"))
-    return (plan.join(ends, _same(F.col("source"), F.col("_source")), "left")
-            .drop("_source"))
+    # one row per source, written: its size is known to whoever joins it
+    return written(plan.join(ends, _same(F.col("source"), F.col("_source")), "left")
+                   .drop("_source"), "mixing-thresholds")
 
 
 def _planned(sizes: DataFrame, plan: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from sitewatch.llm.common import written
 
 QUERY_BLOCK = 1024      # queries in a task
-CANDIDATE_BLOCK = 8192  # candidates in a task
+CANDIDATE_BLOCK = 8192  # candidates in a task, fewer if their vectors are long
+BLOCK_NUMBERS = 1 << 21  # most components of a block, about
 AT_ONCE = 256           # queries whose bounds are held at once
 DEPTHS = (0.5, 0.75, 0.9, 1.0)  # shares of each list read after each round
 
@@ -121,9 +122,11 @@ def top_k(vectors: DataFrame, k: int = 5, is_query=None, scale: int = 256) -> Da
         F.monotonically_increasing_id().alias("_u"),
         F.coalesce(is_query, F.lit(False)).alias("_asks"))
     rows = written(rows, "topk-vectors")
-    size = rows.agg(F.count("*").alias("n"), F.count_if("_asks").alias("q")).first()
-    n_blocks = max(1, -(-size["n"] // CANDIDATE_BLOCK))
-    q_blocks = max(1, -(-size["q"] // QUERY_BLOCK))
+    size = rows.agg(F.count("*").alias("n"), F.count_if("_asks").alias("q"),
+                    F.max("_dim").alias("dim")).first()
+    most = max(1, BLOCK_NUMBERS // max(1, size["dim"] or 0))
+    n_blocks = max(1, -(-size["n"] // min(CANDIDATE_BLOCK, most)))
+    q_blocks = max(1, -(-size["q"] // min(QUERY_BLOCK, most)))
 
     def dealt(df, name, n):
         return df.withColumn(name, F.pmod(F.xxhash64("_u"), F.lit(n)))

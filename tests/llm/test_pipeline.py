@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force, and the registered queries."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 import corpus_pipeline as C
 from sitewatch.llm import q_mixing, q_rules, q_search, quality_rules, secret_scan
@@ -10,18 +12,29 @@ from .test_simhash import plain_fingerprint, plain_groups
 from .test_tokens_packing import _check_places
 
 
+def _with_a_secret(spark, docs):
+    """``docs`` and one more: the words of a long one backwards, with a key."""
+    long = docs.orderBy(F.length("text").desc()).where("lang = 'en'").limit(40).collect()
+    kept = {r.doc_id for r in quality_rules.verdicts(docs).where("kept").collect()}
+    r = next(r for r in long if r.doc_id in kept)
+    text = " ".join(reversed(r.text.split())) + ' token = "deadbeefdeadbeefdeadbeefdeadbeef"'
+    return docs.union(spark.createDataFrame(
+        [(99_999, text, r.lang, r.source, len(text))], docs.schema))
+
+
 def test_stages(spark, small_docs):
     assert [n for n, _ in C.STAGES] == ["quality_rules", "near_duplicates", "secret_scans",
                                         "source_mixing", "packing"]
-    docs = clashing(small_docs).cache()
+    docs = _with_a_secret(spark, small_docs)
+    kept = {r.doc_id for r in quality_rules.verdicts(docs).where("kept").collect()}
+    docs = clashing(docs).cache()
     steps = [docs]
     for _, stage in C.STAGES[:-1]:
         steps.append(stage(spark, steps[-1], SMALL).cache())
         assert steps[-1].columns == docs.columns
     rules, unique, clean, mixed = ([r.asDict() for r in s.collect()] for s in steps[1:])
 
-    kept = {r.doc_id for r in quality_rules.verdicts(small_docs).where("kept").collect()}
-    assert {r["doc_id"] for r in rules} == kept
+    assert {r["doc_id"] for r in rules} == kept and 99_999 in kept
 
     fps = [(r["doc_id"], plain_fingerprint(r["text"])) for r in rules]
     assert sorted(r["doc_id"] for r in unique) == sorted(set(plain_groups(fps)))
