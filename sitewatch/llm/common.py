@@ -1,9 +1,11 @@
-"""Shared helpers of the training-data operators: written tables, salts, let-bindings."""
+"""Shared helpers of the training-data operators: written tables, shipped code."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +44,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def let(value: str, name: str, body: str) -> str:
-    """SQL that computes ``value`` once per row and uses it as ``name`` in ``body``."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per Spark context.
+
+    Tasks import their functions by name, and a cluster's machines need not have the
+    package installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_sitewatch_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="sitewatch-code-"), "sitewatch_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    context._sitewatch_shipped = True
 
 
 def crc_bucket(col, n: int):

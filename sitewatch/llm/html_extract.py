@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewatch.llm.common import ship
+
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -233,5 +235,6 @@ def extract_udf():
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
+    ship(pages.sparkSession)
     return (pages.select("page_id", "url", extract_udf()("html").alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

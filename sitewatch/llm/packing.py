@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatch.llm.common import written
+from sitewatch.llm.common import ship, written
 from sitewatch.llm.token_ids import IDS, by_bytes, encoder
 
 SALTS = 32               # least number of ranking groups per length
@@ -45,6 +45,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
 
     Columns doc_id, piece, start, length, ids_crc32 and, if asked, ``ids``.
     """
+    ship(docs.sparkSession)
     end = np.array([end_id], dtype=IDS).tobytes()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     schema += ", ids array<long>" if with_ids else ""
@@ -151,6 +152,7 @@ def _places(patterns, counts: dict[int, int]):
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` from 1 to ``capacity``."""
     spark = cut.sparkSession
+    ship(spark)
     rows = written(cut.withColumn("_row", F.monotonically_increasing_id()), "packing-pieces")
     total = rows.count()
     salts = max(SALTS, -(-total // ROWS_PER_SALT))

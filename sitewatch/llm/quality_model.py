@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatch.llm.common import crc_bucket
+from sitewatch.llm.common import crc_bucket, ship
 from sitewatch.llm.labelled import labelled_sample
 
 SAMPLE_ROWS = 4000
@@ -164,6 +164,7 @@ def score_udf(spark, folded: np.ndarray, bias: float):
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted; fitted on rows that are not held out."""
+    ship(docs.sparkSession)
     held_out = crc_bucket(F.col("doc_id"), HELD_OUT_OF) == 0
     sample = labelled_sample(docs, labels.where(F.col("quality").isin(0, 1)), "quality",
                              SAMPLE_ROWS, SAMPLE_BYTES, ~held_out)

@@ -44,7 +44,7 @@ TRIM = ".,;:!?"
 MIN_WORDS = 50          # base rule, and least words for the character histogram
 MIN_WORDS_HIST = 100    # least words for the common-word histogram
 MAX_CHAR_DISTANCE = 0.16
-MAX_WORD_DISTANCE = 0.30
+MAX_WORD_DISTANCE = 0.36
 
 
 def _quoted(words) -> str:

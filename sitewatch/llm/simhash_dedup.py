@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatch.llm.common import written
+from sitewatch.llm.common import ship, written
 from sitewatch.llm.components import components
 
 SEED = 42
@@ -62,7 +62,9 @@ def fingerprint(raw: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(parts)).tobytes(), "big")
 
 
-def fingerprint_udf(shingle: int):
+def fingerprint_udf(spark, shingle: int):
+    ship(spark)
+
     @F.arrow_udf("long")
     def fp(text: pa.Array) -> pa.Array:
         values = [fingerprint(t or b"", shingle) for t in text.cast(pa.binary()).to_pylist()]
@@ -153,6 +155,7 @@ def _lists(n_keys: int, max_bits: int, hot):
 
 def _compared(index: DataFrame, keys: list[str], max_bits: int, hot) -> DataFrame:
     """Links and hot members of every list of ``index`` (key columns and fp)."""
+    ship(index.sparkSession)
     dealt = index.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys)
     return written(dealt.mapInArrow(_lists(len(keys), max_bits, hot),
                                     "a long, b long, hot boolean"), "simhash-lists")
@@ -216,7 +219,8 @@ def _components(rows: DataFrame, max_bits: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint (hex), component_id: one row per row of ``docs``."""
     rows = written(docs.select(F.col("doc_id").cast("long"),
-                               fingerprint_udf(shingle)(F.coalesce("text", F.lit(""))).alias("fp")),
+                               fingerprint_udf(docs.sparkSession, shingle)(
+                                   F.coalesce("text", F.lit(""))).alias("fp")),
                    "simhash-rows")
     return (rows.join(_components(rows, max_bits), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -228,7 +232,7 @@ def deduplicated(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFr
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = written(docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
-        fingerprint_udf(shingle)(F.coalesce("text", F.lit(""))).alias("fp"), row), "simhash-rows")
+        fingerprint_udf(docs.sparkSession, shingle)(F.coalesce("text", F.lit(""))).alias("fp"), row), "simhash-rows")
     ids = rows.select("uid", "doc_id", "fp")
     stay = (ids.join(_components(ids, max_bits), "fp").groupBy("root")
             .agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("uid")))

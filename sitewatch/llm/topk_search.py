@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatch.llm.common import written
+from sitewatch.llm.common import ship, written
 
 QUERY_BLOCK = 1024      # queries in a task
 CANDIDATE_BLOCK = 8192  # candidates in a task, fewer if their vectors are long
@@ -113,6 +113,7 @@ def top_k(vectors: DataFrame, k: int = 5, is_query=None, scale: int = 256) -> Da
 
     Components are compared as floor(scale * x). Columns read: vec_id, embedding.
     """
+    ship(vectors.sparkSession)
     is_query = F.col("vec_id") % 50 == 0 if is_query is None else is_query
     bad = ("embedding is null or exists(embedding, x -> x is null or isnan(x) "
            "or abs(x) = double('infinity'))")
