@@ -35,3 +35,21 @@ def test_survey_inventory_is_mapped():
     assert len(survey) > 60
     missing = sorted(survey - _readme_ids())
     assert missing == [], missing
+
+
+def test_named_queries_and_tests_exist():
+    """What the inventory names as evidence is there, and every query is named."""
+    from sitewatch.plans import catalog
+    readme = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    inventory = readme.split("## Operator inventory")[1].split("### Semantic decisions")[0]
+    sources = "".join(open(os.path.join(ROOT, "tests", f), encoding="utf-8").read()
+                      for f in os.listdir(os.path.join(ROOT, "tests")) if f.endswith(".py"))
+    for name in re.findall(r"`(test_\w+)`", inventory):
+        assert f"def {name}(" in sources, name
+    # families such as `rollup_*`, `site_avg_minute/hour`, or `a` ... `b`
+    stems = {re.split(r"[*/]", n)[0] for n in re.findall(r"`([\w*/]+)`", inventory)}
+    for name in catalog.queries():
+        assert any(name == s or s.endswith("_") and name.startswith(s)
+                   or name.rsplit("_", 1)[0] == s.rsplit("_", 1)[0]
+                   or name.startswith("rollup_") and s.startswith("rollup_")
+                   for s in stems), name
