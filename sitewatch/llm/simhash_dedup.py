@@ -62,14 +62,15 @@ def fingerprint(raw: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(parts)).tobytes(), "big")
 
 
-def fingerprint_udf(spark, shingle: int):
-    ship(spark)
+def _fingerprints(docs: DataFrame, shingle: int):
+    """Column ``fp`` of the documents' texts, as signed numbers."""
+    ship(docs.sparkSession)
 
     @F.arrow_udf("long")
     def fp(text: pa.Array) -> pa.Array:
         values = [fingerprint(t or b"", shingle) for t in text.cast(pa.binary()).to_pylist()]
         return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-    return fp
+    return fp(F.coalesce("text", F.lit(""))).alias("fp")
 
 
 def _roots(links: np.ndarray) -> np.ndarray:
@@ -218,9 +219,7 @@ def _components(rows: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint (hex), component_id: one row per row of ``docs``."""
-    rows = written(docs.select(F.col("doc_id").cast("long"),
-                               fingerprint_udf(docs.sparkSession, shingle)(
-                                   F.coalesce("text", F.lit(""))).alias("fp")),
+    rows = written(docs.select(F.col("doc_id").cast("long"), _fingerprints(docs, shingle)),
                    "simhash-rows")
     return (rows.join(_components(rows, max_bits), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -232,7 +231,7 @@ def deduplicated(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFr
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = written(docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
-        fingerprint_udf(docs.sparkSession, shingle)(F.coalesce("text", F.lit(""))).alias("fp"), row), "simhash-rows")
+        _fingerprints(docs, shingle), row), "simhash-rows")
     ids = rows.select("uid", "doc_id", "fp")
     stay = (ids.join(_components(ids, max_bits), "fp").groupBy("root")
             .agg(F.min_by("uid", F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("uid")))

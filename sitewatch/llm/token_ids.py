@@ -3,11 +3,11 @@
 A cut before a single space between two characters that are not white space never
 lies inside a pre-token, so the pieces' ids joined are the whole text's ids. Each
 worker remembers a bounded number of words (with the space before them) and their
-ids; each group of texts looks every different word up once. A word met for the first time goes to the library: its BPE model directly where
-all its characters are ones whose class is beyond doubt (ASCII, Latin and Cyrillic
-letters), which saves the library's costly splitting, else its whole encoder. A text
-with white space beside a space is cut only at the safe places left and encoded by
-the library's whole encoder.
+ids; each group of texts looks every different word up once. A word met for the first
+time goes to the library: its BPE model directly where all its characters are ones
+whose class is beyond doubt (ASCII, Latin and Cyrillic letters), which saves the
+library's costly splitting, else its whole encoder. A text with white space beside a
+space is cut only at the safe places left and encoded by the library's whole encoder.
 """
 
 from __future__ import annotations
