@@ -1,8 +1,10 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Every step is a grouped minimum (partial sums first) and a join on the node, which
-the engine can split where one node has very many neighbours. Each round's edges are
-written to the shared folder, so a lost executor costs one round at most.
+Every step is a grouped minimum (partial sums first) and a join on the node. Each
+step's table is written to the shared folder: a lost executor costs one step at most,
+and the join reads its two sides straight from tables, so that the engine can
+broadcast the minima while they are small (their size is known) and split the edges of
+a node with very many neighbours when they are not.
 """
 
 from __future__ import annotations
@@ -13,6 +15,11 @@ from pyspark.sql import functions as F
 from sitewatch.llm.common import written
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """u and the least v beside it."""
+    return edges.groupBy("u").agg(F.min("v").alias("least"))
+
+
 def _hooked(edges: DataFrame, least: DataFrame, keep) -> DataFrame:
     """(v, least of u) for the edges (u, v) that ``keep`` holds for."""
     return (edges.join(least, "u").where(keep)
@@ -29,10 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
                                                F.least("a", "b").alias("v")).distinct(), "edges")
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("least")) \
-            .withColumn("least", F.least("u", "least"))
-        large = _hooked(both, least, F.col("v") > F.col("u")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("least"))
+        least = written(_least(both).withColumn("least", F.least("u", "least")), "edges-least")
+        large = written(_hooked(both, least, F.col("v") > F.col("u")).distinct(), "edges-large")
+        least = written(_least(large), "edges-least")
         small = _hooked(large, least, F.col("v") != F.col("least")) \
             .union(least.select("u", F.col("least").alias("v"))).distinct()
         now = written(small, "edges")

@@ -210,11 +210,13 @@ def _components(rows: DataFrame, max_bits: int) -> DataFrame:
     linked = components(links(own.select("fp"), max_bits))
     rooted = written(own.join(linked, own["fp"] == linked["node"]).select("fp", "least", "root"),
                      "simhash-linked")
-    best = rooted.groupBy("root").agg(F.min("least").alias("_best"))
+    # written, so that the joins can split a root or a fingerprint that very many rows have
+    best = written(rooted.groupBy("root").agg(F.min("least").alias("_best")), "simhash-roots")
     joined = rooted.join(best, "root").select("fp", "root", "_best")
-    return (own.join(joined, "fp", "left")
-            .select("fp", F.coalesce("root", "fp").alias("root"),
-                    F.coalesce("_best", "least").alias("component_id")))
+    return written(own.join(joined, "fp", "left")
+                   .select("fp", F.coalesce("root", "fp").alias("root"),
+                           F.coalesce("_best", "least").alias("component_id")),
+                   "simhash-components")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
