@@ -69,6 +69,22 @@ def test_run_and_empty_table(spark, tmp_path, small_docs):
     assert C.run(spark, str(tmp_path)).count() == 0
 
 
+def test_run_over_odd_rows(spark, tmp_path, small_docs, edge_docs):
+    """NULLs in every column, blank, long and repeated texts beside ordinary ones."""
+    nulls = spark.createDataFrame([(None, None, None, None, None)] * 2, edge_docs.schema)
+    long = small_docs.orderBy(F.length("text").desc()).limit(5)
+    odd = long.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "upper(text) AS text",
+                          "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source",
+                          "CAST(NULL AS BIGINT) AS n_chars")
+    plain = long.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang",
+                            "CAST(NULL AS STRING) AS source", "CAST(NULL AS BIGINT) AS n_chars")
+    docs = small_docs.union(edge_docs).union(nulls).union(odd).union(plain)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = C.run(spark, str(tmp_path)).collect()
+    assert _check_places(rows, 2048) and {r.doc_id for r in rows} <= {
+        r.doc_id for r in small_docs.collect()}
+
+
 def test_registered_queries():
     names = [n for n in E.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
