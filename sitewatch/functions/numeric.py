@@ -7,7 +7,8 @@ cluster layout. Here every value is turned, row by row, into a whole number of
 exact and the same in any order, and an average can be kept as (sum, count)
 parts and merged later. There is one path for all groups: whether a group holds
 values with more decimals than SCALE does not change how it is averaged (such a
-value is rounded to the nearest unit, half to even).
+value is rounded to the nearest unit, half to even; a reading above about 900,000 has
+fewer decimals than that as a double, and keeps the ones it has to within one bit).
 
 NaN and infinities are noted per row beside the sum and decide the result as in
 IEEE addition: NaN, or infinities of both signs, give NaN; otherwise an infinity
