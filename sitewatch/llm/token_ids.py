@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 
 IDS = np.dtype("<u4")     # the type of ids as bytes
 GROUP_BYTES = 1 << 18     # text given to the library in one call
-GROUP_TEXT = 8 << 20      # text whose words are told apart at once
-MEMORY_WORDS = 600_000    # words of a generation remembered per worker and mode
+GROUP_TEXT = 4 << 20      # text whose words are told apart at once
+MEMORY_WORDS = 200_000    # words of a generation remembered per worker and mode
 SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 # Letters beyond doubt: ASCII, Latin-1, Latin Extended-A and -B, Cyrillic.
@@ -235,6 +235,7 @@ class Encoder:
             for i in odd.tolist():
                 found[i] = self.direct(group[i].as_py())
             out += found
+        pa.default_memory_pool().release_unused()
         return out
 
 
