@@ -10,8 +10,12 @@ forms, comments and anything not shown. Where no element but the body holds the
 region, lines before the first and after the last marked one are left out if they are
 mostly links.
 
+An aside is told by its element, or by a class, id or role that is an aside's name as a
+whole. A form or named element that wraps the article is none: it holds the main element,
+or most of the page's text and its first article or h1 (a form: most of the text).
+
 Defined cases: NULL or empty html, or a page without a line, gives the empty text;
-unclosed and stray tags are mended as browsers do for blocks and lists; character
+where all text is in forms or named elements, it is the text; unclosed and stray tags are mended as browsers do for blocks and lists; character
 references are decoded; white space inside a line becomes one space; lines are joined
 by one newline; repeated rows are all returned; extra columns are left out.
 """
@@ -47,17 +51,36 @@ ASIDE_NAMES = frozenset(
     "newsletter subscribe subscription signup login comment comments disqus respond replies reply "
     "discussion share sharing social related recommended widget widgets toolbar search contentinfo "
     "complementary skip".split())
+# Parts that may stand beside them in a class or id, as in comment-list or site-footer.
+AFFIXES = frozenset(
+    "site main primary secondary global top bottom left right side inner outer mobile desktop sticky "
+    "fixed box bar area block button buttons column container content form group icons item items "
+    "links list panel placeholder row section slot text title unit wrap wrapper zone posts articles "
+    "google".split())
 CONTAINERS = frozenset(("article", "main"))
 
 FEED = 1 << 16        # characters given to the parser at once
 SIGMA = 1.0           # of the Gaussian, in lines
 REGION_SHARE = 0.5    # of the marked text that the region's element must hold
 MENU_LINKS = 0.8      # a list with this share of its text in links is a menu
-_NAME = re.compile(r"[a-z]+")
+MOST = 0.5            # of the page's text that a wrapper must hold to be no aside
+PROSE = 20            # characters per tag from which a line counts as prose
+_PART = re.compile(r"[a-z0-9]+")
+
+
+def _names_aside(token: str) -> bool:
+    """Whether a whole class, id or role is made of aside names, with or without affixes."""
+    parts = [p.rstrip("0123456789") for p in _PART.findall(token) if not p[0].isdigit()]
+    return any(p in ASIDE_NAMES for p in parts) and all(
+        p in ASIDE_NAMES or p in AFFIXES for p in parts)
 
 
 class Lines(HTMLParser):
-    """Collects lines: (text, tags, path of open elements, aside, mostly links)."""
+    """Collects lines: (text, tags, path of open elements, aside, mostly links).
+
+    Forms and elements with an aside's name are only noted, in ``named``: whether they
+    wrap the article is known at the end.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -65,6 +88,7 @@ class Lines(HTMLParser):
         self.open: list[tuple] = []        # (tag, element id, aside, unseen)
         self.count = 0
         self.kinds: dict[int, str] = {}
+        self.named: dict[int, bool] = {}   # form or named element -> whether it has a name
         self.lists: dict[int, list] = {}   # list element -> [text, link text, items]
         self.parts: list[str] = []
         self.tags = 0
@@ -102,22 +126,25 @@ class Lines(HTMLParser):
             if self.open[i][0] in until:
                 return
 
+    def _inside(self):
+        return any(self.kinds[e[1]] in CONTAINERS for e in self.open)
+
     def _aside(self, tag, attrs):
-        if tag in ASIDES:
+        if tag in ASIDES and tag != "form" or tag == "header" and not self._inside():
             return True
-        inside = any(e[0] in CONTAINERS for e in self.open)
-        if tag == "header":
-            return not inside
-        if tag in ("html", "body") or tag in CONTAINERS and not inside:
-            words = ()
-        else:
-            words = _NAME.findall(" ".join(
-                v for k, v in attrs if k in ("class", "id", "role") and v).lower())
-        for k, v in attrs:
-            if k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v \
-                    and "display:none" in v.replace(" ", "").lower():
-                return True
-        return any(w in ASIDE_NAMES for w in words)
+        return any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v
+                   and "display:none" in v.replace(" ", "").lower() for k, v in attrs)
+
+    def _named(self, tag, attrs):
+        """Whether class, id or role name an aside; ids of headings and of an article's sections
+        are made of their titles."""
+        inside = self._inside()
+        if tag in ("html", "body", "header") or tag in CONTAINERS and not inside:
+            return False
+        keys = ("class", "role") if tag in HEADINGS or tag == "section" and inside \
+            else ("class", "id", "role")
+        return any(_names_aside(token) for k, v in attrs if k in keys and v
+                   for token in v.lower().split())
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -146,7 +173,11 @@ class Lines(HTMLParser):
                 if e[1] in self.lists:
                     self.lists[e[1]][2] += 1
                     break
-        self.open.append((tag, self.count, self._aside(tag, attrs), tag in UNSEEN))
+        aside = self._aside(tag, attrs)
+        named = not aside and self._named(tag, attrs)
+        if named or not aside and tag == "form":
+            self.named[self.count] = named
+        self.open.append((tag, self.count, aside, tag in UNSEEN))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -193,6 +224,39 @@ def _marked(lines) -> np.ndarray:
         low, high = new
 
 
+def _wrappers(parser, lines) -> set[int]:
+    """Forms and named elements that wrap the article, and so are no asides.
+
+    These hold the page's main element, or most of its text and its first article (h1 if
+    there is none); of forms without a name, most of the text will do. On a page without main
+    and article, where no prose would be left, all that hold most of the text are taken. If
+    nothing would be left, all are.
+    """
+    named = parser.named
+    lines = [line for line in lines if not line[3]]
+    held: dict[int, int] = {}
+    first: dict[str, tuple] = {}
+    for text, _, path, _, _ in lines:
+        for i, e in enumerate(path):
+            if e in named:
+                held[e] = held.get(e, 0) + len(text)
+            if parser.kinds[e] in ("main", "article", "h1"):
+                first.setdefault(parser.kinds[e], path[:i])
+    anchor = next((k for k in ("main", "article", "h1") if k in first), None)
+    around = first.get(anchor, ())
+    most = {e for e, n in held.items() if n >= MOST * sum(len(line[0]) for line in lines)}
+    out = {e for e in held if e in around and (anchor == "main" or e in most)
+           or e in most and not named[e]}
+
+    def left():
+        return [line for line in lines if not any(e in named and e not in out for e in line[2])]
+
+    if anchor not in CONTAINERS and not any(
+            len(text) >= PROSE * max(tags, 1) and not links for text, tags, _, _, links in left()):
+        out |= most
+    return out if left() else set(named)
+
+
 def extract(html: str) -> str:
     parser = Lines()
     for at in range(0, len(html), FEED):
@@ -202,6 +266,10 @@ def extract(html: str) -> str:
              if items >= 3 and links >= MENU_LINKS * text}
     lines = [(text, tags, path, aside or bool(menus.intersection(path)), links)
              for text, tags, path, aside, links in parser.lines]
+    asides = set(parser.named) - _wrappers(parser, lines) if parser.named else set()
+    if asides:
+        lines = [(text, tags, path, aside or not asides.isdisjoint(path), links)
+                 for text, tags, path, aside, links in lines]
     shown = [i for i, line in enumerate(lines) if not line[3]]
     if not shown:
         return ""

@@ -51,6 +51,34 @@ def test_no_article_element():
     assert H.extract(flat).split("\n") == ["Head", LONG.strip(), "Tiny", LONG.strip(), "End."]
 
 
+def test_wrappers_are_no_asides():
+    long = LONG.strip()
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>"
+    junk = f"<div class='sidebar-left'><p>{LONG}</p></div><div id=comment-list><p>{LONG * 2}</p></div>"
+    for wrapper in ("div class='has-sidebar'", "div class='content no-sidebar'", "div class='with-comments'",
+                    "form id=aspnetForm", "form", "div class=widget", "div class=right-sidebar"):
+        for inner in (body, f"<article>{body}</article>"):
+            page = f"<body><{wrapper}>{inner}{junk}</{wrapper.split()[0]}><div>End</div></body>"
+            got = H.extract(page).split("\n")
+            assert got[:3] == ["Title", long, long] and len(got) <= 4, (wrapper, got)
+    page = f"<div class='search'><main>{body}</main></div><p>{LONG}</p>"
+    assert H.extract(page).split("\n") == ["Title", long, long]
+    # comments stay asides however long, also where each is an article
+    page = f"<main>{body}</main><div class=comments>" + f"<article><p>{LONG}</p></article>" * 9 + "</div>"
+    assert H.extract(page).split("\n") == ["Title", long, long]
+    page = f"<div>{body}</div><div class=comments>" + f"<p>{LONG}</p>" * 30 + "</div>"
+    assert H.extract(page).split("\n") == ["Title", long, long]
+    assert H.extract(f"<div class=comments><p>{LONG}</p></div>") == long
+
+
+def test_names_inside_the_article():
+    long = LONG.strip()
+    page = f"""<article><div class='entry-header'><h1>Title</h1></div><p>{LONG}</p>
+    <section id='discussion'><h2 id='search'>Search</h2><p>{LONG}</p></section>
+    <p class='notice-period'>{LONG}</p><div class='ad-300x250'>Buy</div><p class=comment2>No.</p></article>"""
+    assert H.extract(page).split("\n") == ["Title", long, "Search", long, long]
+
+
 def test_malformed_and_empty():
     assert H.extract("") == "" and H.extract("   ") == "" and H.extract("<p></p><br>") == ""
     assert H.extract("just text") == "just text"
