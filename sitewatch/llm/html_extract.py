@@ -3,9 +3,11 @@
 The standard library's parser is fed piece by piece. Its events make lines (the text
 of one block element each) with their characters, tags and link characters. The
 logarithm of the lines' text-to-tag ratio is smoothed by a Gaussian and split in two
-clusters; the high cluster marks where the content is. The content region is the innermost element
-that holds most of the marked text (an article or main element if one does), and its
-lines are returned, but for menus, headers, footers, sidebars, notices, adverts,
+clusters; the high cluster, and any line of prose, marks where the content is. The content
+region is the page's main elements if they hold half of the marked text, else its articles
+if they do, else the innermost division that holds all marked lines and the title (the
+first h1, or h2). A main element's or article's part that holds all its marked lines
+may be narrower: an article inside. The region's lines are returned, but for menus, headers, footers, sidebars, notices, adverts,
 forms, comments and anything not shown. Where no element but the body holds the
 region, lines before the first and after the last marked one are left out if they are
 mostly links.
@@ -42,6 +44,8 @@ BLOCKS = frozenset(
 UNSEEN = frozenset("head script style noscript template title svg math iframe object select option "
                    "button textarea canvas audio video datalist".split())
 ASIDES = frozenset("nav footer aside form menu dialog search".split())
+# Elements that can be a page's content; lists, tables, quotations and code are parts of it.
+REGIONS = frozenset("article body center div fieldset form html main section td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class, id and role values that name what is not the article.
 ASIDE_NAMES = frozenset(
@@ -61,7 +65,7 @@ CONTAINERS = frozenset(("article", "main"))
 
 FEED = 1 << 16        # characters given to the parser at once
 SIGMA = 1.0           # of the Gaussian, in lines
-REGION_SHARE = 0.5    # of the marked text that the region's element must hold
+REGION_SHARE = 0.5    # of the marked text that main elements, or articles, must hold
 MENU_LINKS = 0.8      # a list with this share of its text in links is a menu
 MOST = 0.5            # of the page's text that a wrapper must hold to be no aside
 PROSE = 20            # characters per tag from which a line counts as prose
@@ -206,7 +210,8 @@ class Lines(HTMLParser):
 
 
 def _marked(lines) -> np.ndarray:
-    """Lines whose smoothed text-to-tag ratio lies in the higher of two clusters."""
+    """Lines whose smoothed text-to-tag ratio lies in the higher of two clusters, or is prose's:
+    one very long line must not put ordinary paragraphs into the lower one."""
     ratio = np.log1p([0.0 if aside else len(text) / max(tags, 1)
                       for text, tags, _, aside, _ in lines])
     reach = np.arange(-3, 4)
@@ -217,11 +222,12 @@ def _marked(lines) -> np.ndarray:
         cut = (low + high) / 2
         above = smooth >= cut
         if above.all() or not above.any():
-            return above
+            break
         new = smooth[~above].mean(), smooth[above].mean()
         if np.allclose(new, (low, high)):
-            return above
+            break
         low, high = new
+    return above | (smooth >= np.log1p(PROSE))
 
 
 def _wrappers(parser, lines) -> set[int]:
@@ -257,6 +263,33 @@ def _wrappers(parser, lines) -> set[int]:
     return out if left() else set(named)
 
 
+def _common(kinds, paths, allowed) -> int:
+    """The innermost element of a kind in ``allowed`` that is on all ``paths``, or 0."""
+    shared = set(paths[0]).intersection(*paths[1:])
+    return max((e for e in shared if kinds[e] in allowed), default=0)
+
+
+def _regions(kinds, lines, chosen, shown) -> set[int]:
+    """The elements whose lines are the content; none if only the body holds it."""
+    total = sum(len(lines[i][0]) for i in chosen)
+    for wanted in (("main",), CONTAINERS):
+        inside: dict[int, list] = {}   # outermost element of the kind -> its marked lines
+        for i in chosen:
+            outer = next((e for e in lines[i][2] if kinds[e] in wanted), None)
+            if outer:
+                inside.setdefault(outer, []).append(i)
+        if sum(len(lines[i][0]) for part in inside.values() for i in part) >= REGION_SHARE * total \
+                and inside:
+            return {_common(kinds, [lines[i][2] for i in part], CONTAINERS)
+                    for part in inside.values()}
+    for heading in ("h1", "h2"):
+        title = [i for i in shown if not lines[i][4] and any(kinds[e] == heading for e in lines[i][2])]
+        if title:
+            break
+    region = _common(kinds, [lines[i][2] for i in chosen + title[:1]], REGIONS)
+    return {region} if region and kinds[region] not in ("html", "body") else set()
+
+
 def extract(html: str) -> str:
     parser = Lines()
     for at in range(0, len(html), FEED):
@@ -275,18 +308,11 @@ def extract(html: str) -> str:
         return ""
     marked = _marked(lines)
     chosen = [i for i in shown if marked[i]] or shown
-    held: dict[int, int] = {}
-    for i in chosen:
-        for e in lines[i][2]:
-            held[e] = held.get(e, 0) + len(lines[i][0])
-    total = sum(len(lines[i][0]) for i in chosen)
-    enough = [e for e, n in held.items() if n >= REGION_SHARE * total
-              and parser.kinds[e] in BLOCKS and parser.kinds[e] not in HEADINGS | {"p", "li"}]
-    best = [e for e in enough if parser.kinds[e] in CONTAINERS]
-    # elements are numbered in page order: the last that holds enough is the innermost
-    region = max(best or enough, default=0)
-    if region and parser.kinds[region] not in ("html", "body"):
-        kept = [i for i in shown if region in lines[i][2]]
+    # a short line of links beside the content is marked by its neighbours only
+    chosen = [i for i in chosen if not lines[i][4] or len(lines[i][0]) >= PROSE * lines[i][1]] or chosen
+    regions = _regions(parser.kinds, lines, chosen, shown)
+    if regions:
+        kept = [i for i in shown if not regions.isdisjoint(lines[i][2])]
     else:
         first, last = chosen[0], chosen[-1]
         kept = [i for i in shown if first <= i <= last or not lines[i][4]]

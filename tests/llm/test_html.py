@@ -79,6 +79,36 @@ def test_names_inside_the_article():
     assert H.extract(page).split("\n") == ["Title", long, "Search", long, long]
 
 
+def test_whole_article_in_parts():
+    long, nav = LONG.strip(), "<ul><li><a href=1>Home</a><li><a href=2>News</a><li><a href=3>Old</a></ul>"
+    three, two = f"<p>{LONG}</p>" * 3, f"<p>{LONG}</p>" * 2
+    for parts in (f"<section>{three}</section><section>{two}</section>",
+                  f"<div><section>{three}</section></div><div><section>{two}</section></div>",
+                  f"<blockquote>{three}</blockquote>{two}",
+                  f"<table><tr><td>{three}<td>{two}</table>"):
+        page = f"<body>{nav}<div id=content><h1>Title</h1>{parts}</div><div><a href=4>Next</a></div></body>"
+        assert H.extract(page).split("\n") == ["Title"] + [long] * 5, parts
+        page = f"<body>{nav}<div><div id=content><h1>Title</h1>{parts}</div><p><a href=4>Next</a></p></div></body>"
+        assert H.extract(page).split("\n") == ["Title"] + [long] * 5, parts
+    both = f"<main><article>{three}</article><article>{two}</article></main>"
+    for page in (both, both[6:-7], f"<div>{both}</div><section><article>{two}</article></section>"):
+        assert H.extract(f"<body>{nav}{page}</body>").split("\n") == [long] * 5
+    inner = f"<main><p><a href=1>Up</a></p><article>{three}</article></main>"
+    assert H.extract(inner).split("\n") == [long] * 3
+
+
+def test_long_list_or_code_is_not_all():
+    said = "Mix all of it well and let it rest for an hour or so, then bake it."
+    items = "".join(f"<li>{said} Step {i}.</li>" for i in range(40))
+    code = "\n".join(f"value_{i} = compute(value_{i - 1}, {i})" for i in range(300))
+    for block, n in ((f"<ol>{items}</ol>", 40), (f"<div class=highlight><pre>{code}</pre></div>", 1)):
+        page = f"<body><div id=content><h1>Title</h1><p>{said}</p>{block}<p>{said}</p></div><div><a href=4>Next</a></div>"
+        got = H.extract(page).split("\n")
+        assert got[:2] == ["Title", said] and got[-1] == said and len(got) == n + 3
+        got = H.extract(page.replace("<h1>Title</h1>", "")).split("\n")
+        assert got[0] == got[-1] == said and len(got) == n + 2
+
+
 def test_malformed_and_empty():
     assert H.extract("") == "" and H.extract("   ") == "" and H.extract("<p></p><br>") == ""
     assert H.extract("just text") == "just text"
