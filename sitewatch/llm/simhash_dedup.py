@@ -131,7 +131,9 @@ def _lists(n_keys: int, max_bits: int, hot):
                 else:
                     held = np.concatenate((held, first))
             if len(starts):  # the open list has ended; all but the last here are whole
-                if len(held) > 1 and not hot_now:
+                if hot and not hot_now and len(held) > hot:
+                    yield emit(held, held, True)
+                elif len(held) > 1 and not hot_now:
                     yield emit(*_list_links(held, max_bits), False)
                 size = ends - starts
                 a, b = [], []

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from .helpers import EDGES, clashing
 
@@ -105,6 +106,29 @@ def test_links_keep_every_component(spark):
         assert _partition(pairs, list(expect)) == expect, (hot, block)
 
 
+def test_list_over_two_batches_that_ends_in_the_second(monkeypatch):
+    """A list is hot by its whole length, wherever the batches cut it."""
+    compared = []
+    real = S._list_links
+    monkeypatch.setattr(S, "_list_links", lambda fps, bits: compared.append(len(fps)) or real(fps, bits))
+
+    def batch(keys, fps):
+        return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (keys, fps)],
+                                          names=["key", "fp"])
+
+    def run(*batches):
+        out = [r for b in S._lists(1, 4, 2048)(iter(batches)) for r in b.to_pylist()]
+        return sorted(r["a"] for r in out if r["hot"]), [r for r in out if not r["hot"]]
+
+    fps = list(range(11_000))
+    hot, links = run(batch([1] * 2000, fps[:2000]), batch([1] * 9000 + [2, 2], fps[2000:] + [1, 3]))
+    assert hot == fps and max(compared) <= 2048
+    assert [(r["a"], r["b"]) for r in links] == [(3, 1)]
+    compared.clear()
+    hot, _ = run(batch([1] * 1000, fps[:1000]), batch([1] * 1048 + [2], fps[1000:2048] + [1]))
+    assert hot == [] and compared == [2048]
+
+
 def test_other_distances(spark):
     fps = _clusters(seed=9, far=2)
     array = np.array(fps, dtype=np.uint64)
