@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sitewatch.llm import (q_dedup, q_html, q_mixing, q_models, q_rules, q_search, q_secrets,
-                            q_tokens)
+from sitewatch.llm import (q_audit, q_dedup, q_html, q_mixing, q_models, q_rules, q_search,
+                            q_secrets, q_tokens)
 
-_MODULES = (q_rules, q_secrets, q_models, q_html, q_dedup, q_search, q_tokens, q_mixing)
+_MODULES = (q_rules, q_secrets, q_models, q_html, q_dedup, q_search, q_tokens, q_mixing, q_audit)
 
 
 def queries() -> dict:
