@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatch import schemas as S
-from sitewatch.functions.numeric import (average, finished_average, merged_aggregates,
-                                         part_aggregates, with_units)
+from sitewatch.functions.numeric import average, binned_parts, finished, merged_parts
 
 
 def _labelled(df: DataFrame, key: str, sensors, code: Column,
@@ -49,8 +48,7 @@ def rollup(averages: DataFrame, from_tier, key: str = "site_id",
     window being taken on ``end_time`` (so an hour ending 00:00 belongs to the
     next day, as in the reference); ``end_stamped=True`` moves each row 1 us
     back, into the window it covers. Optional SRC-3 filters: one site and an
-    inclusive ``end_time`` range. The sums are exact in any order, so this is an
-    ordinary partial and final aggregate.
+    inclusive ``end_time`` range.
     ``label_offset_hours`` shifts only the written label (reference: +8 h).
     """
     src, dst = S.tier(from_tier), S.next_tier(from_tier)
@@ -98,19 +96,17 @@ def tier_table(reports: DataFrame, tiers=(1, 2, 3, 4, 5), ts: str = "ts",
     finest = chosen[0]
     if any(t.minutes % finest.minutes for t in chosen):
         raise ValueError("every tier must be a multiple of the finest one")
-    parts = with_units(reports, sensors).groupBy(
-        F.col(key), F.window(F.col(ts), finest.duration).alias("w")).agg(
-        *[a for s in sensors for a in part_aggregates(s)])
+    parts = binned_parts(reports, [F.col(key), F.window(F.col(ts), finest.duration).alias("w")],
+                         sensors)
     each = F.explode(F.array(*[
         F.struct(F.lit(t.code).alias("type"), F.lit(t.minutes * 60).alias("secs"))
         for t in chosen])).alias("_tier")
-    spread = parts.select("*", each).withColumn("_end", F.expr(
-        "timestamp_seconds((floor(unix_seconds(w.start) / _tier.secs) + 1) * _tier.secs)"))
-    out = spread.groupBy(F.col(key), F.col("_tier.type").alias("type"),
-                         F.col("_end").alias("end_time")).agg(
-        *[a for s in sensors for a in merged_aggregates(s)])
-    return out.select(key, "end_time", "type",
-                      *[finished_average(s).alias(f"avg_{s}") for s in sensors])
+    spread = parts.select("*", each).withColumn("type", F.col("_tier.type")).withColumn(
+        "end_time", F.expr("timestamp_seconds((floor(unix_seconds(w.start) / _tier.secs) + 1)"
+                           " * _tier.secs)"))
+    keys = [key, "end_time", "type"]
+    out = finished(merged_parts(spread, keys, sensors), keys, sensors)
+    return out.select(*keys, *[F.col(s).alias(f"avg_{s}") for s in sensors])
 
 
 def as_ntz(c) -> Column:

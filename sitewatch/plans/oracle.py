@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
-from sitewatch.functions.numeric import SCALE
 
 REPORTS = """reports AS (
   SELECT event_id AS report_id,
@@ -76,12 +75,17 @@ def bucket_end(ts: str, minutes: int) -> str:
             f" + INTERVAL '{minutes} minutes'")
 
 
+# Readings and their averages are whole numbers of 2**-FINE (checked), far below 2**127.
+FINE = 80
+
+
 def exact_avg(col: str) -> str:
-    """The sum of whole 10**-SCALE units (exact), one rounding to double, one
-    division by the unit and one by the count, as on the Spark side."""
-    unit = f"CAST(1e{SCALE} AS DOUBLE)"
-    return (f"CAST(SUM(CAST(round_even({col} * {unit}, 0) AS DECIMAL(38,0))) AS DOUBLE)"
-            f" / {unit} / COUNT({col})")
+    """The exact sum as a 128-bit number of 2**-FINE, correctly rounded to double (by way
+    of its text), divided by the count."""
+    units = f"{col} * pow(2, {FINE})"
+    return (f"CAST(CAST(SUM(CASE WHEN {units} <> floor({units}) THEN error('finer than the unit') "
+            f"ELSE CAST({units} AS HUGEINT) END) AS VARCHAR) AS DOUBLE)"
+            f" / pow(2, {FINE}) / COUNT({col})")
 
 
 def tier_cte(name: str, code: int, source: str = "reports") -> str:

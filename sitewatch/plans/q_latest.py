@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitewatch import fixtures as FX
 from sitewatch import schemas as S
 from sitewatch.operators.latest import current_value, latest_per_key
-from sitewatch.functions.numeric import finished_average, part_aggregates, with_units
+from sitewatch.functions.numeric import binned_parts, finished
 from sitewatch.operators.match import ARRIVAL
 from sitewatch.operators.upsert import pick_updates, purge
 from sitewatch.operators.windows import as_ntz, tier_table
@@ -68,14 +68,15 @@ def q_avg_upsert(spark, sf_dir):
     for sensor in S.SENSORS:
         rep = rep.withColumn(f"old_{sensor}", F.when(~late, F.col(sensor)))
     names = [*S.SENSORS, *[f"old_{s}" for s in S.SENSORS]]
-    sums = with_units(rep, names).groupBy(
-        "site_id", F.window("ts", _HOUR.duration).end.alias("end_time"),
-        F.lit(_HOUR.code).alias("type")).agg(
-        *[a for n in names for a in part_aggregates(n)],
-        F.bool_or(late).alias("_touched"), F.bool_or(~late).alias("_was"))
+    hours = [F.col("site_id"), F.window("ts", _HOUR.duration).end.alias("end_time"),
+             F.lit(_HOUR.code).alias("type")]
+    parts = binned_parts(rep, hours, names, [F.bool_or(late).alias("_touched"),
+                                             F.bool_or(~late).alias("_was")])
+    sums = finished(parts, S.AVG_KEYS, names, [F.bool_or("_touched").alias("_touched"),
+                                               F.bool_or("_was").alias("_was")])
 
     def version(prefix, flag, when):
-        averages = [finished_average(f"{prefix}{s}").alias(f"avg_{s}") for s in S.SENSORS]
+        averages = [F.col(f"{prefix}{s}").alias(f"avg_{s}") for s in S.SENSORS]
         return F.when(when, F.struct(*averages, F.lit(flag).alias("_is_new")))
 
     both = sums.select(*S.AVG_KEYS, F.explode(F.array_compact(F.array(

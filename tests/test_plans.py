@@ -52,8 +52,9 @@ def test_matcher_broadcasts_config_and_never_shuffles_reports(spark):
 
 
 def test_averages_aggregate_partially_before_shuffle(spark):
+    """Sums by group and bin first; what is shuffled again is one row per group and bins."""
     plan = _plan(spark, "site_avg_minute")
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_sum" in plan
 
 
@@ -84,6 +85,8 @@ def test_asof_join_reads_each_side_once(spark):
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n.startswith(("rollup", "site_avg"))])
 def test_averages_are_plain_partial_aggregates(spark, name):
+    """The readings meet a sum alone; only sums by bin are ever collected in a list."""
     plan = _plan(spark, name)
-    assert "collect_list" not in plan and "array_sort" not in plan
-    assert "partial_sum" in plan and "SortAggregate" not in plan
+    assert "partial_sum" in plan and "SortAggregate" not in plan and "array_sort" not in plan
+    lists = [line for line in plan.splitlines() if "partial_collect_list" in line]
+    assert lists and all("_s_" in line or "_n_" in line for line in lists)
