@@ -17,6 +17,22 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# State of streaming queries: on disk beside the executor, checkpoints of changes only.
+STATEFUL_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def use_state_store(spark: SparkSession) -> SparkSession:
+    """Let queries started from now on keep their state in RocksDB. A query that was
+    checkpointed with another store keeps that one."""
+    for key, value in STATEFUL_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
 
 def configure_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators assume (idempotent)."""
