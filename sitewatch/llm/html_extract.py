@@ -1,25 +1,35 @@
 """Main text of HTML pages: text-to-tag ratio per line, smoothed and clustered.
 
-The standard library's parser is fed piece by piece. Its events make lines (the text
-of one block element each) with their characters, tags and link characters. The
-logarithm of the lines' text-to-tag ratio is smoothed by a Gaussian and split in two
-clusters; the high cluster, and any line of prose, marks where the content is. The content
-region is the page's main elements if they hold half of the marked text, else its articles
-if they do, else the innermost division that holds all marked lines and the title (the
-first h1, or h2). A main element's or article's part that holds all its marked lines
-may be narrower: an article inside. The region's lines are returned, but for menus, headers, footers, sidebars, notices, adverts,
-forms, comments and anything not shown. Where no element but the body holds the
-region, lines before the first and after the last marked one are left out if they are
-mostly links.
+The standard library's parser is fed piece by piece. Its events make a tree of elements
+and lines (the text of one block element each) with their characters, tags and link
+characters. The logarithm of the lines' text-to-tag ratio is smoothed by a Gaussian and
+split in two clusters; the high cluster, and any line of prose, marks where the content
+is. Where most of the marked text is in paragraphs, headings, lists, cells or quotations,
+other marked text (a footer's line, an advert in a division of its own) does not count.
+The region is the element whose text agrees best with what is left and the title (the
+first h1, or h2): the share of its text that is marked weighs twice as much as the share
+of the marked text that it holds. The names main and article decide between near equals
+only: such an element is taken if it is worse by at most TIE. The region's lines are returned, but for
+menus, headers, footers, sidebars, notices, adverts, forms, comments and anything not
+shown. Lists of links are menus outside the region, and in a region that is the whole body
+before its first and after its last marked line; there, other lines that are mostly links
+go too.
 
 An aside is told by its element, or by a class, id or role that is an aside's name as a
-whole. A form or named element that wraps the article is none: it holds the main element,
-or most of the page's text and its first article or h1 (a form: most of the text).
+whole; inside the region, names that an article's own parts may have (search, notice) make
+an aside only of what is not prose by its own ratio. A form or named element that wraps the article is
+none: it holds the main element, or most of the page's text and its first article or h1 (a
+form: most of the text).
+
+Every step is linear in the page's size: what an element inherits is kept on the stack of
+open elements, sums over elements are handed from child to parent once.
 
 Defined cases: NULL or empty html, or a page without a line, gives the empty text;
-where all text is in forms or named elements, it is the text; unclosed and stray tags are mended as browsers do for blocks and lists; character
-references are decoded; white space inside a line becomes one space; lines are joined
-by one newline; repeated rows are all returned; extra columns are left out.
+where all text is in forms or named elements, it is the text; unclosed and stray tags are
+mended as browsers do for blocks and lists; very long and very deep pages are read whole;
+character references are decoded; white space inside a line becomes one space; lines are
+joined by one newline; of equally good regions the innermost is taken; repeated rows are
+all returned; an empty table gives no rows; extra columns of any name are left out.
 """
 
 from __future__ import annotations
@@ -47,6 +57,8 @@ ASIDES = frozenset("nav footer aside form menu dialog search".split())
 # Elements that can be a page's content; lists, tables, quotations and code are parts of it.
 REGIONS = frozenset("article body center div fieldset form html main section td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements that hold running text, as against divisions with text of their own.
+TEXTS = HEADINGS | frozenset("p li dt dd blockquote pre td th figcaption".split())
 # Words of class, id and role values that name what is not the article.
 ASIDE_NAMES = frozenset(
     "nav navbar navigation menu menubar topbar breadcrumb breadcrumbs pagination pager sidebar aside "
@@ -55,6 +67,10 @@ ASIDE_NAMES = frozenset(
     "newsletter subscribe subscription signup login comment comments disqus respond replies reply "
     "discussion share sharing social related recommended widget widgets toolbar search contentinfo "
     "complementary skip".split())
+# Of these, names that parts of an article's own text may have.
+WEAK_NAMES = frozenset(
+    "menubar topbar masthead banner header notice notices alert login discussion social widget "
+    "widgets toolbar search contentinfo complementary skip".split())
 # Parts that may stand beside them in a class or id, as in comment-list or site-footer.
 AFFIXES = frozenset(
     "site main primary secondary global top bottom left right side inner outer mobile desktop sticky "
@@ -65,22 +81,56 @@ CONTAINERS = frozenset(("article", "main"))
 
 FEED = 1 << 16        # characters given to the parser at once
 SIGMA = 1.0           # of the Gaussian, in lines
-REGION_SHARE = 0.5    # of the marked text that main elements, or articles, must hold
 MENU_LINKS = 0.8      # a list with this share of its text in links is a menu
+MENU_ITEMS = 3
 MOST = 0.5            # of the page's text that a wrapper must hold to be no aside
 PROSE = 20            # characters per tag from which a line counts as prose
+TIE = 0.1             # of a region's score, within which an element's name decides
 _PART = re.compile(r"[a-z0-9]+")
 
+FORM, WEAK, STRONG = 0, 1, 2
+
 
-def _names_aside(token: str) -> bool:
-    """Whether a whole class, id or role is made of aside names, with or without affixes."""
+def _names_aside(token: str) -> int:
+    """STRONG or WEAK if a whole class, id or role is made of aside names, with or without
+    affixes; else 0."""
     parts = [p.rstrip("0123456789") for p in _PART.findall(token) if not p[0].isdigit()]
-    return any(p in ASIDE_NAMES for p in parts) and all(
-        p in ASIDE_NAMES or p in AFFIXES for p in parts)
+    names = [p for p in parts if p in ASIDE_NAMES]
+    if not names or any(p not in ASIDE_NAMES and p not in AFFIXES for p in parts):
+        return 0
+    return WEAK if all(p in WEAK_NAMES for p in names) else STRONG
+
+
+class Open:
+    """An open element: its tag and number, and what its descendants inherit."""
+
+    __slots__ = ("tag", "id", "aside", "unseen", "anchor", "inside", "list")
+
+    def __init__(self, tag, number, above, aside):
+        self.tag, self.id = tag, number
+        self.aside = aside or above is not None and above.aside
+        self.unseen = tag in UNSEEN or above is not None and above.unseen
+        self.anchor = tag == "a" or above is not None and above.anchor
+        self.inside = tag in CONTAINERS or above is not None and above.inside
+        self.list = number if tag in ("ul", "ol") else above.list if above is not None else 0
 
 
-class Lines(HTMLParser):
-    """Collects lines: (text, tags, path of open elements, aside, mostly links).
+class Line:
+    """The text of one block: its tags, the element it ends in, whether it is an aside's."""
+
+    __slots__ = ("text", "size", "tags", "element", "aside", "links")
+
+    def __init__(self, text, tags, element, aside, links):
+        self.text, self.size, self.tags, self.element = text, len(text), tags, element
+        self.aside, self.links = aside, min(links, len(text))
+
+    @property
+    def mostly_links(self):
+        return 2 * self.links >= self.size
+
+
+class Page(HTMLParser):
+    """Collects lines and the tree of elements (parents have smaller numbers; 0 is none).
 
     Forms and elements with an aside's name are only noted, in ``named``: whether they
     wrap the article is known at the end.
@@ -88,12 +138,12 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple] = []
-        self.open: list[tuple] = []        # (tag, element id, aside, unseen)
-        self.count = 0
-        self.kinds: dict[int, str] = {}
-        self.named: dict[int, bool] = {}   # form or named element -> whether it has a name
-        self.lists: dict[int, list] = {}   # list element -> [text, link text, items]
+        self.lines: list[Line] = []
+        self.open: list[Open] = []
+        self.places: dict[str, list[int]] = {}  # tag -> its places among the open elements
+        self.parent, self.kinds = [0], [""]
+        self.named: dict[int, int] = {}         # form or named element -> FORM, WEAK, STRONG
+        self.items: dict[int, int] = {}         # list element -> its items
         self.parts: list[str] = []
         self.tags = 0
         self.links = 0
@@ -105,36 +155,36 @@ class Lines(HTMLParser):
         except AssertionError:
             return self.parse_bogus_comment(i)
 
+    @property
+    def top(self):
+        return self.open[-1] if self.open else None
+
     def flush_line(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(e[1] for e in self.open)
-            aside = any(e[2] for e in self.open)
-            mostly_links = 2 * self.links >= len(text)
-            self.lines.append((text, self.tags, path, aside, mostly_links))
-            for e in self.open:
-                if e[1] in self.lists:
-                    self.lists[e[1]][0] += len(text)
-                    self.lists[e[1]][1] += min(self.links, len(text))
+            top = self.top
+            self.lines.append(Line(text, self.tags, top.id if top else 0,
+                                   top is not None and top.aside, self.links))
         self.parts, self.tags, self.links = [], 0, 0
 
     def _close_to(self, index):
+        for element in reversed(self.open[index:]):
+            self.places[element.tag].pop()
         del self.open[index:]
 
-    def _close_open(self, tags, until):
-        """Close the innermost open element of ``tags``, unless one of ``until`` comes first."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                self._close_to(i)
-                return
-            if self.open[i][0] in until:
-                return
+    def _innermost(self, tags):
+        """The highest place of an open element of ``tags``, or -1."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
 
-    def _inside(self):
-        return any(self.kinds[e[1]] in CONTAINERS for e in self.open)
+    def _close_open(self, tags, until):
+        """Close the innermost open element of ``tags``, unless one of ``until`` is further in."""
+        at = self._innermost(tags)
+        if at > self._innermost(until):
+            self._close_to(at)
 
     def _aside(self, tag, attrs):
-        if tag in ASIDES and tag != "form" or tag == "header" and not self._inside():
+        inside = self.top is not None and self.top.inside
+        if tag in ASIDES and tag != "form" or tag == "header" and not inside:
             return True
         return any(k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v
                    and "display:none" in v.replace(" ", "").lower() for k, v in attrs)
@@ -142,13 +192,13 @@ class Lines(HTMLParser):
     def _named(self, tag, attrs):
         """Whether class, id or role name an aside; ids of headings and of an article's sections
         are made of their titles."""
-        inside = self._inside()
+        inside = self.top is not None and self.top.inside
         if tag in ("html", "body", "header") or tag in CONTAINERS and not inside:
-            return False
+            return 0
         keys = ("class", "role") if tag in HEADINGS or tag == "section" and inside \
             else ("class", "id", "role")
-        return any(_names_aside(token) for k, v in attrs if k in keys and v
-                   for token in v.lower().split())
+        return max((_names_aside(token) for k, v in attrs if k in keys and v
+                    for token in v.lower().split()), default=0)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -168,20 +218,19 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        self.count += 1
-        self.kinds[self.count] = tag
+        above, number = self.top, len(self.kinds)
+        self.parent.append(above.id if above else 0)
+        self.kinds.append(tag)
         if tag in ("ul", "ol"):
-            self.lists[self.count] = [0, 0, 0]
-        elif tag == "li":
-            for e in reversed(self.open):
-                if e[1] in self.lists:
-                    self.lists[e[1]][2] += 1
-                    break
+            self.items[number] = 0
+        elif tag == "li" and above and above.list:
+            self.items[above.list] += 1
         aside = self._aside(tag, attrs)
-        named = not aside and self._named(tag, attrs)
+        named = 0 if aside else self._named(tag, attrs)
         if named or not aside and tag == "form":
-            self.named[self.count] = named
-        self.open.append((tag, self.count, aside, tag in UNSEEN))
+            self.named[number] = named
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(Open(tag, number, above, aside))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -192,28 +241,61 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush_line()
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close_to(i)
-                return
+        if self.places.get(tag):
+            self._close_to(self.places[tag][-1])
 
     def handle_data(self, data):
-        if any(e[3] for e in self.open):
+        top = self.top
+        if top is not None and top.unseen:
             return
         self.parts.append(data)
-        if any(e[0] == "a" for e in self.open):
+        if top is not None and top.anchor:
             self.links += len(data.strip())
 
     def finish(self):
         self.close()
         self.flush_line()
 
+    # -- the tree: sums handed up, marks handed down --
+
+    def sums(self, lines, amount) -> list[int]:
+        """Per element, the amounts of the lines in it."""
+        out = [0] * len(self.kinds)
+        for line in lines:
+            out[line.element] += amount(line)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def within(self, roots) -> list[bool]:
+        """Per element, whether it or one above it is among ``roots``."""
+        out = [False] * len(self.kinds)
+        for e in range(1, len(out)):
+            out[e] = e in roots or out[self.parent[e]]
+        return out
+
+    def path(self, e) -> list[int]:
+        """The element and those above it, outermost first."""
+        out = []
+        while e:
+            out.append(e)
+            e = self.parent[e]
+        return out[::-1]
+
+    def first_in(self, lines, kind):
+        """The path down to the first outermost element of a kind that holds a line, or None."""
+        inside = self.within({e for e, k in enumerate(self.kinds) if k == kind})
+        for line in lines:
+            if inside[line.element]:
+                path = self.path(line.element)
+                return path[:[self.kinds[e] for e in path].index(kind) + 1]
+        return None
+
 
 def _marked(lines) -> np.ndarray:
     """Lines whose smoothed text-to-tag ratio lies in the higher of two clusters, or is prose's:
     one very long line must not put ordinary paragraphs into the lower one."""
-    ratio = np.log1p([0.0 if aside else len(text) / max(tags, 1)
-                      for text, tags, _, aside, _ in lines])
+    ratio = np.log1p([0.0 if line.aside else line.size / max(line.tags, 1) for line in lines])
     reach = np.arange(-3, 4)
     kernel = np.exp(-(reach / SIGMA) ** 2 / 2)
     smooth = np.convolve(np.pad(ratio, 3, mode="edge"), kernel / kernel.sum(), mode="valid")
@@ -230,7 +312,7 @@ def _marked(lines) -> np.ndarray:
     return above | (smooth >= np.log1p(PROSE))
 
 
-def _wrappers(parser, lines) -> set[int]:
+def _wrappers(page: Page, lines) -> set[int]:
     """Forms and named elements that wrap the article, and so are no asides.
 
     These hold the page's main element, or most of its text and its first article (h1 if
@@ -238,85 +320,120 @@ def _wrappers(parser, lines) -> set[int]:
     and article, where no prose would be left, all that hold most of the text are taken. If
     nothing would be left, all are.
     """
-    named = parser.named
-    lines = [line for line in lines if not line[3]]
-    held: dict[int, int] = {}
-    first: dict[str, tuple] = {}
-    for text, _, path, _, _ in lines:
-        for i, e in enumerate(path):
-            if e in named:
-                held[e] = held.get(e, 0) + len(text)
-            if parser.kinds[e] in ("main", "article", "h1"):
-                first.setdefault(parser.kinds[e], path[:i])
-    anchor = next((k for k in ("main", "article", "h1") if k in first), None)
-    around = first.get(anchor, ())
-    most = {e for e, n in held.items() if n >= MOST * sum(len(line[0]) for line in lines)}
-    out = {e for e in held if e in around and (anchor == "main" or e in most)
-           or e in most and not named[e]}
+    named = page.named
+    lines = [line for line in lines if not line.aside]
+    held = page.sums(lines, lambda line: line.size)
+    around, anchor = [], None
+    for kind in ("main", "article", "h1"):
+        path = page.first_in(lines, kind)
+        if path:
+            around, anchor = path[:-1], kind
+            break
+    total = sum(line.size for line in lines)
+    most = {e for e in named if held[e] >= MOST * total}
+    out = {e for e in around if e in named and (anchor == "main" or e in most)}
+    out |= {e for e in most if named[e] == FORM}
 
     def left():
-        return [line for line in lines if not any(e in named and e not in out for e in line[2])]
+        gone = page.within(set(named) - out)
+        return [line for line in lines if not gone[line.element]]
 
     if anchor not in CONTAINERS and not any(
-            len(text) >= PROSE * max(tags, 1) and not links for text, tags, _, _, links in left()):
+            _is_prose(line) for line in left()):
         out |= most
     return out if left() else set(named)
 
 
-def _common(kinds, paths, allowed) -> int:
-    """The innermost element of a kind in ``allowed`` that is on all ``paths``, or 0."""
-    shared = set(paths[0]).intersection(*paths[1:])
-    return max((e for e in shared if kinds[e] in allowed), default=0)
-
-
-def _regions(kinds, lines, chosen, shown) -> set[int]:
-    """The elements whose lines are the content; none if only the body holds it."""
-    total = sum(len(lines[i][0]) for i in chosen)
-    for wanted in (("main",), CONTAINERS):
-        inside: dict[int, list] = {}   # outermost element of the kind -> its marked lines
-        for i in chosen:
-            outer = next((e for e in lines[i][2] if kinds[e] in wanted), None)
-            if outer:
-                inside.setdefault(outer, []).append(i)
-        if sum(len(lines[i][0]) for part in inside.values() for i in part) >= REGION_SHARE * total \
-                and inside:
-            return {_common(kinds, [lines[i][2] for i in part], CONTAINERS)
-                    for part in inside.values()}
+def _region(page: Page, lines, chosen) -> int:
+    """The element that agrees best with the lines ``chosen``; 0 for the whole page.
+
+    With the share p of its text that is chosen and the share r of the chosen text that it
+    holds, the score is 1.25 p r / (p / 4 + r).
+    """
+    text = page.sums(lines, lambda line: line.size)
+    marked = page.sums(chosen, lambda line: line.size)
+    total = sum(line.size for line in chosen)
+    best, named = (0.0, 0), (0.0, 0)
+    for e in range(1, len(page.kinds)):  # the last of equals is the innermost
+        if marked[e] and page.kinds[e] in REGIONS:
+            p, r = marked[e] / text[e], marked[e] / total
+            score = 1.25 * p * r / (p / 4 + r)
+            best = max(best, (score, e))
+            if page.kinds[e] in CONTAINERS:
+                named = max(named, (score, e))
+    region = named[1] if named[1] and named[0] >= best[0] - TIE else best[1]
+    return region if page.kinds[region] not in ("html", "body") else 0
+
+
+def _title(page: Page, lines) -> list[Line]:
+    """The first line of a heading of the first rank that is there."""
     for heading in ("h1", "h2"):
-        title = [i for i in shown if not lines[i][4] and any(kinds[e] == heading for e in lines[i][2])]
-        if title:
-            break
-    region = _common(kinds, [lines[i][2] for i in chosen + title[:1]], REGIONS)
-    return {region} if region and kinds[region] not in ("html", "body") else set()
+        inside = page.within({e for e, k in enumerate(page.kinds) if k == heading})
+        found = [line for line in lines if inside[line.element] and not line.mostly_links]
+        if found:
+            return found[:1]
+    return []
+
+
+def _is_prose(line) -> bool:
+    return line.size >= PROSE * max(line.tags, 1) and not line.mostly_links
+
+
+def _own_lists(lines, chosen, menu, gone) -> set[int]:
+    """Lines of link lists between the first and the last chosen line."""
+    places = {id(line): i for i, line in enumerate(lines)}
+    first, last = places[id(chosen[0])], places[id(chosen[-1])]
+    return {id(line) for line in lines[first:last] if menu[line.element]
+            and not gone[line.element]}
 
 
 def extract(html: str) -> str:
-    parser = Lines()
+    page = Page()
     for at in range(0, len(html), FEED):
-        parser.feed(html[at:at + FEED])
-    parser.finish()
-    menus = {e for e, (text, links, items) in parser.lists.items()
-             if items >= 3 and links >= MENU_LINKS * text}
-    lines = [(text, tags, path, aside or bool(menus.intersection(path)), links)
-             for text, tags, path, aside, links in parser.lines]
-    asides = set(parser.named) - _wrappers(parser, lines) if parser.named else set()
+        page.feed(html[at:at + FEED])
+    page.finish()
+    lines = page.lines
+    linked, held = (page.sums(lines, f) for f in (lambda x: x.links, lambda x: x.size))
+    menu = page.within({e for e, n in page.items.items()
+                        if n >= MENU_ITEMS and linked[e] >= MENU_LINKS * held[e]})
+    seen = [line for line in lines if not line.aside]
+    asides = set(page.named)
     if asides:
-        lines = [(text, tags, path, aside or not asides.isdisjoint(path), links)
-                 for text, tags, path, aside, links in lines]
-    shown = [i for i, line in enumerate(lines) if not line[3]]
+        asides -= _wrappers(page, [line for line in seen if not menu[line.element]])
+    gone = page.within(asides)
+    for line in lines:
+        line.aside = line.aside or menu[line.element] or gone[line.element]
+    shown = [line for line in lines if not line.aside]
     if not shown:
-        return ""
-    marked = _marked(lines)
-    chosen = [i for i in shown if marked[i]] or shown
+        shown = [line for line in seen if not gone[line.element]]
+        return "\n".join(line.text for line in shown)
+    marks = _marked(lines)
+    marked = [line for line, m in zip(lines, marks) if m]
+    chosen = [line for line in marked if not line.aside] or shown
     # a short line of links beside the content is marked by its neighbours only
-    chosen = [i for i in chosen if not lines[i][4] or len(lines[i][0]) >= PROSE * lines[i][1]] or chosen
-    regions = _regions(parser.kinds, lines, chosen, shown)
-    if regions:
-        kept = [i for i in shown if not regions.isdisjoint(lines[i][2])]
-    else:
-        first, last = chosen[0], chosen[-1]
-        kept = [i for i in shown if first <= i <= last or not lines[i][4]]
-    return "\n".join(lines[i][0] for i in kept)
+    chosen = [line for line in chosen
+              if not line.mostly_links or line.size >= PROSE * line.tags] or chosen
+    title = [line for line in _title(page, shown) if line not in chosen]
+    texts = page.within({e for e, k in enumerate(page.kinds) if k in TEXTS})
+    running = [line for line in title + chosen if texts[line.element]]
+    if 2 * sum(line.size for line in running) < sum(line.size for line in title + chosen):
+        running = title + chosen
+    region = _region(page, shown, running)
+    if not region:
+        places = {id(line): i for i, line in enumerate(shown)}
+        first, last = places[id(chosen[0])], places[id(chosen[-1])]
+        own = _own_lists(seen, chosen, menu, gone)
+        kept = {id(line) for i, line in enumerate(shown)
+                if first <= i <= last or not line.mostly_links} | own
+        return "\n".join(line.text for line in lines if id(line) in kept)
+    inside = page.within({region})
+    # an article's own parts: lists of links, and prose under a name that is no sure aside
+    prose = page.sums([line for line in lines if _is_prose(line)], lambda x: x.size)
+    kept_names = {e for e in asides if page.named[e] == WEAK and inside[e]
+                  and prose[e] >= MOST * held[e]}
+    gone = page.within(asides - kept_names)
+    return "\n".join(line.text for line in seen
+                     if inside[line.element] and not gone[line.element])
 
 
 def extract_udf():
