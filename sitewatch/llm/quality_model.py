@@ -1,16 +1,17 @@
 """Quality classifier: supervised subword embeddings, averaged per document.
 
-A document's features are hashed words, hashed character n-grams inside words and one
-word-pair pattern (a word equal to the one before it). Every feature has a learned
-vector; each of the three kinds is averaged over the whole text, the means are
-averaged and a softmax over the two labels follows. Trained by stochastic gradient
-descent in numpy on a bounded sample of labelled rows (SAMPLE_ROWS texts of at most
-SAMPLE_BYTES bytes); every document is then scored whole. As the softmax is linear in
-the average, each feature's vector is folded to one number before scoring.
-
-Defined cases: NULL or empty text scores the learned prior; without two labels in the
-sample every score is the share of label 1 (0.5 without any); repeated rows are all
-returned; extra columns are left out.
+A document's features are hashed words, hashed pairs of neighbouring words and hashed
+character n-grams inside words. Every feature has a learned vector; each of the three kinds
+is averaged over the whole text, the means are averaged and a softmax over the two labels
+follows. Trained by stochastic gradient descent in numpy on a bounded sample of labelled
+rows (SAMPLE_ROWS texts of at most SAMPLE_BYTES bytes); every document is then scored
+whole. As the softmax is linear in the average, each feature's vector is folded to one
+number before scoring.
+
+Defined cases: NULL or empty text scores the learned prior; very long texts are scored
+whole, in chunks; without two labels in the sample every score is the share of label 1 (0.5
+without any); repeated rows are all returned; an empty table gives no rows; extra columns
+of any name are left out.
 """
 
 from __future__ import annotations
@@ -32,9 +33,14 @@ EPOCHS = 4
 RATE = 0.6
 CUTOFF = 0.3
 HELD_OUT_OF = 5
+KINDS = 3
 CHUNK = 1 << 20  # bytes featurized at once, cut between words
 
+PAIRS = np.uint32(1 << BUCKET_BITS)  # pairs have buckets of their own
+ROWS = 2 << BUCKET_BITS
+
 _MULT = np.uint32(0x01000193)
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, dtype=np.uint64))
 
 
@@ -62,8 +68,8 @@ def _chunks(raw: bytes):
 
 
 def features(raw: bytes):
-    """Per chunk: word buckets, n-gram buckets, number of repeated neighbours."""
-    before = None
+    """Per chunk: buckets of words, of pairs of neighbours and of n-grams."""
+    before = np.empty(0, np.uint64)
     for text in _chunks(raw):
         b = np.frombuffer(text, dtype=np.uint8)
         space = b == 32
@@ -75,8 +81,10 @@ def features(raw: bytes):
         heads = np.concatenate(([0], np.cumsum(ends - starts)[:-1]))
         words = np.add.reduceat(terms, heads)
         words ^= words >> np.uint64(32)
-        repeats = int((words[1:] == words[:-1]).sum()) + int(before == words[0])
-        before = words[-1]
+        both = np.concatenate((before, words))
+        pairs = both[:-1] * _PAIR ^ both[1:]
+        pairs ^= pairs >> np.uint64(32)
+        before = words[-1:]
         grams = []
         h = b.astype(np.uint32)
         for n in range(2, max(GRAMS) + 1):
@@ -87,34 +95,30 @@ def features(raw: bytes):
             for j in range(1, n - 1):  # a space may only be the first or the last byte
                 inside &= ~space[j:len(b) - n + 1 + j]
             grams.append(_bucket(h[inside] + np.uint32(n)))
-        yield (_bucket(words.astype(np.uint32)),
-               np.concatenate(grams) if grams else np.empty(0, np.uint32), repeats)
+        yield (_bucket(words.astype(np.uint32)), _bucket(pairs.astype(np.uint32)) + PAIRS,
+               np.concatenate(grams) if grams else np.empty(0, np.uint32))
 
 
 def _counted(raw: bytes):
-    """(ids, weights) of a document's mean over feature kinds; the last id is the pattern."""
-    parts = list(features(raw))
-    words = np.concatenate([p[0] for p in parts] or [np.empty(0, np.uint32)])
-    grams = np.concatenate([p[1] for p in parts] or [np.empty(0, np.uint32)])
-    if not len(words):
+    """(ids, weights) of a document's mean over the kinds of features it has."""
+    kinds = [np.concatenate(k) for k in zip(*features(raw))]
+    kinds = [k for k in kinds if len(k)]
+    if not kinds:
         return np.empty(0, np.int64), np.empty(0)
-    ids = np.concatenate((words, grams, [1 << BUCKET_BITS])).astype(np.int64)
-    weights = np.concatenate((np.full(len(words), 1 / len(words)),
-                              np.full(len(grams), 1 / max(1, len(grams))),
-                              [sum(p[2] for p in parts) / len(words)])) / 3
-    ids, back = np.unique(ids, return_inverse=True)
+    weights = np.concatenate([np.full(len(k), 1 / len(k)) for k in kinds]) / KINDS
+    ids, back = np.unique(np.concatenate(kinds).astype(np.int64), return_inverse=True)
     return ids, np.bincount(back, weights)
 
 
 def fit(sample: list[tuple[int, str, int]], seed: int = 7):
-    """Folded weight per bucket (float32, the pattern last) and the bias."""
+    """Folded weight per bucket (float32) and the bias."""
     labels = np.array([y for _, _, y in sample], dtype=np.int64)
     if len(set(labels.tolist())) < 2:
         share = labels.mean() if len(labels) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return np.zeros((1 << BUCKET_BITS) + 1, np.float32), float(np.log(share / (1 - share)))
+        return np.zeros(ROWS, np.float32), float(np.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1, 1, ((1 << BUCKET_BITS) + 1, DIM)).astype(np.float32) / DIM
+    vectors = rng.uniform(-1, 1, (ROWS, DIM)).astype(np.float32) / DIM
     out = np.zeros((DIM, 2), dtype=np.float32)
     bias = np.log(np.bincount(labels, minlength=2) / len(labels)).astype(np.float32)
     steps, step = EPOCHS * len(sample), 0
@@ -139,20 +143,15 @@ def fit(sample: list[tuple[int, str, int]], seed: int = 7):
 
 
 def logit(raw: bytes, folded: np.ndarray, bias: float) -> float:
-    total = np.zeros(3)
-    n_words = n_grams = 0
-    for words, grams, repeats in features(raw):
-        n_words += len(words)
-        n_grams += len(grams)
-        total += (folded[words].sum(dtype=np.float64), folded[grams].sum(dtype=np.float64), repeats)
-    if not n_words:
-        return bias
-    return bias + (total[0] / n_words + total[1] / max(1, n_grams)
-                   + folded[-1] * total[2] / n_words) / 3
+    total, n = np.zeros(KINDS), np.zeros(KINDS)
+    for kinds in features(raw):
+        total += [folded[k].sum(dtype=np.float64) for k in kinds]
+        n += [len(k) for k in kinds]
+    return bias + float((total / np.maximum(1, n)).sum() / KINDS)
 
 
 def score_udf(spark, folded: np.ndarray, bias: float):
-    shared = spark.sparkContext.broadcast((folded, bias))  # 2**BUCKET_BITS + 1 floats
+    shared = spark.sparkContext.broadcast((folded, bias))  # ROWS floats
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:

@@ -46,19 +46,50 @@ def test_quality_inputs_are_the_text_alone(tables):
     assert a == b
 
 
+def plain_logit(text, folded, bias):
+    """The score by its definition: words, pairs of words and n-grams one at a time."""
+    def bucket(h):
+        return (h * 0x9E3779B1 % 2**32) >> (32 - Q.BUCKET_BITS)
+
+    words = []
+    for w in text.encode().split():
+        h = sum((b + 1) * pow(0x100000001B3, (i & 63) + 1, 2**64) for i, b in enumerate(w)) % 2**64
+        words.append(h ^ (h >> 32))
+    kinds = [[bucket(w % 2**32) for w in words], [], []]
+    for a, b in zip(words, words[1:]):
+        h = (a * 0x9E3779B97F4A7C15 % 2**64) ^ b
+        kinds[1].append(bucket((h ^ (h >> 32)) % 2**32) + (1 << Q.BUCKET_BITS))
+    spaced = b" " + b" ".join(text.encode().split()) + b" "
+    for n in Q.GRAMS:
+        for i in range(len(spaced) - n + 1):
+            gram = spaced[i:i + n]
+            if b" " not in gram[1:-1]:
+                h = 0
+                for byte in gram:
+                    h = (h * 0x01000193 + byte) % 2**32
+                kinds[2].append(bucket((h + n) % 2**32))
+    return bias + sum(np.mean([float(folded[i]) for i in k]) for k in kinds if k) / 3
+
+
+def test_score_equals_the_plain_form():
+    folded = np.random.default_rng(3).normal(size=Q.ROWS).astype(np.float32)
+    for text in ("", " \n", "one", "two words", "Ünï word word  x\n\ty " * 50 + "z" * 500 + " end",
+                 "a bb a bb \x0b\x0c tail"):
+        assert Q.logit(text.encode(), folded, 0.1) == pytest.approx(plain_logit(text, folded, 0.1)
+                                                                  if text.split() else 0.1)
+
+
 def test_features_do_not_depend_on_chunks(monkeypatch):
     text = ("Ünï word word  x\n\ty " * 50 + "z" * 500 + " end").encode()
+    folded = np.linspace(-1, 1, Q.ROWS).astype(np.float32)
     ids, weights = Q._counted(text)
-    whole = Q.logit(text, np.linspace(-1, 1, (1 << Q.BUCKET_BITS) + 1).astype(np.float32), 0.1)
+    whole = Q.logit(text, folded, 0.1)
     monkeypatch.setattr(Q, "CHUNK", 64)
     ids2, weights2 = Q._counted(text)
     assert (ids == ids2).all() and np.allclose(weights, weights2)
-    again = Q.logit(text, np.linspace(-1, 1, (1 << Q.BUCKET_BITS) + 1).astype(np.float32), 0.1)
-    assert again == pytest.approx(whole)
-    # three kinds, each averaging to a third; the pattern to its share of the words
-    words = text.split()
-    repeats = sum(a == b for a, b in zip(words, words[1:])) / len(words)
-    assert weights.sum() == pytest.approx((2 + repeats) / 3)
+    assert Q.logit(text, folded, 0.1) == pytest.approx(whole)
+    assert weights.sum() == pytest.approx(1)  # three kinds, each averaged
+    assert Q.logit(text, folded, 0.1) == pytest.approx(0.1 + float(weights @ folded[ids]))
 
 
 def test_folded_weights_equal_the_softmax():
