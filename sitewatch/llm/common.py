@@ -34,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: what comes after survives lost executors without computing
-    ``df`` again. The files go when the driver's JVM ends.
+    ``df`` again. The files go when the driver's JVM ends, or by :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -42,7 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._work_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``written`` table that nothing will read again."""
+    context = table.sparkSession.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(table._work_path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ship(spark: SparkSession) -> None:
