@@ -3,6 +3,8 @@
   rollup    tier t -> t+1 of the averaged table, for one site or all sites, in a
             time range (the reference's ``--siteId --start --end --type``)
   averages  streaming tumbling averages of the report stream into the table
+  compact   merge the batches of an averaged table that is merged when read
+  alarms    reports and config changes as two streams; alarms into an exactly-once log
   monitor   streaming parse + match + alarms + archive
   topn      streaming top-N sites per sliding window, into a folder
   changelog current config per site from the config topic, into a folder
@@ -19,17 +21,22 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from sitewatch import schemas as S
-from sitewatch.operators.parse import accepted_reports, annotate_reports
+from sitewatch.operators.parse import (accepted_reports, annotate_reports,
+                                       parse_config_messages)
 from sitewatch.operators.windows import rollup
 from sitewatch.session import get_spark
+from sitewatch.sinks.merge_table import MergeTable
 from sitewatch.sinks.writers import (AVG_PARTITIONS, purge_table, read_table, staging_name,
                                      stream_id, tier_folders, upsert_table,
                                      with_avg_partitions, write_jdbc_upsert, write_kafka)
 from sitewatch.sources.readers import (read_config_changes, read_config_snapshot,
                                        read_jdbc_table, read_kafka, read_text, read_tier)
-from sitewatch.streaming.jobs import (average_stream, config_changelog, file_stream,
-                                      monitor_stream, topn_stream)
+from sitewatch.streaming.jobs import (alarm_log, average_stream, checkpoint_location,
+                                      config_changelog, file_stream, monitor_stream,
+                                      topn_stream)
 
 AVG_TABLE = "dev_avg_data"
 CONFIG_TABLE = "dev_monitor_config"
@@ -123,6 +130,18 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--table", default=AVG_TABLE, help="folder, or database table")
     a.add_argument("--tier", default="MINUTE")
     a.add_argument("--watermark", default="0 seconds")
+    a.add_argument("--merge-on-read", action="store_true",
+                   help="a table that batches add to and readers merge")
+
+    k = sub.add_parser("compact", help="merge the batches of a merge-on-read averaged table")
+    k.add_argument("--table", required=True)
+
+    n = sub.add_parser("alarms", help="match reports against a stream of config changes")
+    _stream_input_args(n)
+    n.add_argument("--config-kafka", help="bootstrap servers of the config topic")
+    n.add_argument("--config-topic", default="config")
+    n.add_argument("--configs", help="folder of config messages, one JSON line each (stream)")
+    n.add_argument("--out", required=True, help="folder of the exactly-once alarm log")
 
     m = sub.add_parser("monitor")
     _stream_input_args(m)
@@ -159,9 +178,37 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def averaged_table(spark, path: str) -> MergeTable:
+    """The averaged table in its merge-on-read form."""
+    return MergeTable(spark, path, S.AVG_KEYS, S.AVG_ROW)
+
+
+def _arriving(spark, kafka, topic, folder, max_files=None):
+    """Text with its time of arrival: a record's, or its file's (and a record's offset)."""
+    if kafka:
+        return read_kafka(spark, kafka, topic, starting_offsets="earliest").selectExpr(
+            "value", "kafka_ts AS arrival", "offset AS config_id")
+    return read_text(spark, folder, streaming=True, max_files_per_trigger=max_files).selectExpr(
+        "value", "_metadata.file_modification_time AS arrival", "0L AS config_id")
+
+
+def _alarms(spark, args):
+    lines = _arriving(spark, args.kafka, args.topic, args.reports, args.max_files_per_trigger)
+    reports = accepted_reports(annotate_reports(lines), keep=("arrival",))
+    configs = parse_config_messages(
+        _arriving(spark, args.config_kafka, args.config_topic, args.configs),
+        keep=("config_id", "arrival"))
+    if not args.config_kafka:  # messages of one file arrive together: their own time decides
+        configs = configs.withColumn("config_id", F.col("timestamp"))
+    checkpoint = checkpoint_location(spark, "alarms", args.checkpoint, _source(args), args.out)
+    return alarm_log(reports, configs, args.out, checkpoint, _trigger(args))
+
+
 def _averages(spark, args):
     reports = accepted_reports(annotate_reports(_lines(spark, args)))
     output, writer = args.table, None
+    if args.merge_on_read:
+        writer = averaged_table(spark, args.table).batch_writer()
     if args.jdbc_url:
         output = f"{args.jdbc_url}/{args.table}"
 
@@ -199,6 +246,10 @@ def main(argv=None) -> int:
                    _properties(args))
     elif args.cmd == "averages":
         _averages(spark, args).awaitTermination()
+    elif args.cmd == "compact":
+        averaged_table(spark, args.table).compact()
+    elif args.cmd == "alarms":
+        _alarms(spark, args).awaitTermination()
     elif args.cmd == "monitor":
         _monitor(spark, args).awaitTermination()
     elif args.cmd == "topn":

@@ -8,7 +8,10 @@ axis is cut into buckets and the work is partitioned by (key, bucket):
 1. left and right rows go through one shuffle by (key, bucket), which both of
    the following steps read;
 2. carry-in: the last right row of every (key, bucket), pre-aggregated to one
-   row each, and from these the last one of any earlier bucket of the key;
+   row each; from these the last one of any earlier bucket of the key's day, and
+   from the days' last ones that of any earlier day (a prefix scan in two levels: a
+   task holds the buckets of one key and day, or the days of one key, never all
+   buckets of a key);
 3. within a bucket, sorted by time, ``last(..., ignorenulls)`` over the running
    frame, and the carry-in before the bucket's first right row.
 
@@ -77,14 +80,25 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     marks = u.groupBy("_k", "_b").agg(
         F.expr("max_by(_rv, struct(_t, _o)) FILTER (WHERE _tag = 0)").alias("_last"),
         F.count("_lv").alias("_n"))
-    carry = marks.selectExpr(
-        "_k AS _ck", "_b AS _cb", "_n", "last(_last, true) OVER (PARTITION BY _k ORDER BY _b "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _carry")
+    # Likewise the days count _n: both levels ask the same of the shuffle.
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    in_day = marks.selectExpr(
+        "_k AS _ck", "_b AS _cb", "date_trunc('DAY', _b) AS _cd", "_n", "_last").selectExpr(
+        "*", f"last(_last, true) OVER (PARTITION BY _ck, _cd ORDER BY _cb {before}) AS _in_day")
+    days = marks.selectExpr("_k AS _dk", "date_trunc('DAY', _b) AS _dd", "_b", "_n", "_last") \
+        .groupBy("_dk", "_dd").agg(
+            F.expr("max_by(_last, _b) FILTER (WHERE _last IS NOT NULL)").alias("_day_last"),
+            F.sum("_n").alias("_dn")).selectExpr(
+        "_dk", "_dd", "_dn",
+        f"last(_day_last, true) OVER (PARTITION BY _dk ORDER BY _dd {before}) AS _earlier")
+    carry = in_day.join(days, F.col("_ck").eqNullSafe(F.col("_dk"))
+                        & F.col("_cd").eqNullSafe(F.col("_dd")), "left").selectExpr(
+        "_ck", "_cb", "_n", "_dn", "coalesce(_in_day, _earlier) AS _carry")
     # 3. running last right row within the bucket
     hit = F.expr("coalesce(last(_rv, true) OVER (PARTITION BY _k, _b ORDER BY _t, _tag, _o "
                  "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), _carry)")
     out = (u.join(carry, F.col("_k").eqNullSafe(F.col("_ck"))
                   & F.col("_b").eqNullSafe(F.col("_cb")), "left")
-           .withColumn("_hit", hit).where("_tag = 1 AND _n > 0"))
+           .withColumn("_hit", hit).where("_tag = 1 AND _n > 0 AND _dn > 0"))
     return out.selectExpr(*[f"_lv.`{c}` AS `{c}`" for c in left_cols],
                           *[f"_hit.`{c}` AS `{prefix}{c}`" for c in right_cols])

@@ -53,12 +53,13 @@ def annotate_reports(lines: DataFrame, value: str = "value", strict: bool = Fals
     return df.withColumn("reject_reason", reason)
 
 
-def accepted_reports(annotated: DataFrame, sensors=S.SENSORS) -> DataFrame:
+def accepted_reports(annotated: DataFrame, sensors=S.SENSORS, keep=()) -> DataFrame:
     """PRJ-2/3/4: accepted rows as table columns: site_id, timestamp, ts
-    (event time), type, version, status, data, and one column per sensor."""
+    (event time), type, version, status, data, and one column per sensor, after the
+    ``keep`` columns."""
     r = F.col("report")
     out = annotated.where(F.col("reject_reason").isNull()).select(
-        r["siteId"].alias("site_id"), r["timestamp"].alias("timestamp"),
+        *keep, r["siteId"].alias("site_id"), r["timestamp"].alias("timestamp"),
         F.timestamp_millis(r["timestamp"]).alias("ts"),
         r["type"].alias("type"), r["version"].alias("version"),
         r["status"].alias("status"), r["data"].alias("data"))

@@ -109,3 +109,43 @@ def test_sources_and_sinks_are_given_their_options(spark, monkeypatch):
     read_jdbc_query(spark, "jdbc:x", "select 1 a", {"user": "u"}, "a", 0, 100, 4)
     assert options["dbtable"] == "(select 1 a) t" and options["user"] == "u"
     assert options["partitionColumn"] == "a" and options["numPartitions"] == 4
+
+
+def test_alarms_job_on_two_streams(spark, tmp_dir):
+    """Configs that arrive before the reports: every alarm of the batch form, once."""
+    from sitewatch.operators.match import alarms, match_reports
+    from sitewatch.operators.parse import (accepted_reports, annotate_reports,
+                                           parse_config_messages)
+    from sitewatch.sinks.once_log import read_log
+    from sitewatch.sinks.records import alarm_records
+    messages = FX.config_messages(spark, SF_SMALL).where("config_id < 200")
+    messages.select("value").coalesce(1).write.text(f"{tmp_dir}/configs")
+    FX.reports_json(spark, SF_SMALL).coalesce(2).write.text(f"{tmp_dir}/reports")
+    args = ["alarms", "--reports", f"{tmp_dir}/reports", "--configs", f"{tmp_dir}/configs",
+            "--out", f"{tmp_dir}/log", "--checkpoint", f"{tmp_dir}/ckpt", "--available-now"]
+    assert main(args) == 0
+    configs = parse_config_messages(messages.select("value")).withColumn(
+        "config_id", F.col("timestamp"))   # messages of one file: their own time decides
+    matched = match_reports(
+        accepted_reports(annotate_reports(FX.reports_json(spark, SF_SMALL))),
+        configs)
+    expect = sorted(r.value for r in alarm_records(alarms(matched)).collect())
+    assert sorted(r.value for r in read_log(spark, f"{tmp_dir}/log").collect()) == expect
+    assert main(args) == 0 and len(expect) > 50       # nothing new: nothing more
+    assert read_log(spark, f"{tmp_dir}/log").count() == len(expect)
+
+
+def test_averages_into_a_table_merged_when_read(spark, tmp_dir):
+    from sitewatch.cli import averaged_table
+    from sitewatch.operators.parse import accepted_reports, annotate_reports
+    FX.reports_json(spark, SF_SMALL).coalesce(2).write.text(f"{tmp_dir}/reports")
+    assert main(["averages", "--reports", f"{tmp_dir}/reports", "--table", f"{tmp_dir}/avg",
+                 "--tier", "DAY", "--merge-on-read", "--checkpoint", f"{tmp_dir}/ckpt",
+                 "--available-now"]) == 0
+    rows = {tuple(r) for r in averaged_table(spark, f"{tmp_dir}/avg").read().select(*COLS).collect()}
+    reports = accepted_reports(annotate_reports(FX.reports_json(spark, SF_SMALL)))
+    whole = {tuple(r) for r in window_averages(reports, tier="DAY").select(*COLS).collect()}
+    assert rows and rows <= whole and len(whole - rows) <= FX.N_SITES * 2
+    assert main(["compact", "--table", f"{tmp_dir}/avg"]) == 0
+    assert {tuple(r) for r in averaged_table(spark, f"{tmp_dir}/avg").read().select(*COLS)
+            .collect()} == rows

@@ -132,6 +132,21 @@ def test_average_stream_upserts_closed_windows(spark, tmp_dir):
     assert s == closed and 0 < len(closed) < len(b)
 
 
+def test_average_stream_takes_any_reading(spark, tmp_dir):
+    """One absurd sensor value neither ends the stream nor touches other windows."""
+    base = 1_700_000_040_000
+    lines = [f'{{"siteId":1,"timestamp":{base + t},"type":"report","version":1,"status":0,'
+             f'"data":{{"tmp":{v}}}}}'
+             for t, v in ((0, 1e30), (1, 2e-11), (2, -1e30), (60_000, 2e-11), (600_000, 1.0))]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_dir}/in")
+    q = average_stream(spark, _reports_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/avg",
+                       checkpoint=f"{tmp_dir}/ckpt", trigger=AVAILABLE_NOW)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted((r.end_time, r.avg_tmp) for r in read_table(spark, f"{tmp_dir}/avg").collect())
+    assert [v for _, v in got] == [2e-11 / 3, 2e-11]
+
+
 def test_upsert_table_replay(spark, tmp_dir):
     table = f"{tmp_dir}/t"
     rows = spark.createDataFrame([(1, 1, 1.0), (2, 1, 2.0), (3, 2, 3.0)],
