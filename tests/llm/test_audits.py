@@ -35,6 +35,8 @@ def plain_fails(rows):
 def plain_audit(rows, labels):
     marks = {}
     for i, good, toxic in labels:
+        if i is None:
+            continue  # a NULL doc_id has no label
         g, x = marks.get(i, (False, False))
         marks[i] = (g or good == 1, x or toxic == 1)
     fails = plain_fails(rows)
