@@ -29,7 +29,7 @@ from sitewatch.operators.parse import (accepted_reports, annotate_reports,
                                        rejected_reports)
 from sitewatch.operators.topn import top_n_streaming
 from sitewatch.operators.windows import window_averages
-from sitewatch.session import checkpoint_root
+from sitewatch.session import checkpoint_root, use_state_store
 from sitewatch.sinks.once_log import ROLL_BYTES, log_stream
 from sitewatch.sinks.records import alarm_records, archive_records
 from sitewatch.sinks.writers import (AVG_PARTITIONS, print_rows, stream_id, upsert_table,
@@ -115,6 +115,7 @@ def average_stream(spark: SparkSession, reports: DataFrame, table_path: str | No
     partitioned by (type, end_date, end_hour) so each batch rewrites only the
     hours it touches. ``writer`` replaces the table (e.g. a database upsert)."""
     t = S.tier(tier)
+    use_state_store(spark)
     averaged = window_averages(reports.withWatermark(ts, watermark), tier=t, ts=ts)
 
     def sink(df: DataFrame, batch_id: int) -> None:
@@ -148,7 +149,7 @@ def file_stream(stream: DataFrame, out_dir: str, job: str, mode: str = "append",
                 trigger: dict | None = None, show: bool = False) -> StreamingQuery:
     """Write every batch's rows, all of them, under ``out_dir/run=<id>/batch_id=<n>``;
     ``show`` also prints them."""
-    spark = stream.sparkSession
+    spark = use_state_store(stream.sparkSession)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         write_batch_files(df, out_dir, batch_id, stream_id(df))
@@ -158,3 +159,12 @@ def file_stream(stream: DataFrame, out_dir: str, job: str, mode: str = "append",
     w = stream.writeStream.outputMode(mode).foreachBatch(sink).option(
         "checkpointLocation", checkpoint_location(spark, job, checkpoint, source, out_dir))
     return w.trigger(**(trigger or EVERY_5_S)).start()
+
+
+def state_size(query: StreamingQuery) -> list[dict]:
+    """Rows and bytes of state of each stateful operator after the last batch, and the rows
+    it dropped as late."""
+    progress = query.lastProgress
+    return [{"operator": op["operatorName"], "rows": op["numRowsTotal"],
+             "bytes": op["memoryUsedBytes"], "late": op["numRowsDroppedByWatermark"]}
+            for op in (progress["stateOperators"] if progress else [])]

@@ -17,7 +17,8 @@ from sitewatch.operators.windows import window_averages
 from sitewatch.sinks import writers
 from sitewatch.sinks.writers import read_table, upsert_table
 from sitewatch.streaming.jobs import (average_stream, checkpoint_location, config_changelog,
-                                      file_stream, monitor_batch, monitor_stream, topn_stream)
+                                      file_stream, monitor_batch, monitor_stream, state_size,
+                                      topn_stream)
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -132,6 +133,33 @@ def test_average_stream_upserts_closed_windows(spark, tmp_dir):
     assert s == closed and 0 < len(closed) < len(b)
 
 
+def test_average_stream_restarts_with_its_state(spark, tmp_dir):
+    """Windows open when the query stops are whole after the restart; state is in RocksDB."""
+    src, table, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "avg", "ckpt"))
+    reports = FX.reports_wire(spark, SF_SMALL).withColumn(
+        "t", F.get_json_object("value", "$.timestamp").cast("long"))
+    middle = reports.agg(F.percentile("t", 0.5)).first()[0]
+
+    def run(part):
+        part.select("value").coalesce(1).write.mode("append").text(src)
+        q = average_stream(spark, _reports_stream(spark, src), table, tier="DAY",
+                           checkpoint=ckpt, trigger=AVAILABLE_NOW)
+        q.awaitTermination(300)
+        assert q.exception() is None
+        return q
+
+    size = state_size(run(reports.where(F.col("t") < middle)))
+    assert size and all(s["rows"] >= 0 and s["bytes"] >= 0 for s in size)
+    assert any(s["rows"] > 0 for s in size)
+    q = run(reports.where(F.col("t") >= middle))
+    cols = ["site_id", "end_time", "avg_tmp", "avg_hmt", "avg_lx"]
+    got = {tuple(r) for r in read_table(spark, table).select(*cols).collect()}
+    whole = window_averages(accepted_reports(annotate_reports(reports)), tier="DAY")
+    assert got == {tuple(r) for r in whole.select(*cols).collect() if r.end_time <= _watermark(q)}
+    stores = [f for _, _, names in os.walk(f"{ckpt}/state") for f in names]
+    assert any(f.endswith((".changelog", ".zip")) for f in stores)
+
+
 def test_average_stream_takes_any_reading(spark, tmp_dir):
     """One absurd sensor value neither ends the stream nor touches other windows."""
     base = 1_700_000_040_000
