@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as C
-from sitewatch.llm import q_mixing, q_rules, q_search, quality_rules, secret_scan
+from sitewatch.llm import (q_audit, q_dedup, q_mixing, q_rules, q_search, quality_rules,
+                           secret_scan)
 
 from .helpers import SMALL, clashing
 from .test_mixing import plain_mix
@@ -87,7 +88,7 @@ def test_run_over_odd_rows(spark, tmp_path, small_docs, edge_docs):
 
 def test_registered_queries():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()
 
 
@@ -97,7 +98,7 @@ def test_oracle_matches(spark):
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(E.__file__)), "tools"))
     import oracle_check
     con = oracle_check.duck_connect(SMALL)
-    for module in (q_rules, q_search, q_mixing):
+    for module in (q_rules, q_search, q_mixing, q_dedup, q_audit):
         for name in module.ORACLE:
             status, detail = oracle_check.compare_one(spark, con, SMALL, name)
             assert status == "OK" and "type differences" not in detail, detail
