@@ -10,12 +10,12 @@ merge in any order. The bin of ordinary readings (0.001 to 2048, and 0) is bin 0
 group is usually one row there.
 
 At the end a group's few bins (at most 102 for each column; groups of several columns
-are kept by the combination of their bins) become one number: a single bin's sum is cast
-to double, which rounds once; several bins are written out as digits of one binary
-number, whose leading digits and a sticky digit for the rest are cast, which rounds once
-too. The average is that correctly rounded sum divided by the count: ``fsum(x) / n``.
-The power of two is applied after the division, so a sum beyond the largest double still
-has its average.
+are kept by the combination of their bins) become one number. Bin 0 alone is cast to
+double, which rounds once; other bins are written out as digits of one binary number,
+whose leading digits and a sticky digit for the rest are cast, which rounds once too. The
+average is that correctly rounded sum divided by the count: ``fsum(x) / n``. The power of
+two is applied after the division, so a sum beyond the largest double still has its
+average.
 
 NaN and infinities are noted per row beside the sum and decide the result as in IEEE
 addition: NaN, or infinities of both signs, give NaN; otherwise an infinity gives itself.
@@ -99,13 +99,6 @@ def merged_parts(parts: DataFrame, keys, columns) -> DataFrame:
         F.sum(f"_n_{c}").alias(f"_n_{c}"), F.bit_or(f"_x_{c}").alias(f"_x_{c}"))])
 
 
-def _one_bin(e: str) -> str:
-    """SQL: (m, k): a list of parts of one bin is the double m times 2**k."""
-    total = f"aggregate({e}, CAST(0 AS DECIMAL(38,0)), (a, p) -> CAST(a + p.s AS DECIMAL(38,0)))"
-    return (f"named_struct('m', CAST({total} AS DOUBLE), "
-            f"'k', {WIDTH} * element_at({e}, 1).b - {UNIT})")
-
-
 def _digits(e: str) -> str:
     """SQL: the digits (BASE) of a list of parts, lowest first, and what is carried out.
 
@@ -129,14 +122,17 @@ def _carried(places: str, digit: str) -> str:
 
 
 def _with_sums(df: DataFrame, columns) -> DataFrame:
-    """Adds ``_r_c``: (m, k), the exact sum of ``_e_c`` as a correctly rounded double m
-    (up to 2**127) times 2**k."""
+    """Adds ``_r_c``: (m, k), the exact sum of ``_z_c`` (bin 0) and ``_e_c`` (the others) as a
+    correctly rounded double m (up to 2**127) times 2**k; NULL where bin 0 is all."""
     for c in columns:
-        e = f"`_e_{c}`"
-        several = f"array_min({e}.b) <> array_max({e}.b)"
+        several = f"size(`_e_{c}`) > 0"
+        e = f"`_l_{c}`"
 
-        def only(sql):  # worked out for groups of several bins alone
+        def only(sql):  # worked out for groups with other bins than bin 0 alone
             return F.expr(f"CASE WHEN {several} THEN {sql} END")
+        df = df.withColumn(f"_l_{c}", only(
+            f"CASE WHEN `_z_{c}` IS NULL THEN `_e_{c}` "
+            f"ELSE array_append(`_e_{c}`, named_struct('b', 0, 's', `_z_{c}`)) END"))
         df = df.withColumn(f"_d_{c}", only(_digits(e)))
         d, low = f"`_d_{c}`", f"array_min({e}.b)"
         here = f"aggregate(filter({d}, x -> x.at = i), 0L, (s, x) -> s + x.d)"
@@ -155,11 +151,10 @@ def _with_sums(df: DataFrame, columns) -> DataFrame:
         lead = (f"aggregate(reverse(slice({f}.d, {j}, {LEADING})), CAST(0 AS DECIMAL(38,0)), "
                 f"(m, x) -> CAST(m * {BASE} + x AS DECIMAL(38,0)))")
         rest = f"exists(slice({f}.d, 1, {j} - 1), x -> x > 0)"
-        df = df.withColumn(f"_r_{c}", F.expr(
-            f"CASE WHEN {several} THEN named_struct("
+        df = df.withColumn(f"_r_{c}", only(
+            f"named_struct("
             f"'m', CAST(CAST({lead} * 2 + IF({rest}, 1, 0) AS DECIMAL(38,0)) AS DOUBLE) "
-            f"* IF({f}.c < 0, -1D, 1D), 'k', {WIDTH} * ({low} + {j} - 1) - {UNIT} - 1) "
-            f"WHEN size({e}) > 0 THEN {_one_bin(e)} END"))
+            f"* IF({f}.c < 0, -1D, 1D), 'k', {WIDTH} * ({low} + {j} - 1) - {UNIT} - 1)"))
     return df
 
 
@@ -169,18 +164,22 @@ def _average(c: str) -> Column:
       CASE WHEN {x} & {NAN} > 0 OR {x} & {PLUS | MINUS} = {PLUS | MINUS} THEN double('nan')
            WHEN {x} & {PLUS} > 0 THEN double('infinity')
            WHEN {x} & {MINUS} > 0 THEN double('-infinity')
-           WHEN {n} > 0 THEN {r}.m / {n} * {_power(f'{r}.k')} END""")
+           WHEN {n} > 0 THEN coalesce(
+             {r}.m / {n} * {_power(f'{r}.k')},
+             CAST(`_z_{c}` AS DOUBLE) / {n} * {2.0**-UNIT!r}D) END""")
 
 
 def finished(parts: DataFrame, keys, columns, having=()) -> DataFrame:
     """``keys`` (names) and the averages of ``columns`` under their own names, from parts;
     ``having`` are further aggregates over the parts."""
     grouped = parts.groupBy(*keys).agg(*[a for c in columns for a in (
-        F.expr(f"collect_list(CASE WHEN `_n_{c}` > 0 THEN "
+        F.expr(f"sum(CASE WHEN `_b_{c}` = 0 THEN `_s_{c}` END)").cast("decimal(38,0)")
+        .alias(f"_z_{c}"),
+        F.expr(f"collect_list(CASE WHEN `_b_{c}` <> 0 AND `_n_{c}` > 0 THEN "
                f"named_struct('b', `_b_{c}`, 's', `_s_{c}`) END)").alias(f"_e_{c}"),
         F.sum(f"_n_{c}").alias(f"_n_{c}"), F.bit_or(f"_x_{c}").alias(f"_x_{c}"))], *having)
     summed = _with_sums(grouped, columns)
-    rest = [c for c in grouped.columns if c in keys or not c.startswith(("_e_", "_n_", "_x_"))]
+    rest = [c for c in grouped.columns if c in keys or not c.startswith(("_z_", "_e_", "_n_", "_x_"))]
     return summed.select(*rest, *[_average(c).alias(c) for c in columns])
 
 
