@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewatch.sources.footers import stored_max
+
 _UNITS = {"month": ("MM", "1 month", "yyyy-MM"), "year": ("YEAR", "1 year", "yyyy")}
 
 
@@ -65,12 +67,16 @@ _CUTOFF_UNITS = {"minute": "MINUTE", "hour": "HOUR", "day": "DAY", "week": "WEEK
 
 
 def trailing_cutoff(df: DataFrame, ts: str, amount: int, unit: str = "minute",
-                    anchor: Column | None = None) -> DataFrame:
+                    anchor: Column | None = None, path: str | None = None) -> DataFrame:
     """CAL-4: rows with ``ts >= anchor - amount units``. The default anchor is the
-    table's own latest ``ts`` (one small job: the footers hold it) instead of the
-    wall clock, so the result is reproducible.
+    table's own latest ``ts`` instead of the wall clock, so the result is reproducible.
+
+    ``path``: the Parquet files that ``df`` reads, all rows of them. The latest ``ts`` then
+    comes from their footers and no column is scanned for it; where footers do not tell,
+    and without ``path``, an aggregate finds it. With ``path``, ``df`` may be a stream over
+    files whose rows are compared with the latest ``ts`` stored at the start.
 
-    The cutoff is a literal of the stored column's own type, so the comparison reaches
+    The cutoff is a constant of the stored column's own type, so the comparison reaches
     the scan and row groups before the cutoff are skipped: pass the stored column, not
     a cast.
     """
@@ -78,6 +84,9 @@ def trailing_cutoff(df: DataFrame, ts: str, amount: int, unit: str = "minute",
         raise ValueError(f"unknown unit {unit!r}")
     kind = df.schema[ts].dataType
     step = F.expr(f"INTERVAL {int(amount)} {_CUTOFF_UNITS[unit]}")
+    latest = stored_max(df.sparkSession, path, ts, kind) if path and anchor is None else None
+    if latest is not None:
+        return df.where(F.col(ts) >= (latest - step).cast(kind))
     cutoff = ((F.max(ts) if anchor is None else F.max(anchor)) - step).cast(kind)
     found = df.agg(cutoff.cast("string").alias("cutoff")).first()["cutoff"]
     return df.where(F.col(ts) >= F.lit(found).cast(kind))

@@ -164,7 +164,8 @@ def q_date_order(spark, sf_dir):
 def _cutoff(amount, unit):
     def q(spark, sf_dir):
         # the stored column is compared, so the comparison reaches the scan
-        out = trailing_cutoff(FX.table(spark, sf_dir, "events"), "ts", amount, unit)
+        out = trailing_cutoff(FX.table(spark, sf_dir, "events"), "ts", amount, unit,
+                              path=f"{sf_dir}/events.parquet")
         return out.select("event_id", "user_id", as_ntz("ts").alias("ts"))
     q.__doc__ = f"CAL-4: events of the last {amount} {unit}s before the latest event."
     return q
