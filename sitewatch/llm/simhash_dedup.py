@@ -3,10 +3,12 @@
 Two 64-bit fingerprints that differ in at most ``max_bits`` (4) bits share at least
 8 - 4 = 4 of their 8 bytes by position. The index posts every distinct fingerprint
 under the bytes at KEY_BYTES (3) positions, for every choice of 3 among the first 7
-(a pair with 4 shared positions has 3 of them there), so that lists stay short.
-Within a list the shared positional bytes of each pair are tallied; pairs below the
-guaranteed minimum go, the rest are verified by the number of differing bits. A list
-hands on a spanning forest of its links, not all pairs: the components are the same.
+(a pair with 4 shared positions has 3 of them there), so that lists stay short; beyond
+LIST * 256 ** 3 fingerprints at 4 positions of the 8. Within a list members are posted
+under each byte that they do not all share, the postings' pairs are tallied, and pairs
+that reach the guaranteed minimum are verified by the number of differing bits; others
+are never compared. A list hands on a spanning forest of its links, not all pairs: the
+components are the same.
 
 Hot lists (over HOT distinct fingerprints) are not held in one task: their members
 are posted again under 4 positions, and what is still hot is dealt in blocks whose
@@ -36,6 +38,8 @@ BYTES = 8
 KEY_BYTES = 3
 HOT = 2048
 BLOCK = 1024
+LIST = 256       # lists of chance meetings are kept below this by longer keys
+CELLS = 1 << 22  # pairs tallied at once (one list may have more)
 CHUNK = 1 << 15  # shingles whose bits are summed at once
 
 
@@ -73,32 +77,71 @@ def _fingerprints(docs: DataFrame, shingle: int):
     return fp(F.coalesce("text", F.lit(""))).alias("fp")
 
 
-def _roots(links: np.ndarray) -> np.ndarray:
-    """Least reachable index of each row of a symmetric boolean matrix with a true diagonal."""
-    n = len(links)
-    root = np.arange(n)
-    while True:
-        low = np.where(links, root[None, :], n).min(axis=1)
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
+def _pairs(sizes: np.ndarray):
+    """Rows (a, b), a < b, of all pairs within runs of these sizes laid end to end."""
+    rows = np.arange(sizes.sum())
+    after = np.repeat(np.cumsum(sizes), sizes) - 1 - rows
+    a = np.repeat(rows, after)
+    return a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
 
 
-def _near(x: np.ndarray, max_bits: int) -> np.ndarray:
-    """Count filter, then verification, of differences ``x`` (a contiguous uint64 array)."""
-    shared = (x.view(np.uint8).reshape(*x.shape, BYTES) == 0).sum(axis=-1)
-    return (shared >= BYTES - max_bits) & (np.bitwise_count(x) <= max_bits)
+def _candidates(fps: np.ndarray, sizes: np.ndarray, need: int):
+    """Pairs (a, b), a < b, that share at least ``need`` positional bytes within their list.
+
+    ``fps``: the members of lists of these sizes, end to end. Bytes that all members of a
+    list share count for each of its pairs; members are posted under the other bytes by
+    position, and the pairs of each posting are tallied. In a list whose members share
+    ``need`` bytes anyway every pair qualifies without a posting.
+    """
+    starts = np.cumsum(sizes) - sizes
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    octets = np.ascontiguousarray(fps).view(np.uint8).reshape(-1, BYTES)
+    same = np.logical_and.reduceat(octets == octets[starts[own]], starts)
+    known = same.sum(axis=1)
+    # cells (a, b) of each list's tally, row by row
+    first = np.cumsum(sizes * sizes) - sizes * sizes
+    tally = np.repeat(known.astype(np.int8), sizes * sizes)
+    at = np.arange(len(fps)) - starts[own]
+    row = first[own] + at * sizes[own]
+    undecided = known < need
+    for p in range(BYTES):
+        posted = np.flatnonzero((undecided & ~same[:, p])[own])
+        key = own[posted] * 256 + octets[posted, p]
+        order = np.argsort(key, kind="stable")
+        key, posted = key[order], posted[order]
+        cut = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
+        a, b = _pairs(np.diff(cut))
+        # a pair meets once under a position
+        tally[row[posted[a]] + at[posted[b]]] += 1
+    found = np.flatnonzero(tally >= need)
+    of = np.searchsorted(first, found, side="right") - 1
+    a, b = np.divmod(found - first[of], sizes[of])
+    a, b, of = a[a < b], b[a < b], of[a < b]
+    return starts[of] + a, starts[of] + b
+
+
+def _links_within(fps: np.ndarray, sizes: np.ndarray, max_bits: int):
+    """Spanning forest (a, b) of the links within each of the lists ``fps`` holds end to end."""
+    a, b = _candidates(fps, sizes, BYTES - max_bits)
+    linked = np.bitwise_count(fps[a] ^ fps[b]) <= max_bits
+    a, b = a[linked], b[linked]
+    root = np.arange(len(fps))
+    while True:  # the least row that links reach
+        low = np.minimum(root[a], root[b])
+        lower = root.copy()
+        np.minimum.at(lower, a, low)
+        np.minimum.at(lower, b, low)
+        lower = lower[lower]
+        if (lower == root).all():
+            break
+        root = lower
+    child = np.flatnonzero(root != np.arange(len(fps)))
+    return fps[child], fps[root[child]]
 
 
 def _list_links(fps: np.ndarray, max_bits: int):
     """Spanning forest (a, b) of the links within one list."""
-    if len(fps) == 2:
-        linked = _near(fps[:1] ^ fps[1:], max_bits)[0]
-        return (fps[1:], fps[:1]) if linked else (fps[:0], fps[:0])
-    root = _roots(_near(fps[:, None] ^ fps[None, :], max_bits))
-    own = np.flatnonzero(root != np.arange(len(fps)))
-    return fps[own], fps[root[own]]
+    return _links_within(fps, np.array([len(fps)]), max_bits)
 
 
 def _lists(n_keys: int, max_bits: int, hot):
@@ -135,18 +178,19 @@ def _lists(n_keys: int, max_bits: int, hot):
                     yield emit(held, held, True)
                 elif len(held) > 1 and not hot_now:
                     yield emit(*_list_links(held, max_bits), False)
-                size = ends - starts
-                a, b = [], []
-                for i in np.flatnonzero(size[:-1] > 1).tolist():
+                size = (ends - starts)[:-1]
+                for i in np.flatnonzero(size > hot).tolist() if hot else ():
                     members = fps[starts[i]:ends[i]]
-                    if hot and len(members) > hot:
-                        yield emit(members, members, True)
-                        continue
-                    x, y = _list_links(members, max_bits)
-                    a.append(x)
-                    b.append(y)
-                if a:
-                    yield emit(np.concatenate(a), np.concatenate(b), False)
+                    yield emit(members, members, True)
+                short = (size > 1) & (size <= (hot or len(fps)))
+                members = fps[starts[0]:starts[-1]][np.repeat(short, size)]
+                size = size[short]
+                # lists side by side, as many as have CELLS pairs
+                group = np.cumsum(size * size) // CELLS
+                for g in np.unique(group):
+                    mine = group == g
+                    yield emit(*_links_within(members[np.repeat(mine, size)], size[mine],
+                                              max_bits), False)
                 key, held, hot_now = keys[:, -1], fps[starts[-1]:].copy(), False
             if hot and not hot_now and len(held) > hot:
                 yield emit(held, held, True)
@@ -176,12 +220,15 @@ def _posted(fps: DataFrame, choices) -> DataFrame:
     return fps.select("fp", F.posexplode(lists).alias("choice", "bytes"))
 
 
-def links(fps: DataFrame, max_bits: int, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, max_bits: int, hot: int = HOT, block: int = BLOCK,
+          usual: int = LIST) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints ``fps`` as all links do."""
     need = BYTES - max_bits  # shared positions that every link has
     if need < 1:
         raise ValueError("the index needs fewer differing bits than there are bytes")
-    k = min(KEY_BYTES, need)
+    k, n = min(KEY_BYTES, need), fps.count()
+    while k < need and n > usual << (8 * k):
+        k += 1
     # a link shares `need` of 8 positions, so at least k of the first 8 - (need - k)
     choices = list(combinations(range(BYTES - (need - k)), k))
     found = _compared(_posted(fps, choices), ["choice", "bytes"], max_bits, hot)

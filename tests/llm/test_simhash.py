@@ -129,6 +129,43 @@ def test_list_over_two_batches_that_ends_in_the_second(monkeypatch):
     assert hot == [] and compared == [2048]
 
 
+def test_candidates_are_the_pairs_that_share_enough_bytes():
+    """Lists of chance meetings, of families and of bytes shared by all, side by side."""
+    rnd = random.Random(4)
+    lists = [[rnd.getrandbits(64) for _ in range(n)] for n in (2, 3, 40)]
+    lists += [[rnd.getrandbits(24) | 0xAB << 56 for _ in range(30)],
+              [rnd.getrandbits(8) for _ in range(25)], _clusters(seed=3, centers=2),
+              [sum(rnd.randrange(2) << 8 * p for p in range(8)) for _ in range(50)]]
+    fps = np.array(sum(lists, []), np.uint64)
+    sizes = np.array([len(x) for x in lists])
+    octets = fps.view(np.uint8).reshape(-1, 8)
+    own = np.repeat(np.arange(len(lists)), sizes)
+    for need in (1, 2, 4, 6, 8):
+        a, b = S._candidates(fps, sizes, need)
+        expect = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps))
+                  if own[i] == own[j] and (octets[i] == octets[j]).sum() >= need}
+        assert len(a) == len(expect) and set(zip(a.tolist(), b.tolist())) == expect
+
+
+def test_chance_meetings_are_not_compared():
+    """Members of a list that share its three key bytes alone are no candidates."""
+    rnd = np.random.default_rng(6)
+    fps = rnd.integers(0, 1 << 40, 2000, dtype=np.uint64) | np.uint64(0xABCDEF << 40)
+    a, _ = S._candidates(fps, np.array([2000]), 4)
+    assert 0 < len(a) < 0.03 * 2000 * 1999 / 2
+
+
+def test_longer_keys_for_larger_tables(spark):
+    fps = _clusters(seed=12)
+    array = np.array(fps, dtype=np.uint64)
+    near = np.bitwise_count(array[:, None] ^ array[None, :]) <= 4
+    expect = _partition([(_signed(fps[i]), _signed(fps[j])) for i, j in zip(*np.nonzero(near))],
+                        [_signed(f) for f in fps])
+    df = spark.createDataFrame([(_signed(f),) for f in fps], "fp long")
+    pairs = [(r.a, r.b) for r in S.links(df, 4, usual=0).collect()]
+    assert _partition(pairs, list(expect)) == expect
+
+
 def test_other_distances(spark):
     fps = _clusters(seed=9, far=2)
     array = np.array(fps, dtype=np.uint64)
