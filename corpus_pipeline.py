@@ -8,11 +8,16 @@ columns of ``documents``; extra columns pass through.
 2. near_duplicates: of each SimHash group one document stays (the smallest doc_id).
 3. secret_scans: secrets are replaced in the text, n_chars follows; no document goes.
 4. source_mixing: a document is repeated as often as the mix takes it.
-5. packing: the pieces of all documents and their places in sequences.
+5. packing: the pieces of all documents, with their token ids, and their places in
+   sequences.
 
 Defined cases are those of the operators: NULL and empty texts fail the quality
-rules; repeated rows are one near-duplicate group; an empty table gives no rows. A
-document that the mix takes twice is packed twice, in pieces with the same doc_id.
+rules; repeated rows are one near-duplicate group; very long texts are judged, redacted and packed whole, in as many pieces as they need;
+columns of ``documents`` are read by name, extra ones, of any name, pass through and are
+left out of the pieces; an empty table gives no rows. A document that the mix takes twice
+is packed twice, in pieces with the same doc_id and another ``doc_row``.
+
+Every stage's work tables, and the table it read, are deleted once its own is written.
 
 The near-duplicate stage keeps components of fingerprint links and the secret scan
 is a fitted model, so SQL cannot express run(): ORACLE_SQL is None, and the tests
@@ -25,7 +30,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitewatch.llm import mixing, packing, quality_rules, secret_scan, simhash_dedup
-from sitewatch.llm.common import written
+from sitewatch.llm.common import discard, work_tables, written
 from sitewatch.llm.q_dedup import MAX_BITS, SHINGLE
 from sitewatch.llm.q_tokens import CAPACITY, VOCABULARY
 
@@ -47,7 +52,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(docs, public_tokenizers.path(VOCABULARY), CAPACITY)
+    cut = packing.pieces(docs, public_tokenizers.path(VOCABULARY), CAPACITY, with_ids=True)
     return packing.pack(cut, CAPACITY)
 
 
@@ -64,7 +69,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with work_tables(spark) as keep:
+            docs = keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if before is not None:
+            discard(before)
+        before = docs
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    discard(before)  # the pieces are written
+    return packed

@@ -6,10 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Paths of written tables, one list for every open :func:`work_tables`, innermost last.
+_OPEN: list[list[str]] = []
+
 # White space of the word rule: a word is a run of code points outside it.
 WS = r"\x20\x09-\x0D"
 
@@ -34,24 +38,56 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage: what comes after survives lost executors without computing
-    ``df`` again. The files go when the driver's JVM ends, or by :func:`discard`.
+    ``df`` again. The files go when the driver's JVM ends, or by :func:`discard` or
+    :func:`work_tables`.
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    for held in _OPEN[-1:]:
+        held.append(path)
+    target, system = _file(spark, path)
+    system.deleteOnExit(target)
     table = spark.read.schema(df.schema).parquet(path)
     table._work_path = path
     return table
 
 
+def _file(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop's."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def discard(table: DataFrame) -> None:
     """Delete the files of a ``written`` table that nothing will read again."""
-    context = table.sparkSession.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(table._work_path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _file(table.sparkSession, table._work_path)
+    system.delete(target, True)
+
+
+@contextmanager
+def work_tables(spark: SparkSession):
+    """Within the block, ``written`` tables are work tables: their files are deleted at its
+    end. ``keep(table)``, of the function that the block is given, leaves one to the
+    enclosing block, or to the driver's end."""
+    made: list[str] = []
+    kept: list[str] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table._work_path)
+        return table
+
+    _OPEN.append(made)
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        for path in made:
+            if path not in kept:
+                target, system = _file(spark, path)
+                system.delete(target, True)
+        for held in _OPEN[-1:]:
+            held.extend(kept)
 
 
 def ship(spark: SparkSession) -> None:

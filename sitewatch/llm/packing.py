@@ -11,7 +11,12 @@ third of all pieces is ranked in many tasks.
 
 Defined cases: a NULL or empty text is one piece of one token (the end mark);
 repeated rows are packed each; an empty table gives no rows; extra columns are
-ignored. A piece's row does not depend on the plan except for its place.
+ignored. A piece's row does not depend on the plan except for its place. Very long texts
+are cut into pieces of the capacity, whatever their number.
+
+With ``with_ids`` the pieces carry their token ids and the number of their document's row
+(rows may repeat a doc_id). Ids are left out of the ranking: places join them by the
+piece's own number, in one shuffle of the ids.
 """
 
 from __future__ import annotations
@@ -43,12 +48,14 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
            with_ids: bool = False) -> DataFrame:
     """Encode every text, add ``end_id``, cut what exceeds ``capacity``.
 
-    Columns doc_id, piece, start, length, ids_crc32 and, if asked, ``ids``.
+    Columns doc_id, piece, start, length, ids_crc32 and, with ``with_ids``, ``doc_row``
+    (a number of the row of ``docs``, shared by its pieces alone) and ``ids``.
     """
     ship(docs.sparkSession)
     end = np.array([end_id], dtype=IDS).tobytes()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    schema += ", ids array<long>" if with_ids else ""
+    schema += ", doc_row long, ids array<int>" if with_ids else ""
+    own = [F.monotonically_increasing_id().alias("doc_row")] if with_ids else []
 
     def run(batches):
         enc = encoder(vocabulary, True)
@@ -57,7 +64,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
             for group in by_bytes(texts):
                 out = defaultdict(list)
                 keys = batch.column(0).slice(done, len(group)).to_pylist()
-                for key, raw in zip(keys, enc.encode(group)):
+                rows = batch.column(2).slice(done, len(group)).to_pylist() if with_ids else keys
+                for key, row, raw in zip(keys, rows, enc.encode(group)):
                     raw += end
                     for i, (start, length) in enumerate(_cut(raw, capacity)):
                         part = raw[4 * start:4 * (start + length)]
@@ -67,14 +75,20 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
                         out["length"].append(length)
                         out["ids_crc32"].append(zlib.crc32(part))
                         if with_ids:
-                            out["ids"].append(np.frombuffer(part, IDS).astype(np.int64))
+                            out["doc_row"].append(row)
+                            out["ids"].append(part)
                 done += len(group)
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                         pa.list_(pa.int64())]
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+                parts = out.pop("ids", None)
+                arrays = [pa.array(v, t) for v, t in zip(out.values(), types)]
+                if with_ids:
+                    ends = np.cumsum([0, *out["length"]], dtype=np.int32)
+                    flat = np.frombuffer(b"".join(parts), IDS).astype(np.int32)
+                    arrays.append(pa.ListArray.from_arrays(ends, flat))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+                    arrays, names=[*out, "ids"] if with_ids else list(out))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(run, schema)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
@@ -150,7 +164,10 @@ def _places(patterns, counts: dict[int, int]):
 
 
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
-    """Adds sequence_id and offset to rows with a ``length`` from 1 to ``capacity``."""
+    """Adds sequence_id and offset to rows with a ``length`` from 1 to ``capacity``.
+
+    A column ``ids`` takes no part in the ranking and is joined to the places.
+    """
     spark = cut.sparkSession
     ship(spark)
     rows = written(cut.withColumn("_row", F.monotonically_increasing_id()), "packing-pieces")
@@ -171,7 +188,8 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     ranked = (salted.withColumn("_rank", F.row_number().over(within) - 1)
               .join(starts, ["length", "_salt"])
               .withColumn("_rank", F.col("_rank") + F.col("_before")))
-    names = [c for c in cut.columns]
+    with_ids = "ids" in cut.columns
+    names = [c for c in cut.columns if c != "ids"] + ["_row"] * with_ids
 
     def locate(batches):
         table, begin = shared.value
@@ -187,6 +205,9 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
                 [*[batch.column(i) for i in range(len(names))], pa.array(seq), pa.array(offset)],
                 names=[*names, "sequence_id", "offset"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.select(*names, "_rank").mapInArrow(
+    types = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
+    placed = ranked.select(*names, "_rank").mapInArrow(
         locate, f"{types}, sequence_id long, offset long")
+    if not with_ids:
+        return placed
+    return placed.join(rows.select("_row", "ids"), "_row").drop("_row")

@@ -1,10 +1,11 @@
 """The pipeline's stages against brute force, and the registered queries."""
 
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as C
-from sitewatch.llm import (q_audit, q_dedup, q_mixing, q_rules, q_search, quality_rules,
+from sitewatch.llm import (common, q_audit, q_dedup, q_mixing, q_rules, q_search, quality_rules,
                            secret_scan)
 
 from .helpers import SMALL, clashing
@@ -63,6 +64,40 @@ def test_stages(spark, small_docs):
         ends[r.doc_id] = ends.get(r.doc_id, 0) + (r.piece == 0)
     assert {str(i): n for i, n in ends.items()} == times
 
+    # the pieces hold the mixed texts: their ids, document row by document row
+    by_row = {}
+    for r in rows:
+        by_row.setdefault((r.doc_row, r.doc_id), []).append((r.piece, r.start, r.ids))
+    assert len({i for i, _ in by_row}) == len(by_row) == len(mixed)
+    library = Tokenizer.from_file(C.public_tokenizers.path(C.VOCABULARY))
+    packed = []
+    for (_, doc_id), parts in by_row.items():
+        parts.sort()
+        assert [p for p, _, _ in parts] == list(range(len(parts)))
+        packed.append((doc_id, [i for _, _, ids in parts for i in ids]))
+    assert sorted(packed) == sorted(
+        (int(r["doc_id"]), [*library.encode(r["text"], add_special_tokens=False).ids, 0])
+        for r in mixed)
+
+
+def test_run_leaves_the_last_tables_only(spark, tmp_path, monkeypatch):
+    """What a stage wrote for itself goes with it; the pieces stay until they are read."""
+    monkeypatch.setattr(common, "work_folder", lambda spark: str(tmp_path))
+    rows = C.run(spark, SMALL)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir() if p.is_dir()}
+    assert left == {"packing-pieces", "packing-groups"}
+    assert rows.count() > 0
+
+
+def test_work_tables_keep_what_they_are_told(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "work_folder", lambda spark: str(tmp_path))
+    with common.work_tables(spark):
+        with common.work_tables(spark) as keep:
+            a = keep(common.written(spark.range(3).toDF("a"), "kept"))
+            common.written(spark.range(3).toDF("a"), "dropped")
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"] and a.count() == 3
+    assert not list(tmp_path.iterdir())
+
 
 def test_run_and_empty_table(spark, tmp_path, small_docs):
     assert C.run(spark, SMALL).count() > 0
