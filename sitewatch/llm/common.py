@@ -24,13 +24,14 @@ def work_folder(spark: SparkSession) -> str:
     A private folder is set only where the session has none and runs in a single
     JVM, as in tests; a cluster without the setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_llm_work", None)
     if not root:
-        master = spark.sparkContext.master
+        master = context.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="llm-work-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context._llm_work = root  # a running session does not let the setting be changed
     return root.rstrip("/")
 
 
