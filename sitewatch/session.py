@@ -78,6 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = getattr(spark.sparkContext, "_sitewatch_root", None)
     if not root:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
@@ -85,6 +87,7 @@ def checkpoint_root(spark: SparkSession) -> str:
                              "(checkpoints on a machine-local folder do not survive "
                              "the loss of that machine)")
         root = tempfile.mkdtemp(prefix="sitewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # a running session does not let the setting be changed
+        spark.sparkContext._sitewatch_root = root
     spark.sparkContext.setCheckpointDir(root)
     return root
