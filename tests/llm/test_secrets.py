@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from sitewatch.llm import secret_scan as S
+from sitewatch.llm.common import written
 from sitewatch.llm.q_secrets import op2_secret_scans
 
 from .helpers import EDGES, SMALL, clashing
@@ -180,3 +181,39 @@ def test_redaction(spark, docs_of):
     assert got[2] == ("clean text", 10) and got[4] == ("", 0)
     assert S.secret_spans(docs.limit(0)).count() == 0
     assert got[3] == (None, None)
+
+
+def test_fitted_on_the_findings_of_every_text(spark, docs_of, monkeypatch):
+    """More texts than any sample, one of them long: each one's key is learnt from, copies once."""
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(4000)]
+    rows = [(i, f"take note {key} of it" + " and on" * (3000 * (i == 7))) for i, key in enumerate(keys)]
+    docs, made = docs_of(rows + rows[:50] + [(9999, None)]), []
+    monkeypatch.setattr(S, "written", lambda df, name: made.append(written(df, name)) or made[-1])
+    monkeypatch.setattr(S, "discard", lambda table: None)
+    first = S.fitted(docs)
+    found = made[0].collect()
+    windows = [S._unpacked([r.codes])[0][0] for r in found if r.codes is not None]
+    seen = {"".join(chr(c + 31) for c in w[S.LEFT:S.LEFT + 32] if c) for w in windows}
+    assert seen >= set(keys) and len(set(found)) == len(found)
+    again = S.fitted(docs.repartition(5))  # the partitions don't matter
+    assert again["thresholds"] == first["thresholds"] and again["shift"] == first["shift"]
+
+
+def test_fitted_in_shards_still_finds_keys(spark, small_docs, monkeypatch):
+    monkeypatch.setattr(S, "SHARD", 1500)
+    contexts = [r.text for r in small_docs.limit(100).collect()]
+    found, _, _ = end_to_end(S.fitted(small_docs), S.seeded_findings(contexts, 2000, seed=81))
+    assert found.mean() >= 0.95
+
+
+def test_binned_recall_points_are_the_exact_ones_to_a_bin():
+    rng = np.random.default_rng(82)
+    for n, misses in ((5000, 20), (5000, 80), (3, 0), (50, 50)):
+        scores = np.where(np.arange(n) < misses, -1.0, rng.random(n))
+        bins = np.floor(scores * S.BINS).astype(int)
+        held = [{"keyed": True, "bin": b, "n": (bins == b).sum(), "p": scores[bins == b].min()}
+                for b in np.unique(bins)]
+        reached = np.sort(scores[scores >= 0])
+        exact = reached[S._recall_at(n, misses)] if len(reached) else 1.0
+        assert exact - 1 / S.BINS <= S.recall_bins(held)[True] <= exact
+        assert S.recall_bins(held)[False] == 1.0
