@@ -125,15 +125,14 @@ FROM n""")
 def q_config_asof(spark, sf_dir):
     """JN-1 batch form: each report is matched against the config of its site
     that was in force at the report's event time (as-of join)."""
-    # project before the as-of join: its shuffle carries whole left rows
+    # project before the as-of join: its shuffle carries whole left rows, and of a change the
+    # text of its rules
     reports = FX.reports_with_data(spark, sf_dir).select(
         "report_id", "site_id", "ts", "status", "data")
-    changes = FX.config_changes(spark, sf_dir).withColumn(
-        "rules", parse_rules("monitor_items"))
-    joined = asof_join(reports, changes, key="site_id", left_ts="ts", right_ts="ts",
-                       right_order="config_id",
-                       right_cols=["config_id", "is_delete", "interval", "rules"],
-                       prefix="cfg_")
+    joined = asof_join(reports, FX.config_changes(spark, sf_dir), key="site_id", left_ts="ts",
+                       right_ts="ts", right_order="config_id",
+                       right_cols=["config_id", "is_delete", "interval", "monitor_items"],
+                       prefix="cfg_").withColumn("cfg_rules", parse_rules("cfg_monitor_items"))
     m = apply_rules(joined, rules="cfg_rules", is_delete="cfg_is_delete",
                     interval="cfg_interval")
     return m.select("report_id", "site_id", as_ntz("ts").alias("ts"),

@@ -47,6 +47,17 @@ def test_asof_splits_hot_site_by_time_bucket(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_asof_partitions_follow_the_rows(spark, monkeypatch):
+    """Many rows are dealt by their number, not merged by compressed size."""
+    from sitewatch.operators import asof
+    monkeypatch.setattr(asof, "FEW_ROWS", 1000)
+    monkeypatch.setattr(asof, "TASK_ROWS", 500)
+    rep, changes = FX.reports_with_data(spark, SF_MID), FX.config_changes(spark, SF_MID)
+    rows = rep.count() + changes.count()
+    out = asof_join(rep, changes, "site_id", "ts", "ts", "config_id", ["config_id"], prefix="cfg_")
+    assert _spread(out) >= rows // 1000
+
+
 def test_window_average_splits_hot_site_by_window(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
