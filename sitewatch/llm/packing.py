@@ -16,7 +16,8 @@ are cut into pieces of the capacity, whatever their number.
 
 With ``with_ids`` the pieces carry their token ids and the number of their document's row
 (rows may repeat a doc_id). Ids are left out of the ranking: places join them by the
-piece's own number, in one shuffle of the ids.
+piece's own number, in one shuffle of the ids. Until then they are stored by byte planes
+(``stored_ids``), compressed.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from sitewatch.llm.token_ids import IDS, by_bytes, encoder
 
 SALTS = 32               # least number of ranking groups per length
 ROWS_PER_SALT = 1 << 18  # pieces per salt value
+IDS_ROWS = 512           # pieces whose ids are unpacked at once
+CODEC = "zstd"
 
 
 def _cut(raw: bytes, capacity: int):
@@ -44,17 +47,35 @@ def _cut(raw: bytes, capacity: int):
     return [(0, head)] + [(s, capacity) for s in range(head, total, capacity)]
 
 
+def stored_ids(part: bytes) -> bytes:
+    """Ids (32 bits each), all their lowest bytes first, then the next ones, compressed."""
+    planes = np.frombuffer(part, np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.Codec(CODEC).compress(planes, asbytes=True)
+
+
+def loaded_ids(stored: bytes, length: int) -> bytes:
+    """The ids of ``stored_ids``."""
+    planes = pa.Codec(CODEC).decompress(stored, 4 * length, asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, length).T.tobytes()
+
+
+def _lists(parts: list[bytes], lengths) -> pa.Array:
+    """Lists of ids."""
+    ends = np.cumsum([0, *lengths], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(parts), IDS).astype(np.int32))
+
+
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
            with_ids: bool = False) -> DataFrame:
     """Encode every text, add ``end_id``, cut what exceeds ``capacity``.
 
     Columns doc_id, piece, start, length, ids_crc32 and, with ``with_ids``, ``doc_row``
-    (a number of the row of ``docs``, shared by its pieces alone) and ``ids``.
+    (a number of the row of ``docs``, shared by its pieces alone) and ``ids`` (``stored_ids``).
     """
     ship(docs.sparkSession)
     end = np.array([end_id], dtype=IDS).tobytes()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    schema += ", doc_row long, ids array<int>" if with_ids else ""
+    schema += ", doc_row long, ids binary" if with_ids else ""
     own = [F.monotonically_increasing_id().alias("doc_row")] if with_ids else []
 
     def run(batches):
@@ -76,17 +97,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0,
                         out["ids_crc32"].append(zlib.crc32(part))
                         if with_ids:
                             out["doc_row"].append(row)
-                            out["ids"].append(part)
+                            out["ids"].append(stored_ids(part))
                 done += len(group)
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-                parts = out.pop("ids", None)
-                arrays = [pa.array(v, t) for v, t in zip(out.values(), types)]
-                if with_ids:
-                    ends = np.cumsum([0, *out["length"]], dtype=np.int32)
-                    flat = np.frombuffer(b"".join(parts), IDS).astype(np.int32)
-                    arrays.append(pa.ListArray.from_arrays(ends, flat))
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
+                         pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    arrays, names=[*out, "ids"] if with_ids else list(out))
+                    [pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
     return docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(run, schema)
 
@@ -166,7 +182,8 @@ def _places(patterns, counts: dict[int, int]):
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` from 1 to ``capacity``.
 
-    A column ``ids`` takes no part in the ranking and is joined to the places.
+    A column ``ids`` (of ``pieces``) takes no part in the ranking, is joined to the ranks and
+    given as lists.
     """
     spark = cut.sparkSession
     ship(spark)
@@ -189,11 +206,17 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
               .join(starts, ["length", "_salt"])
               .withColumn("_rank", F.col("_rank") + F.col("_before")))
     with_ids = "ids" in cut.columns
-    names = [c for c in cut.columns if c != "ids"] + ["_row"] * with_ids
+    names = [c for c in cut.columns if c != "ids"]
+    types = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
+    types += ", sequence_id long, offset long"
+    if with_ids:
+        ranked = ranked.select("_row", *names, "_rank").join(rows.select("_row", "ids"), "_row")
+        types += ", ids array<int>"
 
     def locate(batches):
         table, begin = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, IDS_ROWS if with_ids else None) for whole in batches
+                      for at in range(0, len(whole), IDS_ROWS if with_ids else max(1, len(whole)))):
             lengths = batch.column(names.index("length")).to_numpy()
             base = np.array([begin[n] for n in lengths.tolist()], dtype=np.int64)
             key = base + batch.column(len(names)).to_numpy()
@@ -201,13 +224,11 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
             turn = key - slot[:, 0]
             seq = slot[:, 2] + turn // slot[:, 1]
             offset = slot[:, 3] + turn % slot[:, 1] * lengths
+            ids = [_lists([loaded_ids(x, n) for x, n in zip(
+                batch.column(len(names) + 1).to_pylist(), lengths.tolist())], lengths)
+            ] if with_ids else []
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(names))], pa.array(seq), pa.array(offset)],
-                names=[*names, "sequence_id", "offset"])
+                [*[batch.column(i) for i in range(len(names))], pa.array(seq), pa.array(offset), *ids],
+                names=[*names, "sequence_id", "offset", *["ids"] * with_ids])
 
-    types = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
-    placed = ranked.select(*names, "_rank").mapInArrow(
-        locate, f"{types}, sequence_id long, offset long")
-    if not with_ids:
-        return placed
-    return placed.join(rows.select("_row", "ids"), "_row").drop("_row")
+    return ranked.select(*names, "_rank", *["ids"] * with_ids).mapInArrow(locate, types)

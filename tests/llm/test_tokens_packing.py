@@ -80,6 +80,15 @@ def _check_places(rows, capacity):
     return len(by)
 
 
+def test_stored_ids(small_docs):
+    for ids in ([0], [1, 2**31 - 1, 70_000], list(range(3000))):
+        raw = np.array(ids, dtype=T.IDS).tobytes()
+        assert P.loaded_ids(P.stored_ids(raw), len(ids)) == raw
+    rows = P.pieces(small_docs, PATH, 2048, with_ids=True).collect()
+    # what is written and shuffled: half of 32 bits for each id, or less
+    assert sum(len(r.ids) for r in rows) <= 2 * sum(r.length for r in rows)
+
+
 def test_packing_round_trip(edge_docs, library):
     capacity = 64
     rows = P.pack(P.pieces(edge_docs, PATH, capacity, with_ids=True), capacity).collect()
