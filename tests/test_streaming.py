@@ -166,7 +166,7 @@ def test_average_stream_takes_any_reading(spark, tmp_dir):
     lines = [f'{{"siteId":1,"timestamp":{base + t},"type":"report","version":1,"status":0,'
              f'"data":{{"tmp":{v}}}}}'
              for t, v in ((0, 1e30), (1, 2e-11), (2, -1e30), (60_000, 2e-11), (600_000, 1.0))]
-    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_dir}/in")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_dir}/in")
     q = average_stream(spark, _reports_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/avg",
                        checkpoint=f"{tmp_dir}/ckpt", trigger=AVAILABLE_NOW)
     q.awaitTermination(300)
